@@ -80,3 +80,14 @@ def sentiment_sign(compound: Column | str) -> Column:
 def first_present(columns: list[str], names: list[str]) -> str | None:
     """First of ``names`` that exists; posts come with differing column names."""
     return next((n for n in names if n in columns), None)
+
+
+def latest_instant(df, time: str) -> Column:
+    """The highest ``time`` of ``df`` as a literal of the column's own type.
+
+    Reports look back from here instead of from the clock; as a literal it lets
+    the look-back filter reach the file scan.
+    """
+    kind = df.schema[time].dataType
+    text = df.agg(F.max(time).cast("string")).first()[0]
+    return F.lit(text).cast(kind)

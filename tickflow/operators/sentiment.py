@@ -86,17 +86,19 @@ def sentiment_slots(scored: DataFrame, slot: str = "30 minutes", min_sample: int
     weight = (F.greatest(F.coalesce(F.col(likes).try_cast("double"), F.lit(1.0)), F.lit(1.0))
               if likes else F.lit(1.0))
     n = F.count(F.lit(1))
-    pos = F.count_if(F.col("compound") > SENTIMENT_CUT) / n
-    neg = F.count_if(F.col("compound") < -SENTIMENT_CUT) / n
+    pos = F.count_if(F.col("compound") > SENTIMENT_CUT)
+    neg = F.count_if(F.col("compound") < -SENTIMENT_CUT)
+    # scores have four decimals: whole units add up the same in any order
+    units = F.round(F.col("compound") * 10_000).cast("bigint")
     span = F.window("created_at", slot)
     rows = (scored.withColumn("_w", span)
             .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                    "compound", weight.alias("_weight")))
+                    "compound", units.alias("_units"), weight.alias("_weight")))
     return (rows.groupBy("window_start", "window_end")
-            .agg(F.round(F.avg("compound"), 4).alias("compound_score"),
-                 F.round(pos, 4).alias("positive_ratio"), F.round(neg, 4).alias("negative_ratio"),
-                 F.round(F.greatest(F.lit(0.0), 1 - pos - neg), 4).alias("neutral_ratio"),
-                 F.round(ratio(F.sum(F.col("compound") * F.col("_weight")), F.sum("_weight")), 4)
+            .agg(F.round(F.sum("_units") / (n * 10_000), 4).alias("compound_score"),
+                 F.round(pos / n, 4).alias("positive_ratio"), F.round(neg / n, 4).alias("negative_ratio"),
+                 F.round((n - pos - neg) / n, 4).alias("neutral_ratio"),
+                 F.round(ratio(F.sum(F.col("_units") * F.col("_weight")), F.sum("_weight") * 10_000), 4)
                  .alias("weighted_compound"),
                  n.alias("post_count"),
                  F.when(n < min_sample, "low_sample").otherwise("ok").alias("data_quality"))

@@ -7,8 +7,19 @@ from pyspark.sql import types as T
 from pyspark.sql.column import Column
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {"STRING": T.StringType(), "BIGINT": T.LongType(), "INT": T.IntegerType(),
+          "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType()}
+
+
+def _type(name: str) -> T.DataType:
+    if name.startswith("DECIMAL("):
+        return T.DecimalType(*[int(n) for n in name[8:-1].split(",")])
+    return _TYPES[name]
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from "name TYPE, name TYPE"; needs no session, unlike ``fromDDL``."""
+    return T.StructType([T.StructField(n, _type(k)) for n, k in (c.split() for c in columns.split(", "))])
 
 
 #: Payload of one trade tick on the wire: numbers that need exactness travel as text.

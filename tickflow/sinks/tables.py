@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import RUNS, conform
@@ -23,10 +23,11 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
                  time: str = "window_start"):
         self.spark, self.path, self.schema, self.keys, self.time = spark, path, schema, list(keys), time
+        self.stored = StructType([*schema.fields, StructField(DATE, DateType())])
 
     def read(self) -> DataFrame:
         try:
-            rows = self.spark.read.schema(self.schema.add(DATE, "date")).parquet(self.path)
+            rows = self.spark.read.schema(self.stored).parquet(self.path)
         except AnalysisException:      # nothing written yet
             return self.spark.createDataFrame([], self.schema)
         return rows.select(*self.schema.fieldNames())
@@ -39,7 +40,7 @@ class Table:
         prunes files; a batch covers few days, and a long one reads by join."""
         days = [r[0] for r in batch.select(F.to_date(self.time)).distinct().limit(1001).collect()]
         try:
-            rows = self.spark.read.schema(self.schema.add(DATE, "date")).parquet(self.path)
+            rows = self.spark.read.schema(self.stored).parquet(self.path)
         except AnalysisException:
             return self.spark.createDataFrame([], self.schema)
         if len(days) <= 1000:
@@ -49,7 +50,7 @@ class Table:
         return rows.select(*self.schema.fieldNames())
 
     def append(self, df: DataFrame) -> None:
-        (self._dated(conform(df, self.schema)).repartition(DATE, *self.keys)
+        (self._dated(conform(df, self.schema)).hint("rebalance", DATE)
          .write.mode("append").partitionBy(DATE).parquet(self.path))
 
     def replace_days(self, df: DataFrame) -> None:
@@ -57,7 +58,7 @@ class Table:
         cannot be overwritten while it is read."""
         stage = f"{shared_dir(self.spark)}/stage-{uuid.uuid4().hex}"
         self._dated(conform(df, self.schema)).write.parquet(stage)
-        (self.spark.read.parquet(stage).repartition(DATE, *self.keys)
+        (self.spark.read.parquet(stage).hint("rebalance", DATE)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(self.path))
 
     def insert_absent(self, batch: DataFrame, order: Sequence[str] | None = None) -> tuple[int, int]:
@@ -92,12 +93,15 @@ def load_tables(targets: dict[str, tuple[Table, str]], frames: dict[str, DataFra
 
 
 def post_lake(posts: DataFrame, path: str, slot: str = "30 minutes", time: str = "created_at") -> None:
-    """Posts into ``year/month/day/slot`` folders by their slot's start."""
+    """Posts into ``year/month/day/slot`` folders by their slot's start.
+
+    Rebalancing gives a folder one file, or several of even size if it is large.
+    """
     start = F.window(time, slot).getField("start")
     (posts.withColumn("_start", start)
      .withColumn("year", F.date_format("_start", "yyyy")).withColumn("month", F.date_format("_start", "MM"))
      .withColumn("day", F.date_format("_start", "dd")).withColumn("slot", F.date_format("_start", "HH_mm"))
-     .drop("_start").write.mode("append").partitionBy("year", "month", "day", "slot").parquet(path))
+     .drop("_start").hint("rebalance", "year", "month", "day", "slot").write.mode("append").partitionBy("year", "month", "day", "slot").parquet(path))
 
 
 def topic_messages(predictions: DataFrame) -> DataFrame:
@@ -112,8 +116,8 @@ def to_topic(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
 
 
 def to_csv(df: DataFrame, path: str) -> None:
-    """A result as CSV with a header."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """A result as CSV with a header; quotes inside a value are doubled."""
+    df.write.mode("overwrite").options(header="true", escape='"').csv(path)
 
 
 def run_row(spark: SparkSession, pipeline: str, source: str, target: str, written: int, rejected: int,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.scalar import bytes_to_text
 from ..functions.token import decode_token
@@ -16,6 +16,9 @@ from ..schemas import RAW_FIELDS, RAW_TRADE, TICK_PAYLOAD
 STREAM_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "2000"}
 
 
+_RAW_OR_CORRUPT = StructType([*RAW_TRADE.fields, StructField("_corrupt", StringType())])
+
+
 def stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
            schema: StructType | None = None, **options: str) -> DataFrame:
     """A stream of messages. For Kafka give ``kafka.bootstrap.servers`` and
@@ -49,7 +52,7 @@ def checked(messages: DataFrame, value: str = "value") -> DataFrame:
     """Raw exchange messages with their parsed fields and an ``error`` if they are unusable."""
     text = bytes_to_text(value) if dict(messages.dtypes)[value] == "binary" else F.col(value)
     fields = messages.withColumn("raw", text).withColumn(
-        "d", F.from_json("raw", RAW_TRADE.add("_corrupt", "string"), {"columnNameOfCorruptRecord": "_corrupt"}))
+        "d", F.from_json("raw", _RAW_OR_CORRUPT, {"columnNameOfCorruptRecord": "_corrupt"}))
     missing = F.array_compact(F.array(*[
         F.when(~F.coalesce(F.array_contains(F.json_object_keys("raw"), k), F.lit(False)), F.lit(k))
         for k in RAW_FIELDS]))
