@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tickflow.functions.token import decode_token, encode_token
-from tickflow.schemas import BARS, PREDICTIONS, SENTIMENT
+from tickflow.schemas import PREDICTIONS, SENTIMENT
 from tickflow.session import shared_dir
 from tickflow.sinks.tables import Table
 from tickflow.sources import ticks as st
@@ -64,7 +64,7 @@ def stream_ohlcv(spark, sf):
 def stream_enriched(spark, sf):
     """The whole micro-batch sink: bar table, lineage row, no model yet."""
     keys = ["symbol", "window_start"]
-    sink = ss.BarSink(Table(spark, _folder(spark, "bars"), BARS, keys),
+    sink = ss.BarSink(Table(spark, _folder(spark, "bars"), t.BAR_SCHEMA, keys),
                       Table(spark, _folder(spark, "predictions"), PREDICTIONS, keys),
                       Table(spark, _folder(spark, "sentiment"), SENTIMENT, ["window_start"]),
                       _folder(spark, "runs"), width=t.BAR)

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tickflow.functions.scalar import slot_start
 from tickflow.operators.bars import tick_bars
 from tickflow.operators.rolling import rolling_features
 from tickflow.operators.sentiment import dedup_posts, score_posts, sentiment_slots
+from tickflow.schemas import BARS
 
 BAR = "6 hours"
 SLOT = "12 hours"
 #: 120 bars a symbol in the test tables, so several chunks and their seams are in play.
 CHUNK_ROWS = 32
+#: The test prices jump by factors of thousands, too far for the usual volatility column.
+BAR_SCHEMA = StructType([StructField(f.name, DoubleType()) if f.name == "volatility" else f for f in BARS])
 MIN_SAMPLE = 16
 
 # A small lexicon of words the test documents hold.

@@ -82,6 +82,14 @@ def first_present(columns: list[str], names: list[str]) -> str | None:
     return next((n for n in names if n in columns), None)
 
 
+def one_row(df) -> Column:
+    """The single row of a global aggregate as a struct, for use in another frame.
+
+    A scalar subquery: Spark computes the row once and every task gets its values.
+    """
+    return df.select(F.struct(*df.columns)).scalar()
+
+
 def latest_instant(df, time: str) -> Column:
     """The highest ``time`` of ``df`` as a literal of the column's own type.
 

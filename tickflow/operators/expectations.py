@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
+from ..functions.scalar import one_row
+
 NOT_NULL = "expect_column_values_to_not_be_null"
 BETWEEN = "expect_column_values_to_be_between"
 IN_SET = "expect_column_values_to_be_in_set"
@@ -122,10 +124,9 @@ def evaluate(df: DataFrame, suite: list[dict], table: str) -> DataFrame:
     totals = df.agg(*aggs)
     for i, cols in unique.items():
         sizes = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-        # both sides are the single row of a global aggregate
-        totals = totals.crossJoin(sizes.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias(f"seen_{i}"),
-            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(f"bad_{i}")))
+        repeated = one_row(sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("seen"),
+                                     F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("bad")))
+        totals = totals.withColumns({f"seen_{i}": repeated["seen"], f"bad_{i}": repeated["bad"]})
 
     rows = []
     for i, e in enumerate(suite):

@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import one_row
 from ..plans.rowindex import row_index
 from ..schemas import FEATURES, TARGET
 
@@ -46,10 +47,10 @@ def standardize(df: DataFrame, columns: Sequence[str], by_stats_of: DataFrame |
     source = by_stats_of if by_stats_of is not None else df
     stats = source.agg(*[F.avg(c).alias(f"_m_{c}") for c in columns],
                        *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns])
-    scale = lambda c: F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
+    of = one_row(stats)
+    scale = lambda c: F.when(of[f"_s_{c}"] == 0, F.lit(1.0)).otherwise(of[f"_s_{c}"])
     kept = [c for c in df.columns if c not in columns]
-    return df.crossJoin(F.broadcast(stats)).select(
-        *kept, *[((F.col(c) - F.col(f"_m_{c}")) / scale(c)).alias(c) for c in columns])
+    return df.select(*kept, *[((F.col(c) - of[f"_m_{c}"]) / scale(c)).alias(c) for c in columns])
 
 
 def fold_bounds(n_rows: int, folds: int = FOLDS) -> list[tuple[int, int, int]]:
@@ -189,14 +190,14 @@ def regime_labels(assigned: DataFrame, features: Sequence[str], k: int, vol: str
     # k rows: rank by counting the centres below, no window needed
     order = centre.agg(F.array_sort(F.collect_list(F.struct(F.col(f"mean_{vol}").alias("v"), "cluster_id")))
                        .alias("_order"))
-    spread = lambda c: F.when(F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
+    of = one_row(overall)
+    spread = lambda c: F.when(F.coalesce(of[f"_s_{c}"], F.lit(0.0)) == 0, F.lit(1.0)).otherwise(of[f"_s_{c}"])
     me = F.struct(F.col(f"mean_{vol}").alias("v"), "cluster_id")
-    return (centre.crossJoin(F.broadcast(overall)).crossJoin(F.broadcast(order))
-            .withColumn("rank", F.array_position("_order", me).cast("int") - 1)
+    return (centre.withColumn("rank", F.array_position(order.scalar(), me).cast("int") - 1)
             .select("cluster_id", "n", "rank",
                     F.element_at(F.array(*[F.lit(n) for n in names]), F.col("rank") + 1).alias("label"),
                     *[F.col(f"mean_{c}") for c in features],
-                    *[((F.col(f"mean_{c}") - F.col(f"_m_{c}")) / spread(c)).alias(f"z_{c}") for c in features]))
+                    *[((F.col(f"mean_{c}") - of[f"_m_{c}"]) / spread(c)).alias(f"z_{c}") for c in features]))
 
 
 def regime_timeline(assigned: DataFrame, labels: DataFrame, bars: DataFrame,

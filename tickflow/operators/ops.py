@@ -108,8 +108,7 @@ def log_summary(runs: DataFrame, audit: DataFrame, as_of: Column, span: str = "1
         F.when(F.col(stats[0]) > 0, entry("INFO", stats[0], "pipeline runs")),
         F.when(F.col(stats[1]) > 0, entry("ERROR", stats[1], "pipeline failures")),
         entry("INFO", stats[2], "audit events"))
-    # two single-row aggregates
-    return (r.crossJoin(a).withColumn("extra", F.to_json(F.struct(*stats)))
+    return (r.withColumn("audit_events_1h", a.scalar()).withColumn("extra", F.to_json(F.struct(*stats)))
             .select(F.explode(F.array_compact(entries)).alias("e"), "extra")
             .select(F.lit(service).alias("service"), "e.level", "e.message", "extra"))
 

@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import one_row
 from ..plans.rowindex import exact_quantiles
 
 ZERO_VARIANCE = 1e-15
@@ -35,15 +36,12 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between min and max; the maximum belongs to the last bin."""
     value = F.col(column).cast("double")
-    bounds = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    # bounds is the single row of a global aggregate
-    placed = (df.where(F.col(column).isNotNull()).select(value.alias("_v")).crossJoin(F.broadcast(bounds))
-              .select("_lo", "_hi", F.least(F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_lo"), width)),
-                                                       F.lit(0)), F.lit(bins - 1)).alias("bin")))
-    return (placed.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.any_value("_lo").alias("_lo"),
-                                      F.any_value("_hi").alias("_hi"))
-            .select("bin", (F.col("_lo") + F.col("bin") * width).alias("bin_start"), "count"))
+    bounds = one_row(df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")))
+    width = (bounds["hi"] - bounds["lo"]) / bins
+    at = F.coalesce(F.floor(F.try_divide(value - bounds["lo"], width)), F.lit(0))
+    placed = df.where(F.col(column).isNotNull()).select(F.least(at, F.lit(bins - 1)).alias("bin"))
+    return (placed.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+            .select("bin", (bounds["lo"] + F.col("bin") * width).alias("bin_start"), "count"))
 
 
 def hour_quartiles(df: DataFrame, time: str, value: str) -> DataFrame:

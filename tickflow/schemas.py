@@ -26,10 +26,7 @@ def _struct(columns: str) -> T.StructType:
 TICK_PAYLOAD = _struct(
     "event_time BIGINT, symbol STRING, trade_id BIGINT, price STRING, quantity STRING, is_buyer_mm BOOLEAN")
 
-#: Raw exchange message, one-letter keys; values are read as text and cast later.
-RAW_TRADE = _struct("T STRING, s STRING, t STRING, p STRING, q STRING, m STRING")
-
-#: Raw message key -> payload field.
+#: One-letter key of a raw exchange message -> payload field; all five are required.
 RAW_FIELDS = {"T": "event_time", "s": "symbol", "t": "trade_id", "p": "price", "q": "quantity"}
 
 BARS = _struct(
@@ -95,11 +92,11 @@ def prediction_rules() -> dict[str, Column]:
 def conform(df, schema: T.StructType):
     """Select and cast ``df`` to a table's column types; used just before a write.
 
-    Casting text that is no number gives NULL, and so does a number too wide
-    for its DECIMAL; constraints are checked on the doubles before this step.
+    Columns the frame lacks become NULL. A number too wide for its DECIMAL fails
+    the write rather than being stored as NULL.
     """
     present = set(df.columns)
     return df.select(*[
-        (F.col(f.name).try_cast(f.dataType) if f.name in present
+        (F.col(f.name).cast(f.dataType) if f.name in present
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields])

@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.scalar import bytes_to_text
 from ..functions.token import decode_token
 from ..operators.bars import kline_volatility
-from ..schemas import RAW_FIELDS, RAW_TRADE, TICK_PAYLOAD
+from ..schemas import RAW_FIELDS, TICK_PAYLOAD
 
 # How the tick topic is read.
 STREAM_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "2000"}
 
 
-_RAW_OR_CORRUPT = StructType([*RAW_TRADE.fields, StructField("_corrupt", StringType())])
-
-
 def stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
            schema: StructType | None = None, **options: str) -> DataFrame:
     """A stream of messages. For Kafka give ``kafka.bootstrap.servers`` and
@@ -51,21 +48,18 @@ def parse_payload(messages: DataFrame, value: str = "value", key: str | None = N
 def checked(messages: DataFrame, value: str = "value") -> DataFrame:
     """Raw exchange messages with their parsed fields and an ``error`` if they are unusable."""
     text = bytes_to_text(value) if dict(messages.dtypes)[value] == "binary" else F.col(value)
-    fields = messages.withColumn("raw", text).withColumn(
-        "d", F.from_json("raw", _RAW_OR_CORRUPT, {"columnNameOfCorruptRecord": "_corrupt"}))
-    missing = F.array_compact(F.array(*[
-        F.when(~F.coalesce(F.array_contains(F.json_object_keys("raw"), k), F.lit(False)), F.lit(k))
-        for k in RAW_FIELDS]))
-    malformed = F.col("d._corrupt").isNotNull() | F.col("raw").isNull() | F.col("d").isNull()
-    return fields.withColumn("error", F.when(malformed, F.lit("malformed JSON")).otherwise(
+    # as a map, because two of the keys differ in case only
+    fields = messages.withColumn("raw", text).withColumn("d", F.from_json("raw", "map<string,string>"))
+    missing = F.array_compact(F.array(*[F.when(~F.map_contains_key("d", k), F.lit(k)) for k in RAW_FIELDS]))
+    return fields.withColumn("error", F.when(F.col("d").isNull(), F.lit("malformed JSON")).otherwise(
         F.when(F.size(missing) > 0, F.concat(F.lit("missing fields: "), F.array_join(missing, ",")))))
 
 
 def good_ticks(messages: DataFrame) -> DataFrame:
     """Payload fields of the usable messages, renamed."""
     return messages.where("error IS NULL").select(
-        *[F.col(f"d.{k}").alias(v) for k, v in RAW_FIELDS.items()],
-        F.coalesce(F.col("d.m").try_cast("boolean"), F.lit(False)).alias("is_buyer_mm"))
+        *[F.col("d")[k].alias(v) for k, v in RAW_FIELDS.items()],
+        F.coalesce(F.col("d")["m"].try_cast("boolean"), F.lit(False)).alias("is_buyer_mm"))
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
