@@ -140,9 +140,9 @@ def _feature_query(name, columns, sql_columns=None):
     return run
 
 
-_feature_query("rolling_vol", ["rolling_vol"])
-_feature_query("forward_vol", ["target_vol"])
-_feature_query("vol_ratio", ["vol_ratio", "price_range_ratio"])
+rolling_vol = _feature_query("rolling_vol", ["rolling_vol"])
+forward_vol = _feature_query("forward_vol", ["target_vol"])
+vol_ratio = _feature_query("vol_ratio", ["vol_ratio", "price_range_ratio"])
 
 
 @query("returns", "rets", "SELECT symbol, window_start, round(ret, 6) AS ret FROM rets")

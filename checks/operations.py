@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions import scalar as fs
 from tickflow.operators import alerts, audit, catalog, expectations, ops, quality
-from tickflow.session import shared_dir
+from tickflow.session import cut_lineage, shared_dir
 from tickflow.sinks import policies, tables as sinks
 from tickflow.sources import files
 
@@ -55,7 +55,7 @@ def upsert_latest(spark, sf):
 def stored_bars(spark, sf):
     """Bars stored under both policies, one batch replayed, and the table read back."""
     table = sinks.Table(spark, f"{shared_dir(spark)}/bars-{uuid.uuid4().hex}", t.BAR_SCHEMA, ["symbol", "window_start"])
-    b = t.bars(spark, sf)
+    b = cut_lineage(t.bars(spark, sf))
     early = b.where("day(window_start) <= 20")
     table.insert_absent(early)
     table.insert_absent(early.withColumn("close", F.col("close") + 1))       # all rejected

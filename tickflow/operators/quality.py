@@ -14,6 +14,11 @@ from ..functions.scalar import age_minutes, json_field
 
 #: Fixed value: share of NULLs (percent) from which a column fails.
 NULL_LIMIT_PCT = 10.0
+LONG_TEXT = 64
+
+
+def _short(text: Column) -> Column:
+    return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
 
 
 def profile(df: DataFrame, table: str, numeric: Sequence[str] | None = None,
@@ -22,13 +27,14 @@ def profile(df: DataFrame, table: str, numeric: Sequence[str] | None = None,
 
     Reads every row once. The columns are turned into (column, value) pairs and
     counted per value in two steps, so the distinct count of all columns needs
-    one shuffle, combined before it; no column lands in one task.
+    one shuffle, combined before it; no column lands in one task. Texts of over
+    ``LONG_TEXT`` characters travel as their SHA-256.
     ``numeric`` names columns declared numeric (default: those typed so).
     """
     declared = set(numeric if numeric is not None else
                    [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
     cells = F.array(*[
-        F.struct(F.lit(i).alias("at"), F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"),
+        F.struct(F.lit(i).alias("at"), F.lit(c).alias("column_name"), _short(F.col(f"`{c}`").cast("string")).alias("value"),
                  (F.col(f"`{c}`").try_cast("double") if c in declared else F.lit(None).cast("double")).alias("number"),
                  F.lit(c in declared).alias("numeric"))
         for i, c in enumerate(df.columns)])

@@ -76,6 +76,14 @@ def check_scores(scored: DataFrame, columns: tuple[str, ...] = ("compound",)) ->
     return counts.select(pairs.alias("r")).select("r.*").where("rows > 0")
 
 
+def require_scores(scored: DataFrame, columns: tuple[str, ...] = ("compound",)) -> DataFrame:
+    """``scored`` itself if it passes the gate, else an error naming what is wrong."""
+    errors = [f"{r['error']} ({r['rows']} rows)" for r in check_scores(scored, columns).collect()]
+    if errors:
+        raise ValueError("; ".join(errors))
+    return scored
+
+
 def sentiment_slots(scored: DataFrame, slot: str = "30 minutes", min_sample: int = MIN_SAMPLE,
                     source_file: str | None = None) -> DataFrame:
     """Mean, ratios, like-weighted mean, count and quality flag per slot.

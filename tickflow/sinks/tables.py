@@ -49,6 +49,12 @@ class Table:
             rows = rows.join(batch.select(F.to_date(self.time).alias(DATE)).distinct(), DATE, "left_semi")
         return rows.select(*self.schema.fieldNames())
 
+    def _staged(self, df: DataFrame) -> DataFrame:
+        """``df`` computed once, in the shared folder; merging reads it several times."""
+        stage = f"{shared_dir(self.spark)}/stage-{uuid.uuid4().hex}"
+        conform(df, self.schema).write.parquet(stage)
+        return self.spark.read.schema(self.schema).parquet(stage)
+
     def append(self, df: DataFrame) -> None:
         (self._dated(conform(df, self.schema)).hint("rebalance", DATE)
          .write.mode("append").partitionBy(DATE).parquet(self.path))
@@ -56,14 +62,12 @@ class Table:
     def replace_days(self, df: DataFrame) -> None:
         """Overwrite exactly the days in ``df``. The rows are staged first, as a table
         cannot be overwritten while it is read."""
-        stage = f"{shared_dir(self.spark)}/stage-{uuid.uuid4().hex}"
-        self._dated(conform(df, self.schema)).write.parquet(stage)
-        (self.spark.read.parquet(stage).hint("rebalance", DATE)
+        (self._dated(self._staged(df)).hint("rebalance", DATE)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(self.path))
 
     def insert_absent(self, batch: DataFrame, order: Sequence[str] | None = None) -> tuple[int, int]:
         """Append rows with unknown keys; returns (written, rejected)."""
-        batch = conform(batch, self.schema)
+        batch = self._staged(batch)
         known = self.days_of(batch)
         counts = policies.insert_counts(batch, known, self.keys).first()
         if counts["rows_written"]:
@@ -73,7 +77,7 @@ class Table:
     def upsert(self, batch: DataFrame, update: Sequence[str] | None = None, compute=None,
                order: Sequence[str] | None = None) -> None:
         """Merge by key, rewriting only the days touched. Replaying a batch changes nothing."""
-        batch = policies.last_in_batch(conform(batch, self.schema), self.keys, order or [self.time])
+        batch = policies.last_in_batch(self._staged(batch), self.keys, order or [self.time])
         self.replace_days(policies.upsert(self.days_of(batch), batch, self.keys, update, compute))
 
 
@@ -143,12 +147,14 @@ def purge(table: Table, as_of, span: str = "30 DAYS") -> None:
     rows = table.read()
     last = F.to_date(as_of - F.expr(f"INTERVAL {span}"))
     day = F.to_date(table.time)
+    # one row per day folder; listed before the files below them change
+    listed = rows.where(day <= last).select(day.alias(DATE), (day == last).alias("edge")).distinct().collect()
     kept = policies.retain(rows.where(day == last), table.time, as_of, span)
     some_kept = not kept.isEmpty()
     if some_kept:
         table.replace_days(kept)
-    gone = rows.where((day < last) if some_kept else (day <= last)).select(day.alias(DATE)).distinct()
     hadoop = table.spark._jvm.org.apache.hadoop.fs
-    for (value,) in gone.collect():        # one row per day folder
-        path = hadoop.Path(f"{table.path}/{DATE}={value}")
-        path.getFileSystem(table.spark._jsc.hadoopConfiguration()).delete(path, True)
+    for value, edge in listed:
+        if not (edge and some_kept):
+            path = hadoop.Path(f"{table.path}/{DATE}={value}")
+            path.getFileSystem(table.spark._jsc.hadoopConfiguration()).delete(path, True)
