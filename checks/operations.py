@@ -150,11 +150,12 @@ def heatmap(spark, sf):
 
 
 def _suites(spark, sf):
+    """Validation reads stored tables: these are written first."""
     keys = ("symbol", "window_start")
-    odd = t.bars(spark, sf).withColumns({
+    odd = cut_lineage(t.bars(spark, sf)).withColumns({
         "open": F.col("open") - 20, "volume": F.when(F.col("trade_count") % 5 != 0, F.col("volume") - 500)})
-    s = t.all_slots(spark, sf)
-    p = t.predictions(spark, sf)
+    s = cut_lineage(t.all_slots(spark, sf))
+    p = cut_lineage(t.predictions(spark, sf))
     return [("bars", odd, expectations.bar_suite(keys)), ("sentiment", s.unionByName(s.where("day(window_start) = 1")),
                                                         expectations.sentiment_suite()),
             ("predictions", p, expectations.prediction_suite(keys))]

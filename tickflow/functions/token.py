@@ -56,10 +56,14 @@ def decode_token(value: Column | str, key: str | None) -> Column:
     looks_like_token = plain.rlike(r"^gAAAA[A-Za-z0-9_\-]+={0,2}$")
     raw = F.when(looks_like_token & (F.length(plain) % 4 == 0),
                  F.unbase64(F.translate(plain, "-_", "+/")))
-    size = F.octet_length(raw)
-    body = F.substring(raw, F.lit(1), size - 32)
-    mac = F.substring(raw, size - 31, F.lit(32))
-    sealed = F.substring(raw, F.lit(10), size - 41)
-    genuine = (size >= 73) & (hmac_sha256(sign, body) == mac)
-    opened = F.try_aes_decrypt(sealed, F.lit(secret), F.lit("CBC"), F.lit("PKCS"))
-    return F.coalesce(F.when(genuine, opened).cast("string"), plain)
+
+    def opened(token: Column) -> Column:
+        size = F.octet_length(token)
+        body = F.substring(token, F.lit(1), size - 32)
+        mac = F.substring(token, size - 31, F.lit(32))
+        sealed = F.substring(token, F.lit(10), size - 41)
+        genuine = (size >= 73) & (hmac_sha256(sign, body) == mac)
+        return F.when(genuine, F.try_aes_decrypt(sealed, F.lit(secret), F.lit("CBC"), F.lit("PKCS")))
+
+    # an array of one binds the decoded bytes, so they are not decoded anew at every use
+    return F.coalesce(F.get(F.transform(F.array(raw), opened), F.lit(0)).cast("string"), plain)
