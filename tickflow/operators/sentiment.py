@@ -46,7 +46,9 @@ def score_posts(posts: DataFrame, lexicon: dict[str, float] | DataFrame, key: st
 
     Words are joined to the lexicon and summed per post. The sum starts before the
     shuffle, in the task that split the text, so what is shuffled is about a row
-    per post. ``key`` must be unique.
+    per post. ``key`` must be unique; the other columns group along with it, which
+    keeps the sum a hash aggregate (carried as aggregates, texts would force a sort
+    of all words).
     """
     text = first_present(posts.columns, TEXT_COLUMNS)
     if text is None:
@@ -61,8 +63,7 @@ def score_posts(posts: DataFrame, lexicon: dict[str, float] | DataFrame, key: st
     tokens = posts.select(key, *carried, F.explode(
         F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK)).alias("word"))
     total = F.coalesce(F.sum("valence"), F.lit(0.0))
-    scored = (tokens.join(words, "word", "left").groupBy(key)
-              .agg(total.alias("_sum"), *[F.any_value(c).alias(c) for c in carried]))
+    scored = tokens.join(words, "word", "left").groupBy(key, *carried).agg(total.alias("_sum"))
     return (scored.withColumn("compound", F.round(F.col("_sum") / F.sqrt(F.col("_sum") * F.col("_sum") + ALPHA), 4))
             .select(key, *carried, "compound"))
 

@@ -34,25 +34,36 @@ def parse_payload(messages: DataFrame, value: str = "value", key: str | None = N
     """Typed ticks from JSON payloads (tokens are opened when ``key`` is given).
 
     Numbers that do not parse become NULL; ticks without price or time are dropped.
+    The test for them is part of the same expression: as a filter on its own it
+    would be pushed below and parse every message again.
     """
     text = decode_token(value, key) if key else F.col(value).cast("string")
-    d = messages.select(F.from_json(text, TICK_PAYLOAD).alias("d"))
-    return d.select(
-        F.timestamp_millis(F.col("d.event_time")).alias("event_time"), F.col("d.trade_id").alias("trade_id"),
-        F.col("d.symbol").alias("symbol"), F.col("d.price").try_cast("double").alias("price"),
-        F.col("d.quantity").try_cast("double").alias("quantity"),
-        F.coalesce(F.col("d.is_buyer_mm"), F.lit(False)).alias("is_buyer_mm"),
-    ).where("price IS NOT NULL AND event_time IS NOT NULL")
+
+    def tick(d: Column) -> Column:
+        return F.struct(
+            F.timestamp_millis(d["event_time"]).alias("event_time"), d["trade_id"].alias("trade_id"),
+            d["symbol"].alias("symbol"), d["price"].try_cast("double").alias("price"),
+            d["quantity"].try_cast("double").alias("quantity"),
+            F.coalesce(d["is_buyer_mm"], F.lit(False)).alias("is_buyer_mm"))
+
+    usable = F.filter(F.transform(F.array(F.from_json(text, TICK_PAYLOAD)), tick),
+                      lambda t: t["price"].isNotNull() & t["event_time"].isNotNull())
+    return messages.select(F.inline(usable))
 
 
 def checked(messages: DataFrame, value: str = "value") -> DataFrame:
     """Raw exchange messages with their parsed fields and an ``error`` if they are unusable."""
     text = bytes_to_text(value) if dict(messages.dtypes)[value] == "binary" else F.col(value)
-    # as a map, because two of the keys differ in case only
-    fields = messages.withColumn("raw", text).withColumn("d", F.from_json("raw", "map<string,string>"))
-    missing = F.array_compact(F.array(*[F.when(~F.map_contains_key("d", k), F.lit(k)) for k in RAW_FIELDS]))
-    return fields.withColumn("error", F.when(F.col("d").isNull(), F.lit("malformed JSON")).otherwise(
-        F.when(F.size(missing) > 0, F.concat(F.lit("missing fields: "), F.array_join(missing, ",")))))
+
+    def judged(d: Column) -> Column:
+        missing = F.array_compact(F.array(*[F.when(~F.map_contains_key(d, k), F.lit(k)) for k in RAW_FIELDS]))
+        error = F.when(d.isNull(), F.lit("malformed JSON")).otherwise(
+            F.when(F.size(missing) > 0, F.concat(F.lit("missing fields: "), F.array_join(missing, ","))))
+        return F.struct(d.alias("d"), error.alias("error"))
+
+    # as a map, because two of the keys differ in case only; parsed once for all uses
+    parsed = F.array(F.from_json("raw", "map<string,string>"))
+    return messages.withColumn("raw", text).select("*", F.inline(F.transform(parsed, judged)))
 
 
 def good_ticks(messages: DataFrame) -> DataFrame:
