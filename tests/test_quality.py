@@ -76,7 +76,7 @@ def alert_frame(spark, minutes):
 def test_hold_is_broken_by_one_good_evaluation(spark):
     rule = alerts.Rule("quiet", "x", "t", "count", 1, "==", 0, 3, "warning", "Alerting")
     # rows at 0, 6 and 20: nothing seen at 1..5 and 7..19
-    out = alerts.sustain(alerts.evaluate_series(alert_frame(spark, [0, 6, 20]), rule, 1, "10 minutes"), rule, 1, chunk_rows=4)
+    out = alerts.sustain(alerts.evaluate_series(alert_frame(spark, [0, 6, 20]), rule, 1, "10 minutes"), [rule], 1, chunk_rows=4)
     state = {int((r["instant"] - T0) / timedelta(minutes=1)): r["state"] for r in out.collect()}
     assert [state[i] for i in range(0, 8)] == ["Normal", "Pending", "Pending", "Pending", "Firing", "Firing", "Normal", "Pending"]
     assert [state[i] for i in (9, 10, 19, 20)] == ["Pending", "Firing", "Firing", "Normal"]

@@ -132,26 +132,30 @@ def evaluate_series(df: DataFrame, rule: Rule, step_minutes: int, block: str) ->
                                  F.lit(rule.no_data == "Alerting")).alias("breach"))
 
 
-def sustain(series: DataFrame, rule: Rule, step_minutes: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``state``: a breach is ``Pending`` until it has held for ``rule.hold`` minutes,
-    then ``Firing``. Holding means every evaluation of a frame of fixed length
-    breached, so the frame is bounded and the series can be cut anywhere."""
-    back = -(-rule.hold // step_minutes)
+def sustain(series: DataFrame, rules: Sequence[Rule], step_minutes: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add ``state`` to the series of some rules: a breach is ``Pending`` until it has held
+    for the rule's ``hold`` minutes, then ``Firing``. Holding means every evaluation of
+    a frame of fixed length breached, so frames are bounded and a series can be cut
+    anywhere; all rules share one pass."""
+    back = {r.rule_id: -(-r.hold // step_minutes) for r in rules}
 
     def compute(rows, window):
-        frame = window.rowsBetween(-back, 0)
-        held = (F.count_if("breach").over(frame) == back + 1)
+        held = F.lit(False)
+        for n in sorted(set(back.values())):
+            frame = window.rowsBetween(-n, 0)
+            held = F.when(F.col("rule_id").isin(*[r for r, b in back.items() if b == n]),
+                          F.count_if("breach").over(frame) == n + 1).otherwise(held)
         return rows.withColumn("state", F.when(~F.col("breach"), "Normal").when(held, "Firing").otherwise("Pending"))
 
     return bounded_frames(series, ["rule_id"], ["instant"], chunk_width(f"{step_minutes} minutes", chunk_rows),
-                          back, 0, compute)
+                          max(back.values()), 0, compute)
 
 
 def sustained_alerts(tables: dict[str, DataFrame], rules: Sequence[Rule], step_minutes: int, block: str,
                      chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    parts = [sustain(evaluate_series(tables[r.table], r, step_minutes, block), r, step_minutes, chunk_rows)
-             for r in rules if r.measure != "last"]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    windowed = [r for r in rules if r.measure != "last"]
+    series = [evaluate_series(tables[r.table], r, step_minutes, block) for r in windowed]
+    return sustain(reduce(lambda a, b: a.unionByName(b), series), windowed, step_minutes, chunk_rows)
 
 
 def container_status(metrics: DataFrame, critical: Sequence[str]) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 from pyspark.sql.types import DateType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
@@ -23,62 +25,101 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
                  time: str = "window_start"):
         self.spark, self.path, self.schema, self.keys, self.time = spark, path, schema, list(keys), time
+        if time not in self.keys:
+            raise ValueError("the time column must be part of the key: a key lives in one day's folder")
         self.stored = StructType([*schema.fields, StructField(DATE, DateType())])
 
-    def read(self) -> DataFrame:
+    def _stored_rows(self) -> DataFrame | None:
         try:
-            rows = self.spark.read.schema(self.stored).parquet(self.path)
+            return self.spark.read.schema(self.stored).parquet(self.path)
         except AnalysisException:      # nothing written yet
+            return None
+
+    def _plain(self, rows: DataFrame | None) -> DataFrame:
+        if rows is None:
             return self.spark.createDataFrame([], self.schema)
         return rows.select(*self.schema.fieldNames())
 
-    def _dated(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(DATE, F.to_date(self.time))
+    def read(self) -> DataFrame:
+        return self._plain(self._stored_rows())
+
+    def days_between(self, first: Column | None = None, last: Column | None = None) -> DataFrame:
+        """Rows of the days of two instants and all between; other folders are not opened."""
+        rows = self._stored_rows()
+        if rows is not None and first is not None:
+            rows = rows.where(F.col(DATE) >= F.to_date(first))
+        if rows is not None and last is not None:
+            rows = rows.where(F.col(DATE) <= F.to_date(last))
+        return self._plain(rows)
 
     def days_of(self, batch: DataFrame) -> DataFrame:
         """Rows of the days the batch touches. A day is a partition, so the filter
         prunes files; a batch covers few days, and a long one reads by join."""
         days = [r[0] for r in batch.select(F.to_date(self.time)).distinct().limit(1001).collect()]
-        try:
-            rows = self.spark.read.schema(self.stored).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], self.schema)
+        rows = self._stored_rows()
+        if rows is None:
+            return self._plain(None)
         if len(days) <= 1000:
             rows = rows.where(F.col(DATE).isin(days))
         else:
             rows = rows.join(batch.select(F.to_date(self.time).alias(DATE)).distinct(), DATE, "left_semi")
-        return rows.select(*self.schema.fieldNames())
-
-    def _staged(self, df: DataFrame) -> DataFrame:
+        return self._plain(rows)
+
+    def folders(self, last: Column) -> list:
+        """Days up to that of ``last`` that have a folder."""
+        rows = self._stored_rows()
+        if rows is None:
+            return []
+        return [r[0] for r in rows.where(F.col(DATE) <= F.to_date(last)).select(DATE).distinct().collect()]
+
+    def delete_path(self, path: str) -> None:
+        """Remove a folder, on whatever file system it is."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    @contextmanager
+    def _staged(self, df: DataFrame):
         """``df`` computed once, in the shared folder; merging reads it several times."""
         stage = f"{shared_dir(self.spark)}/stage-{uuid.uuid4().hex}"
-        conform(df, self.schema).write.parquet(stage)
-        return self.spark.read.schema(self.schema).parquet(stage)
+        try:
+            conform(df, self.schema).write.parquet(stage)
+            yield self.spark.read.schema(self.schema).parquet(stage)
+        finally:
+            self.delete_path(stage)
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        (df.withColumn(DATE, F.to_date(self.time)).hint("rebalance", DATE)
+         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(self.path))
 
     def append(self, df: DataFrame) -> None:
-        (self._dated(conform(df, self.schema)).hint("rebalance", DATE)
-         .write.mode("append").partitionBy(DATE).parquet(self.path))
+        self._write(conform(df, self.schema), "append")
 
     def replace_days(self, df: DataFrame) -> None:
         """Overwrite exactly the days in ``df``. The rows are staged first, as a table
         cannot be overwritten while it is read."""
-        (self._dated(self._staged(df)).hint("rebalance", DATE)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(self.path))
+        with self._staged(df) as rows:
+            self._write(rows, "overwrite")
 
     def insert_absent(self, batch: DataFrame, order: Sequence[str] | None = None) -> tuple[int, int]:
-        """Append rows with unknown keys; returns (written, rejected)."""
-        batch = self._staged(batch)
-        known = self.days_of(batch)
-        counts = policies.insert_counts(batch, known, self.keys).first()
-        if counts["rows_written"]:
-            self.append(policies.absent(batch, known, self.keys, order or [self.time]))
+        """Append rows with unknown keys; returns (written, rejected). Of several rows with
+        one key the first in ``order`` counts (default: all columns)."""
+        with self._staged(batch) as rows:
+            known = self.days_of(rows)
+            counts = policies.insert_counts(rows, known, self.keys).first()
+            if counts["rows_written"]:
+                self.append(policies.absent(rows, known, self.keys, order or self._rest()))
         return counts["rows_written"], counts["rows_rejected"]
 
     def upsert(self, batch: DataFrame, update: Sequence[str] | None = None, compute=None,
                order: Sequence[str] | None = None) -> None:
-        """Merge by key, rewriting only the days touched. Replaying a batch changes nothing."""
-        batch = policies.last_in_batch(self._staged(batch), self.keys, order or [self.time])
-        self.replace_days(policies.upsert(self.days_of(batch), batch, self.keys, update, compute))
+        """Merge by key, rewriting only the days touched. Replaying a batch changes nothing.
+        Of several rows with one key the last in ``order`` counts (default: all columns)."""
+        with self._staged(batch) as rows:
+            last = policies.last_in_batch(rows, self.keys, order or self._rest())
+            self.replace_days(policies.upsert(self.days_of(rows), last, self.keys, update, compute))
+
+    def _rest(self) -> list[str]:
+        return [c for c in self.schema.fieldNames() if c not in self.keys]
 
 
 def load_tables(targets: dict[str, tuple[Table, str]], frames: dict[str, DataFrame]) -> dict[str, tuple[int, int]]:
@@ -144,17 +185,15 @@ def log_run(spark: SparkSession, path: str, *args, **kwargs) -> None:
 def purge(table: Table, as_of, span: str = "30 DAYS") -> None:
     """Retention delete: the day of the limit is rewritten without its older rows, whole
     days before it lose their folder."""
-    rows = table.read()
-    last = F.to_date(as_of - F.expr(f"INTERVAL {span}"))
-    day = F.to_date(table.time)
-    # one row per day folder; listed before the files below them change
-    listed = rows.where(day <= last).select(day.alias(DATE), (day == last).alias("edge")).distinct().collect()
-    kept = policies.retain(rows.where(day == last), table.time, as_of, span)
+    limit = as_of - F.expr(f"INTERVAL {span}")
+    days = table.folders(limit)        # listed before the files below them change
+    if not days:
+        return
+    edge = table.spark.range(1).select(F.to_date(limit)).first()[0]
+    kept = policies.retain(table.days_between(limit, limit), table.time, as_of, span)
     some_kept = not kept.isEmpty()
     if some_kept:
         table.replace_days(kept)
-    hadoop = table.spark._jvm.org.apache.hadoop.fs
-    for value, edge in listed:
-        if not (edge and some_kept):
-            path = hadoop.Path(f"{table.path}/{DATE}={value}")
-            path.getFileSystem(table.spark._jsc.hadoopConfiguration()).delete(path, True)
+    for day in days:
+        if not (day == edge and some_kept):
+            table.delete_path(f"{table.path}/{DATE}={day}")

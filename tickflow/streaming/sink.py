@@ -73,19 +73,19 @@ class BarSink:
         new = batch.select("symbol", "window_start")
         last = new.agg(F.max("window_start")).first()[0]
         first = new.agg(F.min("window_start")).first()[0]
-        stored = self.bars.read().where(F.col("window_start") <= F.lit(last))
         horizon = F.lit(first) - F.expr(f"INTERVAL {self.recent_days} DAYS")
+        at = F.col("window_start")
         symbols = new.select("symbol").distinct()
-        stored = stored.join(symbols, "symbol", "left_semi")
-        prior = newest_per_key(stored.where((F.col("window_start") < F.lit(first))
-                                            & (F.col("window_start") >= horizon)), "symbol", "window_start", REACH)
+        stored = (self.bars.days_between(horizon, F.lit(last)).where((at >= horizon) & (at <= F.lit(last)))
+                  .join(symbols, "symbol", "left_semi"))
+        prior = newest_per_key(stored.where(at < F.lit(first)), "symbol", "window_start", REACH)
         enough = prior.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= REACH)
         short = symbols.join(enough, "symbol", "left_anti")
         if not short.isEmpty():
-            older = stored.where(F.col("window_start") < horizon).join(short, "symbol", "left_semi")
+            older = self.bars.days_between(last=horizon).where(at < horizon).join(short, "symbol", "left_semi")
             prior = newest_per_key(prior.unionByName(newest_per_key(older, "symbol", "window_start", REACH)),
                                    "symbol", "window_start", REACH)
-        reach = prior.unionByName(stored.where(F.col("window_start") >= F.lit(first)))
+        reach = prior.unionByName(stored.where(at >= F.lit(first)))
         doubles = reach.select("symbol", "window_start", "window_end", *[
             F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")])
         rolled = rolling_features(doubles, self.width, min_periods="full")
