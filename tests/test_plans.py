@@ -65,4 +65,4 @@ def test_only_chunk_summaries_meet_in_one_task(spark):
     lines = text.splitlines()
     at = [i for i, line in enumerate(lines) if "SinglePartition" in line]
     below = next(line for line in lines[at[0] + 1:] if "Aggregate" in line)
-    assert len(at) == 1 and "keys=[_chunk" in below
+    assert len(at) == 1 and "=[_chunk" in below

@@ -33,14 +33,17 @@ def profile(df: DataFrame, table: str, numeric: Sequence[str] | None = None,
     """
     declared = set(numeric if numeric is not None else
                    [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
+    # the number behind a value is worked out once per distinct value, not per cell
     cells = F.array(*[
-        F.struct(F.lit(i).alias("at"), F.lit(c).alias("column_name"), _short(F.col(f"`{c}`").cast("string")).alias("value"),
-                 (F.col(f"`{c}`").try_cast("double") if c in declared else F.lit(None).cast("double")).alias("number"),
-                 F.lit(c in declared).alias("numeric"))
+        F.struct(F.lit(i).alias("at"),
+                 (F.col(f"`{c}`").cast("string") if c in declared else _short(F.col(f"`{c}`").cast("string")))
+                 .alias("value"))
         for i, c in enumerate(df.columns)])
+    is_numeric = F.col("at").isin(*[i for i, c in enumerate(df.columns) if c in declared]) if declared else F.lit(False)
     values = (df.select(F.explode(cells).alias("cell")).select("cell.*")
-              .groupBy("column_name", "numeric", "value", "number")
-              .agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"))
+              .withColumns({"column_name": F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("at") + 1),
+                            "numeric": is_numeric, "number": F.when(is_numeric, F.col("value").try_cast("double"))}))
     null = F.col("value").isNull()
     per_column = values.groupBy("column_name").agg(
         F.sum("n").alias("total_rows"),
