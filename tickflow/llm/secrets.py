@@ -1,0 +1,154 @@
+"""Secret scan with corpus-wide ownership frequency, in built-in expressions only.
+
+Every text is searched for candidates. Candidate values are hashed and counted over the corpus
+by distinct owners and distinct repositories: a value that many owners carry is an example
+copied from somewhere, one that stays with its owners is a live-looking credential.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .scratch import Scratch
+
+# The patterns of the base kinds (names in letters of either case).
+ASSIGN = (r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"""
+          r"""|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+#: These runs end where no more characters fit, so a least length in the pattern drops just the short ones.
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
+#: The method's own kind: long strings that mix cases and digits.
+OPAQUE = r"[A-Za-z0-9+/_-]{24,}"
+ASSIGN_CHARS = 6
+#: In the order in which spans of one start are listed.
+KINDS = ("assign", "access", "hex", "opaque")
+BASE = KINDS[:3]
+#: A value with more owners than this is a copied example.
+MAX_OWNERS = 3
+
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string,hash:string,looks_live:boolean>>"
+
+
+def _looks_live(value: Column) -> Column:
+    """Letters, digits and at least eight different characters, as generated credentials have."""
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= 8)
+
+
+def _spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
+    """Leftmost non-overlapping matches of one kind, in code points. A match starts after the pieces
+    between the matches and the matches before it; those with a short ``group`` are dropped."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
+    sizes = F.zip_with(gaps, whole, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(w).alias("n")))
+    parts = F.zip_with(sizes, value, lambda p, v: F.struct(p["gap"].alias("gap"), p["n"].alias("n"), v.alias("v")))
+    none = F.array().cast("array<struct<start:int,end:int,v:string>>")
+    placed = F.aggregate(
+        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
+        lambda s, p: F.struct(
+            (s["at"] + p["gap"] + p["n"]).alias("at"),
+            F.when(F.length(p["v"]) >= least, F.concat(s["out"], F.array(F.struct(
+                (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + p["n"]).alias("end"), p["v"].alias("v")))))
+            .otherwise(s["out"]).alias("out")),
+        lambda s: s["out"])
+    spans = F.transform(placed, lambda m: F.struct(
+        m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
+        F.sha2(m["v"], 256).alias("hash"), _looks_live(m["v"]).alias("looks_live")))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPANS)).cast(SPANS)
+
+
+def candidates(text: Column) -> Column:
+    """All candidate spans of a text (null: none)."""
+    text = F.coalesce(text, F.lit(""))
+    return F.concat(_spans(text, "assign", ASSIGN, 2, ASSIGN_CHARS), _spans(text, "access", ACCESS),
+                    _spans(text, "hex", HEX), F.filter(_spans(text, "opaque", OPAQUE), lambda s: s["looks_live"]))
+
+
+def ownership(found: DataFrame, owner: str, repository: list[str]) -> DataFrame:
+    """(hash, n_owners, n_repositories) over all candidates. Null is an owner like others. Each
+    step is reduced before its shuffle, so a value in a third of all rows stays a few rows."""
+    carried = found.groupBy("hash", F.col(owner).alias("_o"), F.struct(*repository).alias("_r")).agg(F.count("*").alias("_1"))
+    by_owner = carried.groupBy("hash", "_o").agg(F.count("*").alias("_n"))
+    return by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("_n").alias("n_repositories"))
+
+
+def _key(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("_k"), F.length(text).alias("_len")]
+
+
+def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
+                 max_owners: int = MAX_OWNERS, keep: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` (columns ``keep``, default all) with ``secrets``: an array of
+    (start, end, kind, verdict, n_owners, n_repositories), by start, then kind.
+
+    Base spans are always listed, with the verdict ``example`` where more than ``max_owners``
+    owners carry the value, else ``live``. Opaque strings are added where they look generated,
+    at most ``max_owners`` owners have them and no base span overlaps them.
+
+    Null and empty texts have no spans; repeated rows stay repeated; an empty table gives an
+    empty result. Spans follow from the text and the counts alone, so rows with equal texts get
+    equal spans. A column of ``docs`` named like an output column is replaced.
+    """
+    scratch = Scratch(docs.sparkSession, "secrets")
+    keep = [c for c in (keep or docs.columns) if c != "secrets"]
+    repo = list(dict.fromkeys(repository))
+    slim = docs.select(*_key(F.coalesce(text, F.lit(""))), F.col(owner).alias("_owner"),
+                       F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(repo)]).alias("_repo"),
+                       *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)], candidates(F.col(text)).alias("_found"))
+    rows = scratch.keep(slim.withColumn("_row", F.monotonically_increasing_id()), "candidates")
+    single = rows.where(F.size("_found") > 0).select("_row", "_owner", "_repo", F.explode("_found").alias("s"))
+    owned = ownership(single.select(F.col("s.hash").alias("hash"), "_owner", "_repo"), "_owner", ["_repo"])
+    judged = single.join(owned, F.col("s.hash") == owned["hash"]).select(
+        "_row", F.struct(
+            "s.start", "s.rank", "s.end", "s.kind",
+            F.when(F.col("n_owners") > max_owners, F.lit("example")).otherwise(F.lit("live")).alias("verdict"),
+            "n_owners", "n_repositories").alias("s"))
+    per_row = judged.groupBy("_row").agg(F.array_sort(F.collect_list("s")).alias("_s"))
+    clear = lambda s, all_: ~F.exists(all_, lambda b: (b["rank"] < len(BASE)) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    listed = per_row.select("_row", F.filter(
+        "_s", lambda s: (s["rank"] < len(BASE)) | ((s["verdict"] == "live") & clear(s, F.col("_s")))).alias("secrets"))
+    some = rows.where(F.size("_found") > 0).join(listed, "_row", "left")
+    none = rows.where(F.size("_found") == 0).withColumn("secrets", F.lit(None).cast(listed.schema["secrets"].dataType))
+    fields = "array<struct<start:int,end:int,kind:string,verdict:string,n_owners:bigint,n_repositories:bigint>>"
+    out = some.select(*none.columns).unionByName(none)
+    plain = F.transform(F.coalesce("secrets", F.array().cast(listed.schema["secrets"].dataType)), lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["verdict"].alias("verdict"),
+        s["n_owners"].alias("n_owners"), s["n_repositories"].alias("n_repositories")))
+    return out.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], plain.cast(fields).alias("secrets"))
+
+
+def redact(text: Column, secrets: Column) -> Column:
+    """``text`` with each span replaced by ``<kind:verdict>``; overlapping spans by that of the first."""
+    done = F.aggregate(
+        secrets, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda s, m: F.struct(
+            F.greatest(s["at"], m["end"]).alias("at"),
+            F.when(m["start"] >= s["at"], F.concat(
+                s["out"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), F.lit("<"), m["kind"], F.lit(":"), m["verdict"], F.lit(">")))
+            .otherwise(s["out"]).alias("out")))
+    return F.when(F.size(secrets) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def redact_documents(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with all spans redacted; columns as before, ``n_chars`` (if there is one) counted anew."""
+    out = find_secrets(docs, **how)
+    out = out.withColumn("text", redact(F.col("text"), F.col("secrets")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def digest(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
+    """kind:start:end of the spans of some kinds, comma-joined."""
+    return F.array_join(F.transform(F.filter(spans, lambda s: s["kind"].isin(*kinds)),
+                                    lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def spans_of(docs: DataFrame) -> DataFrame:
+    """The result columns of the registered query."""
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return find_secrets(docs, keep=["doc_id"]).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(digest(F.col("secrets"), BASE), 256).alias("base_sha256"), digest(F.col("secrets")).alias("spans"),
+        F.size(F.filter("secrets", lambda s: s["verdict"] == "live")).cast("long").alias("n_live"))
