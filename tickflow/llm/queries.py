@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets
+from . import decontam, mixing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,29 @@ def op6(spark, sf_dir):
 @query("op7_secret_ownership")
 def op7(spark, sf_dir):
     return secrets.spans_of(table(spark, sf_dir, "documents"))
+
+
+# words of the items and documents, windows of the items, and where they stand in the documents
+OP4_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u, 'abcdefghijklmnopqrstuvwxyz' AS l),
+iw AS (SELECT item_id, regexp_extract_all(translate(text, u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, letters),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS g
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM iw WHERE len(w) > 0)),
+dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents, letters),
+grams AS (
+    SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM dw, (SELECT DISTINCT k FROM windows))),
+hits AS (SELECT doc_id, item_id, p, k FROM grams JOIN windows USING (k, g)),
+words_hit AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS i FROM hits) GROUP BY doc_id),
+items_hit AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+              FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+"""
+
+
+@query("op4_suffix_automaton", OP4_SQL)
+def op4(spark, sf_dir):
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
