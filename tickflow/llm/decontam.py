@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shipping import ship
+
 WINDOW = 10
 #: Items go into automata of about this many bytes of text each (some 200 times as much memory).
 BLOCK_BYTES = 1 << 20
@@ -193,6 +195,7 @@ def _match(texts: list[bytes | None], automata: list) -> list[tuple[int, np.ndar
 
 
 def _broadcast_automata(docs: DataFrame, benchmark: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> list:
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     return [context.broadcast(SuffixAutomaton(block, window)) for block in _blocks(benchmark, item_id, text, block_bytes)]
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, secrets
+from . import decontam, mixing, neardup, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +32,7 @@ def op6(spark, sf_dir):
 
 @query("op7_secret_ownership")
 def op7(spark, sf_dir):
-    return secrets.spans_of(table(spark, sf_dir, "documents"))
+    return secret_scan.spans_of(table(spark, sf_dir, "documents"))
 
 
 # words of the items and documents, windows of the items, and where they stand in the documents
@@ -59,3 +59,23 @@ FROM dw LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 @query("op4_suffix_automaton", OP4_SQL)
 def op4(spark, sf_dir):
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# all pairs that share a shingle, then the least id reachable along links
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM pairs JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * shared >= 75 * (a.n + b.n - shared)),
+reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, links.v FROM reach JOIN links ON reach.r = links.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(r) AS component_id FROM reach GROUP BY d) c ON c.d = d.doc_id
+"""
+
+
+@query("op5_minhash_hamming", OP5_SQL)
+def op5(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
