@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, neardup, secret_scan
+from . import decontam, mixing, neardup, secret_scan, weak_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,9 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(r) AS component_
 @query("op5_minhash_hamming", OP5_SQL)
 def op5(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_weak_label_quality")
+def op3(spark, sf_dir):
+    scored = weak_labels.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.withColumnRenamed("accepted", "kept")
