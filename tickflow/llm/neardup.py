@@ -42,12 +42,12 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
 
 
-def _word_hashes(tokens: list[bytes]) -> np.ndarray:
+def word_hashes(tokens: list[bytes]) -> np.ndarray:
     known = _known_words
     if len(known) > REMEMBERED:
         known.clear()
@@ -73,11 +73,11 @@ def shingle_sets(texts: list[bytes | None], shingle: int = SHINGLE) -> list[np.n
         while last < len(tokens) and (last == first or total + len(tokens[last]) <= BATCH_WORDS):
             total += len(tokens[last])
             last += 1
-        hashes = _word_hashes([w for t in tokens[first:last] for w in t])
+        hashes = word_hashes([w for t in tokens[first:last] for w in t])
         rolled = np.zeros(max(0, len(hashes) - shingle + 1), dtype=np.uint64)
         for k in range(shingle):
             rolled = rolled * _STEP + hashes[k:k + len(rolled)]
-        rolled = _mixed(rolled)
+        rolled = mixed(rolled)
         at = 0
         for t in tokens[first:last]:
             n = len(t)
@@ -87,7 +87,7 @@ def shingle_sets(texts: list[bytes | None], shingle: int = SHINGLE) -> list[np.n
                 whole = np.full(1, n, dtype=np.uint64)
                 for k in range(at, at + n):
                     whole = whole * _STEP + hashes[k:k + 1]
-                sets.append(_mixed(whole))
+                sets.append(mixed(whole))
             else:
                 sets.append(np.zeros(0, dtype=np.uint64))
             at += n
@@ -105,7 +105,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     out = np.empty((len(sets), SYMBOLS), dtype=np.uint64)
     for k, a in enumerate(_MULTIPLIERS):
         out[:, k] = np.minimum.reduceat(every * a, starts)
-    return _mixed(out) & np.uint64(0xFFFF)
+    return mixed(out) & np.uint64(0xFFFF)
 
 
 def index_keys(symbols: np.ndarray) -> np.ndarray:
@@ -118,7 +118,7 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
             for j in range(CHUNK):
                 if j != gone:
                     key = (key << np.uint64(16)) | chunk[:, j]
-            keys.append(_mixed(key))
+            keys.append(mixed(key))
     return np.stack(keys, axis=1)
 
 

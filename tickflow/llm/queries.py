@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, neardup, secret_scan, weak_labels
+from . import boosted_rules, bpe_counts, decontam, mixing, neardup, secret_scan, weak_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,15 @@ def op5(spark, sf_dir):
 def op3(spark, sf_dir):
     scored = weak_labels.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return scored.withColumnRenamed("accepted", "kept")
+
+
+@query("op10_bpe_heap_counts")
+def op10(spark, sf_dir):
+    import public_tokenizers
+    return bpe_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_boosted_rules")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return boosted_rules.judge(docs, boosted_rules.fit(docs, table(spark, sf_dir, "labels")))
