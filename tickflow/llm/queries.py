@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import boosted_rules, bpe_counts, decontam, mixing, neardup, secret_scan, weak_labels
+from . import boosted_rules, bpe_counts, decontam, mixing, neardup, secret_scan, weak_labels, zip_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,24 @@ def op10(spark, sf_dir):
 def op1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return boosted_rules.judge(docs, boosted_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+# base32 of the digest: 40 groups of five bits of 160, as letters A-Z and digits 2-7
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS x FROM p),
+bits AS (SELECT page_id, n, x, array_to_string(list_transform(string_split(x, ''), lambda c: substr(
+    '0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', c) - 1)::INT + 1, 4)), '') AS b FROM d),
+g AS (SELECT x, max(page_id) AS first FROM d GROUP BY x)
+SELECT page_id, n AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+           16 * substr(b, (5 * i + 1)::INT, 1)::INT + 8 * substr(b, (5 * i + 2)::INT, 1)::INT + 4 * substr(b, (5 * i + 3)::INT, 1)::INT
+           + 2 * substr(b, (5 * i + 4)::INT, 1)::INT + substr(b, (5 * i + 5)::INT, 1)::INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM bits JOIN g USING (x)
+"""
+
+
+@query("op9_zip_warc", OP9_SQL)
+def op9(spark, sf_dir):
+    return zip_archives.round_trip(spark, table(spark, sf_dir, "pages"))
