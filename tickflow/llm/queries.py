@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import boosted_rules, bpe_counts, decontam, mixing, neardup, secret_scan, weak_labels, zip_archives
+from . import boosted_rules, bpe_counts, decontam, mixing, neardup, preferences, secret_scan, weak_labels, zip_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,39 @@ FROM bits JOIN g USING (x)
 @query("op9_zip_warc", OP9_SQL)
 def op9(spark, sf_dir):
     return zip_archives.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+# turns numbered from 1, pairs of conversations as rows, first place where they differ, and what is rendered around it
+OP8_SQL = r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, role, text
+           FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, min(i) FILTER (role = 'user') AS u, max(i) FILTER (role = 'assistant') AS last,
+             coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS chars, (max_by(role, i) = 'assistant')::INT AS ends FROM t GROUP BY conv_id),
+o AS (SELECT conv_id, ends, chars, list(struct_pack(r := role, x := text) ORDER BY i) AS opening
+      FROM t JOIN c USING (conv_id) WHERE i <= u GROUP BY ALL),
+r AS (SELECT *, first_value(conv_id) OVER (PARTITION BY opening ORDER BY ends DESC, chars DESC, conv_id) AS best FROM o),
+sides AS (
+    SELECT conv_id AS p, conv_id AS chosen_id, NULL::BIGINT AS rejected_id, 'cut' AS kind FROM c WHERE last IS NOT NULL
+    UNION ALL SELECT -1 - conv_id, best, conv_id, 'opening' FROM r WHERE best <> conv_id),
+a AS (SELECT p, i, role, text FROM sides JOIN t ON t.conv_id = chosen_id),
+b AS (SELECT p, i, role, CASE WHEN kind = 'cut' AND i = last THEN substr(text, 1, (length(text) // 2)::INT) ELSE text END AS text
+      FROM sides JOIN t ON t.conv_id = coalesce(rejected_id, chosen_id) JOIN c ON c.conv_id = t.conv_id),
+d AS (SELECT p, min(i) AS pos FROM (SELECT coalesce(a.p, b.p) AS p, coalesce(a.i, b.i) AS i FROM a FULL JOIN b ON a.p = b.p AND a.i = b.i
+      WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text) GROUP BY p),
+w AS (SELECT side, p, i, pos, role, '<|' || role || '|>' || chr(10) AS head, text, '<|end|>' || chr(10) AS tail
+      FROM (SELECT 'a' AS side, * FROM a UNION ALL SELECT 'b', * FROM b) JOIN d USING (p)),
+s AS (SELECT *, coalesce(sum(length(head) + length(text) + length(tail)) OVER (PARTITION BY side, p, i < pos ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS b0
+      FROM w),
+g AS (SELECT p, side, coalesce(string_agg(head || text || tail, '' ORDER BY i) FILTER (i < pos), '') AS prompt,
+             coalesce(string_agg(head || text || tail, '' ORDER BY i) FILTER (i >= pos), '') AS rest,
+             coalesce(string_agg(b0 || '-' || (b0 + length(text) + length(tail)), ',' ORDER BY i) FILTER (i >= pos AND role = 'assistant'), '') AS mask
+      FROM s GROUP BY p, side)
+SELECT chosen_id, rejected_id, kind, (pos - 1)::INT AS n_prefix, coalesce(x.prompt, y.prompt) AS prompt, coalesce(x.rest, '') AS chosen,
+       coalesce(y.rest, '') AS rejected, coalesce(x.mask, '') AS chosen_mask, coalesce(y.mask, '') AS rejected_mask
+FROM sides JOIN d USING (p) LEFT JOIN (SELECT * FROM g WHERE side = 'a') x USING (p) LEFT JOIN (SELECT * FROM g WHERE side = 'b') y USING (p)
+"""
+
+
+@query("op8_preference_pairs", OP8_SQL)
+def op8(spark, sf_dir):
+    return preferences.format_preferences(table(spark, sf_dir, "conversations"))
