@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import boosted_rules, bpe_counts, decontam, mixing, neardup, preferences, secret_scan, weak_labels, zip_archives
+from . import boosted_rules, bpe_counts, decontam, mixing, neardup, preferences, secret_scan, weak_labels, wrapper, zip_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,8 @@ FROM sides JOIN d USING (p) LEFT JOIN (SELECT * FROM g WHERE side = 'a') x USING
 @query("op8_preference_pairs", OP8_SQL)
 def op8(spark, sf_dir):
     return preferences.format_preferences(table(spark, sf_dir, "conversations"))
+
+
+@query("op2_wrapper_induction")
+def op2(spark, sf_dir):
+    return wrapper.extract(table(spark, sf_dir, "pages"))
