@@ -328,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     for question, labellers in (("quality", QUALITY_LABELLERS), ("abuse", ABUSE_LABELLERS)):
         # at most three votes per labeller: the number of patterns does not depend on the table
         found = voted.groupBy(question).count().collect()
-        patterns = np.array([["-0+".index(v) - 1 for v in r[0]] for r in found]).reshape(-1, len(labellers))
+        patterns = np.array([["-0+".index(v) - 1 for v in r[0]] for r in found], dtype=np.int64).reshape(-1, len(labellers))
         posterior, right, good = estimate(patterns, np.array([r[1] for r in found], dtype=float))
         report[question] = {"good": good, "right": dict(zip(labellers, right.tolist()))}
         sample = _sample(voted, question, dict(zip([r[0] for r in found], posterior)), max_training // 2)
