@@ -7,8 +7,9 @@ alike miss all chunks with a chance of 1e-7. Whatever meets is compared by 4-bit
 is near enough by its full sets.
 
 A key's bucket is never paired with itself. First every member meets the bucket's least member;
-confirmed links give components. Then only members of different components of a bucket meet, so a
-group of copies of any size costs a few links per copy.
+confirmed links give components. Buckets with members of several components are then compared in
+blocks inside tasks, first by symbols, then what is near enough by full sets; a task gives back one link
+for two components. So a group of copies of any size costs a few rows per copy.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ CHUNKS, CHUNK = 12, 4
 SYMBOLS = CHUNKS * CHUNK
 #: 4-bit symbols in which candidates may differ: 11.25 are expected at 75 %, six deviations are 17.6.
 NEAR = 29
+#: Members of a bucket in one block; a task holds two blocks.
+BLOCK = 256
 #: Words hashed at once, and words remembered by a worker.
 BATCH_WORDS, REMEMBERED = 1_000_000, 2_000_000
 
@@ -185,6 +188,96 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _groups(batches, n_keys: int):
+    """Rows of Arrow batches, grouped by their first columns; the batches are sorted by these."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:n_keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:n_keys], []
+            rows.append(row[n_keys:])
+    if rows:
+        yield key, rows
+
+
+def _open_pairs(components_: np.ndarray, sides: np.ndarray, across: bool) -> np.ndarray:
+    """Which members may still have to be linked: of different components, and of different blocks where two meet."""
+    pairs = components_[:, None] != components_[None, :]
+    return pairs & (sides[:, None] != sides[None, :]) if across else pairs
+
+
+def _nominate(batches):
+    """Of each pair of blocks, the members near enough to one of another component. Groups of the same members, met
+    under several keys, get the same name."""
+    out: list[tuple] = []
+    for (_, i, j), rows in _groups(batches, 3):
+        node, comp, side, n = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
+        near = _open_pairs(comp, side, i != j) & (100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :]))
+        if near.any():
+            differing = np.zeros(near.shape, dtype=np.int64)
+            for k in range(SYMBOLS // 16):
+                mark = np.array([r[4 + k] for r in rows], dtype=np.int64).view(np.uint64)
+                x = mark[:, None] ^ mark[None, :]
+                x |= x >> np.uint64(2)
+                x |= x >> np.uint64(1)
+                differing += np.bitwise_count(x & np.uint64(0x1111111111111111))
+            chosen = (near & (differing <= NEAR)).any(axis=1)
+            # sides matter where two blocks meet
+            members = sorted(zip(node[chosen].tolist(), comp[chosen].tolist(), (side[chosen] == j).tolist() if i != j else [False] * int(chosen.sum())))
+            name = xxhash.xxh3_64_intdigest(repr((i != j, members))) - (1 << 63)
+            out += [(name, v, c, s, i != j) for v, c, s in members]
+        if len(out) >= 20_000:
+            yield _nominated(out)
+            out = []
+    yield _nominated(out)
+
+
+def _nominated(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["name", "node", "c", "side", "across"])
+
+
+def intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products of slices of their incidence matrix."""
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, times = np.unique(every, return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    common = times[at] > 1
+    owner, at = owner[common], number[at[common]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, columns):
+        a, b = np.searchsorted(at, (first, first + columns))
+        part = np.zeros((len(sets), columns), dtype=np.float32)
+        part[owner[a:b], at[a:b] - first] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def _compare(batches):
+    """Links between members of different components, confirmed on full sets: one for two components of a group."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    out: list[tuple] = []
+    for _, rows in _groups(batches, 1):
+        node, comp, side = (np.array([r[k] for r in rows]) for k in range(3))
+        sets = shingle_sets([unpack(r[4]) for r in rows])
+        n = np.array([len(s) for s in sets], dtype=np.int64)
+        both = intersections(sets)
+        linked = _open_pairs(comp, side, rows[0][3]) & (100 * both >= PERCENT * (n[:, None] + n[None, :] - both))
+        found = {}
+        for x, y in zip(*np.nonzero(np.triu(linked))):
+            found.setdefault((min(comp[x], comp[y]), max(comp[x], comp[y])), (int(node[x]), int(node[y])))
+        out += found.values()
+        if len(out) >= 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], names=["u", "v"])
+            out = []
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], names=["u", "v"])
+
+
 def _differing(a: str, b: str) -> Column:
     """4-bit symbols in which two sketches differ."""
     total = None
@@ -245,15 +338,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     stars = members.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     links = confirmed(plausible(stars), "links")
     first = scratch.keep(components(links, scratch), "components")
-    # what is left: members of one bucket in different components, but for the pairs compared already
-    placed = members.join(first, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(split, "key", "left_semi").join(facts, "node")
-    a, b = open_.alias("a"), open_.alias("b")
-    rest = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.c") != F.col("b.c"))
-                   & (F.col("a.node") != F.col("a.least")) & _near("a", "b"))
-            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
-    more = confirmed(rest, "more")
+    # what is left: buckets with members of different components
+    placed = members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("lo < hi")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    open_ = (placed.join(split.select("key", "blocks"), "key").withColumn("side", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "c", "side"))
+    met = (open_.join(facts, "node").select("key", "i", "j", "node", "c", "side", "n_shingles", *marks)
+           .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    named_ = met.mapInArrow(_nominate, "name bigint, node bigint, c bigint, side boolean, across boolean").distinct()
+    nominated = named_.join(bodies, "node").select("name", "node", "c", "side", "across", "body").repartition("name").sortWithinPartitions("name")
+    more = scratch.keep(nominated.mapInArrow(_compare, "u bigint, v bigint"), "more")
     merged = components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more), scratch)
     # a component is named by the least id of its documents
     nodes = some.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(merged, "node", "left").select(
