@@ -30,8 +30,8 @@ def bars_ohlcv(spark, sf):
 
 @query("bars_sliced", "bars", BAR_SQL)
 def bars_sliced(spark, sf):
-    """The same with every bar of over 16 ticks cut into slices."""
-    return rounded(ob.tick_bars(t.ticks(spark, sf), t.BAR, hot_ticks=16, slices=64), *PRICES)
+    """The same with other slices."""
+    return rounded(ob.tick_bars(t.ticks(spark, sf), t.BAR, slices=7), *PRICES)
 
 
 @query("bars_plain", "bars", f"SELECT symbol, window_start, window_end, {rnd(*PRICES[:-1])}, "
@@ -332,9 +332,10 @@ def kpis(spark, sf):
 
 
 @query("hist30", "ticks", """
-    SELECT bin, round(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 30, 6) AS bin_start, count(*) AS count
-    FROM (SELECT lo, hi, CAST(least(floor((price - lo) / ((hi - lo) / 30)), 29) AS BIGINT) AS bin
-          FROM ticks, (SELECT min(price) AS lo, max(price) AS hi FROM ticks)) GROUP BY bin""")
+    , b AS (SELECT min(price) AS lo, max(price) AS hi FROM ticks),
+    c AS (SELECT CAST(least(floor((price - lo) / ((hi - lo) / 30)), 29) AS BIGINT) AS bin, count(*) AS n FROM ticks, b GROUP BY 1)
+    SELECT bin, round(lo + bin * (hi - lo) / 30, 6) AS bin_start, coalesce(n, 0) AS count
+    FROM (SELECT unnest(range(30)) AS bin) LEFT JOIN c USING (bin), b""")
 def hist30(spark, sf):
     return rounded(stats.histogram(t.ticks(spark, sf), "price"), "bin_start")
 

@@ -39,7 +39,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "first_posts": ([], """
         SELECT e.ts AS created_at, d.doc_id AS id, d.text, d.lang, d.source AS keyword,
                json_extract_string(e.props, '$.k') AS likes
-        FROM documents d JOIN events e ON e.event_id = d.doc_id * 10"""),
+        FROM documents d JOIN events e ON e.event_id = (d.doc_id * 10) % (SELECT count(*) FROM events)"""),
     "raw_posts": (["first_posts"], """
         SELECT * FROM first_posts UNION ALL
         SELECT created_at + INTERVAL 1 HOUR, id, text, lang, keyword || '-again', likes
@@ -143,7 +143,10 @@ CTES: dict[str, tuple[list[str], str]] = {
     "sparse": ([], """
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, o_orderkey, o_orderstatus, o_totalprice,
                o_orderdate, o_orderpriority
-        FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 300000) o ON c_custkey = o_custkey"""),
+        FROM customer LEFT JOIN (
+            SELECT * REPLACE (CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS o_totalprice,
+                              CASE WHEN o_orderkey % 20 <> 0 THEN o_orderpriority END AS o_orderpriority) FROM orders) o
+            ON c_custkey = o_custkey"""),
 }
 
 

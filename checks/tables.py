@@ -55,7 +55,8 @@ def raw_posts(spark, sf_dir) -> DataFrame:
     """Posts with every twentieth one harvested twice, an hour apart."""
     docs = table(spark, sf_dir, "documents")
     ev = events(spark, sf_dir)
-    posts = (docs.join(ev, ev.event_id == docs.doc_id * 10)
+    n = ev.agg(F.count(F.lit(1)).alias("n")).scalar()      # so that every document finds an event
+    posts = (docs.join(ev, ev.event_id == F.pmod(docs.doc_id * 10, n))
              .select(F.col("ts").alias("created_at"), F.col("doc_id").alias("id"), "text", "lang",
                      F.col("source").alias("keyword"), F.get_json_object("props", "$.k").alias("likes")))
     again = (posts.where("id % 20 = 0")
@@ -155,9 +156,11 @@ def lineage(spark, sf_dir) -> DataFrame:
 
 
 def sparse_orders(spark, sf_dir) -> DataFrame:
-    """Customers with their large orders, so the order columns hold NULLs."""
+    """Orders with their customers; of the order columns one lacks half its values, one a twentieth."""
     c = table(spark, sf_dir, "customer")
-    o = table(spark, sf_dir, "orders").where("o_totalprice > 300000")
+    o = table(spark, sf_dir, "orders").withColumns({
+        "o_totalprice": F.when(F.col("o_orderkey") % 2 == 1, F.col("o_totalprice")),
+        "o_orderpriority": F.when(F.col("o_orderkey") % 20 != 0, F.col("o_orderpriority"))})
     return c.join(o, c.c_custkey == o.o_custkey, "left").drop("o_custkey")
 
 

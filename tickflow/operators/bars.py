@@ -10,14 +10,16 @@ from pyspark.sql.column import Column
 
 from ..functions.scalar import ratio
 
-#: Bars with more ticks than this are cut into slices of time.
-HOT_TICKS = 1_000_000
-#: Slices per hot bar.
-HOT_SLICES = 4096
+#: Slices of time a bar is cut into.
+SLICES = 256
 
 
-def _tick_order() -> Column:
-    return F.struct("event_time", "trade_id")
+def tick_order() -> Column:
+    """Event time, then trade id, as one number. Its fixed width keeps ``min_by`` and ``max_by``
+    in hash aggregates; with a struct Spark would sort all ticks."""
+    micros = F.unix_micros(F.col("event_time").cast("timestamp")).cast("decimal(18,0)")
+    trade = F.coalesce(F.col("trade_id"), F.lit(-(1 << 63))).cast("decimal(19,0)")
+    return (micros * F.lit("20000000000000000000").cast("decimal(20,0)") + trade).cast("decimal(38,0)")
 
 
 def _with_bar(ticks: DataFrame, width: str) -> DataFrame:
@@ -32,7 +34,7 @@ def ohlcv(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = ("sym
 
     Open and close follow event time and trade id, not arrival.
     """
-    at = _tick_order()
+    at = tick_order()
     return (_with_bar(ticks, width).groupBy(*keys, "window_start", "window_end")
             .agg(F.min_by("price", at).alias("open"), F.max("price").alias("high"),
                  F.min("price").alias("low"), F.max_by("price", at).alias("close"),
@@ -40,31 +42,23 @@ def ohlcv(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = ("sym
 
 
 def tick_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = ("symbol",),
-              hot_ticks: int | None = HOT_TICKS, slices: int = HOT_SLICES) -> DataFrame:
+              slices: int = SLICES) -> DataFrame:
     """Bars with the population deviation of simple tick-to-tick returns.
 
     Returns whose prior price is 0 are left out; a bar without any return has
-    NULL volatility. Needing tick order, the ticks are shuffled once by bar. A
-    bar with over ``hot_ticks`` ticks is cut into ``slices`` parts by time, so it
-    spreads over tasks; each part is reduced to its prices at both ends and its
-    return moments, and the parts (at most ``slices`` per bar) are merged.
+    NULL volatility. Needing tick order, the ticks are shuffled once, by slices: every
+    bar is cut into ``slices`` parts by time, so a busy one spreads over tasks. Each
+    part is reduced to its prices at both ends and its return moments, and the parts
+    (at most ``slices`` per bar) are merged.
     """
     keys = list(keys)
     bar = [*keys, "window_start", "window_end"]
     rows = _with_bar(ticks, width)
-    if hot_ticks is None:
-        rows = rows.withColumn("_slice", F.lit(0))
-    else:
-        hot = (rows.groupBy(*keys, "window_start").agg(F.count(F.lit(1)).alias("_ticks"))
-               .where(F.col("_ticks") > hot_ticks)
-               .select(*keys, "window_start", F.lit(True).alias("_hot")))
-        span = F.timestamp_diff("MICROSECOND", F.col("window_start"), F.col("window_end"))
-        into = F.timestamp_diff("MICROSECOND", F.col("window_start"), F.col("event_time"))
-        rows = (rows.join(hot, [*keys, "window_start"], "left")
-                .withColumn("_slice", F.when(F.col("_hot"), F.floor(into * slices / span).cast("int"))
-                            .otherwise(F.lit(0))))
+    span = F.timestamp_diff("MICROSECOND", F.col("window_start"), F.col("window_end"))
+    into = F.timestamp_diff("MICROSECOND", F.col("window_start"), F.col("event_time"))
+    rows = rows.withColumn("_slice", F.floor(into * slices / span).cast("int"))
     part = [*bar, "_slice"]
-    at = _tick_order()
+    at = tick_order()
     prior = F.lag("price").over(Window.partitionBy(*part).orderBy("event_time", "trade_id"))
     parts = (rows.withColumn("_prior", prior)
              .withColumn("_ret", ratio(F.col("price") - F.col("_prior"), "_prior"))

@@ -99,12 +99,12 @@ def split_tail(indexed: DataFrame, share: float = TRAIN_SHARE) -> tuple[DataFram
 
 
 def score(model, rows: DataFrame | None, version: str, features: Sequence[str] = FEATURES) -> DataFrame | None:
-    """Predictions for rows whose features are all known. Without a model nothing is scored."""
+    """Predictions for rows whose features are all known, as the model gives them (rejecting
+    negative ones is up to ``schemas.prediction_rules``). Without a model nothing is scored."""
     if model is None or rows is None:
         return None
     ready = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in features]))
-    return (model.transform(ready).withColumn("predicted_vol", F.greatest("predicted_vol", F.lit(0.0)))
-            .withColumn("model_version", F.lit(version)).drop("features"))
+    return model.transform(ready).withColumn("model_version", F.lit(version)).drop("features")
 
 
 def cross_validate(folded: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,

@@ -14,50 +14,61 @@ from ..functions.scalar import age_minutes, json_field
 
 #: Fixed value: share of NULLs (percent) from which a column fails.
 NULL_LIMIT_PCT = 10.0
-LONG_TEXT = 64
 
 
-def _short(text: Column) -> Column:
-    return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
+def _value(df: DataFrame, name: str, numeric: bool) -> Column:
+    """What counts as a value of a column: NaN is none, both zeros are one. Texts are
+    known by their SHA-256; those declared numeric keep their wording, to be parsed."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        c = F.when(~F.isnan(c), c + F.lit(0.0).cast(kind))
+    text = c.cast("string")
+    return text if numeric or not isinstance(kind, T.StringType) else F.sha2(text, 256)
 
 
 def profile(df: DataFrame, table: str, numeric: Sequence[str] | None = None,
-            limit: float = NULL_LIMIT_PCT) -> DataFrame:
-    """One row per column: NULLs, distinct values, numbers that do not parse, min, max, mean.
+            limit: float = NULL_LIMIT_PCT, distinct_rsd: float | None = None,
+            checked_at: Column | None = None) -> DataFrame:
+    """One row per column, also for an empty table: NULLs, distinct values, numbers that do not
+    parse, min, max, mean.
 
     Reads every row once. The columns are turned into (column, value) pairs and
     counted per value in two steps, so the distinct count of all columns needs
-    one shuffle, combined before it; no column lands in one task. Texts of over
-    ``LONG_TEXT`` characters travel as their SHA-256.
-    ``numeric`` names columns declared numeric (default: those typed so).
+    one shuffle, combined before it; no column lands in one task. With ``distinct_rsd``
+    distinct values are estimated by a sketch of that deviation instead, and nothing but one row
+    per task and column is shuffled. ``numeric`` names columns declared numeric (default: those
+    typed so); ``checked_at`` adds a column of that name, for a history of profiles.
     """
     declared = set(numeric if numeric is not None else
                    [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
-    # the number behind a value is worked out once per distinct value, not per cell
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("at"),
-                 (F.col(f"`{c}`").cast("string") if c in declared else _short(F.col(f"`{c}`").cast("string")))
-                 .alias("value"))
-        for i, c in enumerate(df.columns)])
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), _value(df, c, c in declared).alias("value"))
+                      for i, c in enumerate(df.columns)])
     is_numeric = F.col("at").isin(*[i for i, c in enumerate(df.columns) if c in declared]) if declared else F.lit(False)
-    values = (df.select(F.explode(cells).alias("cell")).select("cell.*")
-              .groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"))
-              .withColumns({"column_name": F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("at") + 1),
-                            "numeric": is_numeric, "number": F.when(is_numeric, F.col("value").try_cast("double"))}))
+    values = df.select(F.explode(cells).alias("cell")).select("cell.*")
+    if distinct_rsd is None:
+        # the number behind a value is worked out once per distinct value, not per cell
+        values = values.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"))
+        distinct = F.count("value")
+    else:
+        values = values.withColumn("n", F.lit(1).cast("bigint"))
+        distinct = F.approx_count_distinct("value", distinct_rsd)
+    values = values.withColumns({"numeric": is_numeric, "number": F.when(is_numeric, F.col("value").try_cast("double"))})
     null = F.col("value").isNull()
-    per_column = values.groupBy("column_name").agg(
+    per_column = values.groupBy("at").agg(
         F.sum("n").alias("total_rows"),
-        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("distinct_count"),
-        F.coalesce(F.sum(F.when(F.col("numeric") & ~null & F.col("number").isNull(), F.col("n"))), F.lit(0))
-        .alias("type_mismatch"),
+        F.sum(F.when(null, F.col("n"))).alias("null_count"), distinct.alias("distinct_count"),
+        F.sum(F.when(F.col("numeric") & ~null & F.col("number").isNull(), F.col("n"))).alias("type_mismatch"),
         F.min("number").alias("min_value"), F.max("number").alias("max_value"),
         F.try_divide(F.sum(F.col("number") * F.col("n")),
                      F.sum(F.when(F.col("number").isNotNull(), F.col("n")))).alias("mean_value"))
-    pct = F.round(F.col("null_count") * 100.0 / F.col("total_rows"), 2)
-    return (per_column.withColumn("null_percent", pct)
-            .withColumn("quality_status", F.when(F.col("null_percent") < limit, "ok").otherwise("failed"))
-            .withColumn("table_name", F.lit(table)))
+    names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "at int, column_name string")
+    counts = ["total_rows", "null_count", "distinct_count", "type_mismatch"]
+    out = names.join(per_column, "at", "left").drop("at").fillna(0, counts)
+    pct = F.coalesce(F.round(F.try_divide(F.col("null_count") * 100.0, F.col("total_rows")), 2), F.lit(0.0))
+    out = (out.withColumn("null_percent", pct)
+           .withColumn("quality_status", F.when(F.col("null_percent") < limit, "ok").otherwise("failed"))
+           .withColumn("table_name", F.lit(table)))
+    return out if checked_at is None else out.withColumn("checked_at", checked_at)
 
 
 def profile_alerts(profiled: DataFrame, limit: float = NULL_LIMIT_PCT) -> DataFrame:

@@ -34,14 +34,17 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins between min and max; the maximum belongs to the last bin."""
+    """Equal-width bins between min and max, those without rows included; the maximum belongs to the last bin."""
     value = F.col(column).cast("double")
     bounds = one_row(df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")))
     width = (bounds["hi"] - bounds["lo"]) / bins
     at = F.coalesce(F.floor(F.try_divide(value - bounds["lo"], width)), F.lit(0))
     placed = df.where(F.col(column).isNotNull()).select(F.least(at, F.lit(bins - 1)).alias("bin"))
-    return (placed.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-            .select("bin", (bounds["lo"] + F.col("bin") * width).alias("bin_start"), "count"))
+    counted = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    return (every.join(counted, "bin", "left").where(bounds["lo"].isNotNull())
+            .select("bin", (bounds["lo"] + F.col("bin") * width).alias("bin_start"),
+                    F.coalesce("count", F.lit(0)).alias("count")))
 
 
 def hour_quartiles(df: DataFrame, time: str, value: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from ..session import cut_lineage
 
@@ -34,34 +35,48 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> D
             .drop("_place", "_part", "_local", "_offset"))
 
 
+#: Chunks per doubling of the value, and a shift that keeps positive numbers above 0.
+_PER_DOUBLING, _SHIFT = 256, 300_000
+
+
+def _value_chunk(value: Column) -> Column:
+    """A whole number that never falls as the value rises; values of one chunk differ by 0.3 % at most."""
+    size = F.floor(F.log2(F.abs(value)) * _PER_DOUBLING) + _SHIFT
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probabilities: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles per key (``{"q1": 0.25}`` -> column ``q1``).
+    """Interpolated quantiles per key (``{"q1": 0.25}`` -> column ``q1``); NULL and NaN don't count.
 
-    Spark's ``percentile`` keeps every distinct value of a group in one task;
-    here the values are sorted over all tasks and only the ranks that matter are kept.
+    Equal values are counted before anything is ordered, so a value that repeats in any number of
+    rows is one row. Counts per chunk of close values tell which chunk holds a rank, and only these
+    chunks are ordered inside. Nothing is sorted as a whole.
     """
     keys = list(keys)
-    # NaN would sort behind every number; the feature tables hold none
-    indexed = row_index(df.where(F.col(value).isNotNull()).select(*keys, value), [*keys, value])
-    sizes = indexed.groupBy(*keys).agg(F.min("row_index").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    spots = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p"))
-                      for n, p in probabilities.items()])
-    wanted = (sizes.select(*keys, "_first", "_n", F.explode(spots).alias("_s"))
-              .withColumn("_at", F.col("_s.p") * (F.col("_n") - 1))
-              .withColumn("_low", F.floor("_at"))
-              .withColumn("_share", F.col("_at") - F.col("_low"))
-              .withColumn("_high", F.ceil("_at")))
-    ranks = wanted.select(
-        *keys, F.col("_s.name").alias("_name"), "_n", "_share",
-        F.explode(F.array(
-            F.struct((F.col("_first") + F.col("_low")).alias("row_index"), F.lit(0).alias("end")),
-            F.struct((F.col("_first") + F.col("_high")).alias("row_index"), F.lit(1).alias("end")))).alias("_r"))
-    ranks = ranks.select(*keys, "_name", "_n", "_share", "_r.*")
-    # row_index is unique over the table, so it alone identifies the row
-    hits = ranks.join(indexed.select("row_index", value), "row_index")
-    low = F.max(F.when(F.col("end") == 0, F.col(value)))
-    high = F.max(F.when(F.col("end") == 1, F.col(value)))
+    v = F.col(value).cast("double")
+    counts = (df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, (v + F.lit(0.0)).alias("_v"))
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_chunk", _value_chunk(F.col("_v"))))
+    chunks = counts.groupBy(*keys, "_chunk").agg(F.sum("_c").alias("_in"))
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    chunks = chunks.withColumns({
+        "_before": F.coalesce(F.sum("_in").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_n": F.sum("_in").over(Window.partitionBy(*keys))})
+    spots = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probabilities.items()])
+    wanted = chunks.select(*keys, "_chunk", "_before", "_in", "_n", F.explode(spots).alias("_s"))
+    at = F.col("_s.p") * (F.col("_n") - 1)
+    ends = F.array(F.struct(F.floor(at).alias("rank"), F.lit(0).alias("end")), F.struct(F.ceil(at).alias("rank"), F.lit(1).alias("end")))
+    wanted = (wanted.select(*keys, "_chunk", "_before", "_in", "_n", F.col("_s.name").alias("_name"),
+                            (at - F.floor(at)).alias("_share"), F.explode(ends).alias("_e"))
+              .select("*", "_e.*").where((F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_in")))
+              .drop("_e", "_in"))
+    opened = counts.join(wanted.select(*keys, "_chunk", "_before").distinct(), [*keys, "_chunk"])
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_v")
+    ranked = opened.withColumn("_last", F.col("_before") + F.sum("_c").over(inside)).withColumn(
+        "_first", F.col("_last") - F.col("_c")).drop("_before", "_c")
+    hits = wanted.drop("_before").join(ranked, [*keys, "_chunk"]).where(
+        (F.col("rank") >= F.col("_first")) & (F.col("rank") < F.col("_last")))
+    low, high = (F.max(F.when(F.col("end") == e, F.col("_v"))) for e in (0, 1))
     points = hits.groupBy(*keys, "_name", "_n", "_share").agg(low.alias("_lo"), high.alias("_hi"))
     points = points.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share"))
     return (points.groupBy(*keys)

@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE merges partitions but never adds any: large jobs raise both, so that a partition fits its task's memory
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

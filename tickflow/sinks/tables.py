@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,10 @@ class Table:
     def _stored_rows(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(self.stored).parquet(self.path)
-        except AnalysisException:      # nothing written yet
-            return None
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None      # nothing written yet
 
     def _plain(self, rows: DataFrame | None) -> DataFrame:
         if rows is None:
@@ -53,17 +56,13 @@ class Table:
         return self._plain(rows)
 
     def days_of(self, batch: DataFrame) -> DataFrame:
-        """Rows of the days the batch touches. A day is a partition, so the filter
-        prunes files; a batch covers few days, and a long one reads by join."""
-        days = [r[0] for r in batch.select(F.to_date(self.time)).distinct().limit(1001).collect()]
+        """Rows of the days the batch touches. A day is a partition, so the filter prunes
+        files; its values are days, a list that grows with the calendar and not with the rows."""
         rows = self._stored_rows()
         if rows is None:
             return self._plain(None)
-        if len(days) <= 1000:
-            rows = rows.where(F.col(DATE).isin(days))
-        else:
-            rows = rows.join(batch.select(F.to_date(self.time).alias(DATE)).distinct(), DATE, "left_semi")
-        return self._plain(rows)
+        days = [r[0] for r in batch.select(F.to_date(self.time)).distinct().collect()]
+        return self._plain(rows.where(F.col(DATE).isin(days)))
 
     def folders(self, last: Column) -> list:
         """Days up to that of ``last`` that have a folder."""
@@ -77,6 +76,10 @@ class Table:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
+    def _keyed(self) -> Column:
+        """Whether a row has its whole key; as with NOT NULL columns, others are not stored."""
+        return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+
     @contextmanager
     def _staged(self, df: DataFrame):
         """``df`` computed once, in the shared folder; merging reads it several times."""
@@ -87,6 +90,13 @@ class Table:
         finally:
             self.delete_path(stage)
 
+    @contextmanager
+    def _usable(self, batch: DataFrame):
+        """(staged rows with their whole key, number of rows without)."""
+        with self._staged(batch) as rows:
+            lost = rows.where(~self._keyed()).count()
+            yield rows.where(self._keyed()), lost
+
     def _write(self, df: DataFrame, mode: str) -> None:
         (df.withColumn(DATE, F.to_date(self.time)).hint("rebalance", DATE)
          .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(self.path))
@@ -102,21 +112,24 @@ class Table:
 
     def insert_absent(self, batch: DataFrame, order: Sequence[str] | None = None) -> tuple[int, int]:
         """Append rows with unknown keys; returns (written, rejected). Of several rows with
-        one key the first in ``order`` counts (default: all columns)."""
-        with self._staged(batch) as rows:
+        one key the first in ``order`` counts (default: all columns). Rows that lack a part
+        of the key are rejected."""
+        with self._usable(batch) as (rows, lost):
             known = self.days_of(rows)
             counts = policies.insert_counts(rows, known, self.keys).first()
             if counts["rows_written"]:
                 self.append(policies.absent(rows, known, self.keys, order or self._rest()))
-        return counts["rows_written"], counts["rows_rejected"]
+        return counts["rows_written"], counts["rows_rejected"] + lost
 
     def upsert(self, batch: DataFrame, update: Sequence[str] | None = None, compute=None,
-               order: Sequence[str] | None = None) -> None:
+               order: Sequence[str] | None = None) -> int:
         """Merge by key, rewriting only the days touched. Replaying a batch changes nothing.
-        Of several rows with one key the last in ``order`` counts (default: all columns)."""
-        with self._staged(batch) as rows:
+        Of several rows with one key the last in ``order`` counts (default: all columns).
+        Rows that lack a part of the key are rejected; returns their number."""
+        with self._usable(batch) as (rows, lost):
             last = policies.last_in_batch(rows, self.keys, order or self._rest())
             self.replace_days(policies.upsert(self.days_of(rows), last, self.keys, update, compute))
+        return lost
 
     def _rest(self) -> list[str]:
         return [c for c in self.schema.fieldNames() if c not in self.keys]
@@ -132,21 +145,23 @@ def load_tables(targets: dict[str, tuple[Table, str]], frames: dict[str, DataFra
             continue
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        table.append(df) if policy == "append" else table.upsert(df)
-        done[name] = (seen.get["rows"], 0)
+        lost = table.append(df) or 0 if policy == "append" else table.upsert(df)
+        done[name] = (seen.get["rows"] - lost, lost)
     return done
 
 
 def post_lake(posts: DataFrame, path: str, slot: str = "30 minutes", time: str = "created_at") -> None:
     """Posts into ``year/month/day/slot`` folders by their slot's start.
 
+    A slot that is written again replaces its folder, so a retry leaves it as it was.
     Rebalancing gives a folder one file, or several of even size if it is large.
     """
     start = F.window(time, slot).getField("start")
     (posts.withColumn("_start", start)
      .withColumn("year", F.date_format("_start", "yyyy")).withColumn("month", F.date_format("_start", "MM"))
      .withColumn("day", F.date_format("_start", "dd")).withColumn("slot", F.date_format("_start", "HH_mm"))
-     .drop("_start").hint("rebalance", "year", "month", "day", "slot").write.mode("append").partitionBy("year", "month", "day", "slot").parquet(path))
+     .drop("_start").hint("rebalance", "year", "month", "day", "slot").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("year", "month", "day", "slot").parquet(path))
 
 
 def topic_messages(predictions: DataFrame) -> DataFrame:
@@ -178,8 +193,40 @@ def run_row(spark: SparkSession, pipeline: str, source: str, target: str, writte
     return conform(row, RUNS)
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table: a folder per run."""
+    try:
+        return spark.read.schema(RUNS).parquet(path).select(*RUNS.fieldNames())
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUNS)
+
+
+def _write_runs(rows: DataFrame, path: str) -> None:
+    (rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))
+
+
 def log_run(spark: SparkSession, path: str, *args, **kwargs) -> None:
-    run_row(spark, *args, **kwargs).coalesce(1).write.mode("append").parquet(path)
+    """Store a run. A run that is there already stays as it was first logged: what a
+    replay writes or rejects says nothing about the run."""
+    row = run_row(spark, *args, **kwargs)
+    run_id = kwargs.get("run_id")
+    if run_id is None or read_runs(spark, path).where(F.col("run_id") == run_id).isEmpty():
+        _write_runs(row, path)
+
+
+def mark_run_failed(spark: SparkSession, path: str, run_ids: Sequence[str], as_of: Column | None = None) -> None:
+    """Set stored runs to failed and finished; other runs' folders are not touched."""
+    hit = read_runs(spark, path).where(F.col("run_id").isin(list(run_ids)))
+    failed = policies.mark_failed(hit, hit.select("run_id"), as_of if as_of is not None else F.current_timestamp())
+    # a table cannot be overwritten while it is read, so the few rows are kept first
+    stage = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
+    failed.write.parquet(stage)
+    _write_runs(spark.read.schema(RUNS).parquet(stage), path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(stage)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def purge(table: Table, as_of, span: str = "30 DAYS") -> None:

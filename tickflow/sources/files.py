@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def raw_posts(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files under a dated tree; an empty lake is an error."""
-    posts = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    """The posts of a lake laid out as ``year/month/day/slot``; these are columns, and a filter on
+    them opens only the folders it names. An empty lake is an error."""
+    posts = spark.read.parquet(path)
     if posts.isEmpty():
         raise ValueError(f"no posts under {path}")
     return posts
@@ -22,13 +23,11 @@ def register_external(spark: SparkSession, name: str, path: str, fmt: str = "par
 
 def harvested_csv(spark: SparkSession, path: str, keyword: str, latest_only: bool = True) -> DataFrame:
     """Posts of the newest CSV file under ``path``, tagged with the keyword they were searched by."""
-    rows = (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
-            .withColumn("_file", F.col("_metadata.file_path")))
-    if latest_only:
-        listing = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
-        newest = listing.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).select(F.col("path").alias("_file"))
-        rows = rows.join(F.broadcast(newest), "_file", "left_semi")   # one row
-    return rows.drop("_file").withColumn("keyword", F.lit(keyword))
+    if latest_only:      # from the listing alone; the other files are not opened
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path", "modificationTime")
+        path = listing.orderBy(F.desc("modificationTime"), F.desc("path")).first()["path"]
+    rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+    return rows.withColumn("keyword", F.lit(keyword))
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,

@@ -12,8 +12,8 @@ from ..functions.token import decode_token
 from ..operators.bars import kline_volatility
 from ..schemas import RAW_FIELDS, TICK_PAYLOAD
 
-# How the tick topic is read.
-STREAM_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "2000"}
+#: How the tick topic is read. Nothing caps a trigger, and messages the topic has dropped unread are an error.
+STREAM_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "true"}
 
 
 def stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
+from ..operators.bars import tick_order
+
 # Bar width, lateness allowed, and the trigger interval.
 WIDTH = "1 minute"
 WATERMARK = "1 minute"
@@ -33,7 +35,7 @@ def _steps(prices: Column) -> Column:
 def stream_ohlcv(ticks: DataFrame, width: str = WIDTH, late: str = WATERMARK,
                  keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Bars without volatility; the state per open bar is one row."""
-    at = F.struct("event_time", "trade_id")
+    at = tick_order()
     return (ticks.withWatermark("event_time", late).groupBy(F.window("event_time", width).alias("w"), *keys)
             .agg(F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
                  F.max_by("price", at).alias("close"), F.sum("quantity").alias("volume"),
