@@ -15,7 +15,6 @@ from .registry import query, rounded
 
 ORDER = ["window_start", "symbol"]
 REGIME_FEATURES = ["rolling_vol", "price_range_ratio", "vol_ratio"]
-FEW_TREES = 10      # boosting rounds in the registered queries
 
 
 def features(spark, sf):
@@ -51,19 +50,19 @@ def training_rows(spark, sf):
 def gbt_scores(spark, sf):
     indexed = row_index(features(spark, sf), ORDER)
     train, tail = ml.split_tail(indexed)
-    model = ml.train_gbt(train, tail, maxIter=FEW_TREES)
+    model = ml.train_gbt(train, tail)
     return ml.score(model, tail, "v1").select("symbol", "window_start", "predicted_vol", TARGET, "model_version")
 
 
 @query("gbt_cv")
 def gbt_cv(spark, sf):
-    return ml.cross_validate(ml.time_folds(features(spark, sf), ORDER), maxIter=3)
+    return ml.cross_validate(ml.time_folds(features(spark, sf), ORDER))
 
 
 @query("gbt_importances")
 def gbt_importances(spark, sf):
     train, tail = ml.split_tail(row_index(features(spark, sf), ORDER))
-    model = ml.train_gbt(train, tail, maxIter=FEW_TREES)
+    model = ml.train_gbt(train, tail)
     return spark.createDataFrame(ml.importances(model), "feature string, importance double")
 
 

@@ -1,7 +1,5 @@
 """Every registered query runs, and equals its SQL where it has one."""
 
-import os
-
 import pytest
 
 import __spark_entry__ as entry
@@ -9,12 +7,7 @@ from checks.compare import connect, difference
 from conftest import SF
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-# The driver compares all of them; here a part, unless TEST_ALL is set.
-QUICK = ("bars_ohlcv bars_sliced tick_parse tick_good tick_dlq kline_volatility bar_reject_reasons feature_view ffill_last "
-         "sentiment_asof realized_vol interval_join_slot champion hist30 hour_quartiles post_dedup sentiment_slots "
-         "stale_carry post_csv insert_counts stored_bars column_profile dq_summary expectations audit_diff alert_rules "
-         "alert_sustained log_summary run_success lineage_graph external_table ts_folds regime_labels gbt_scores "
-         "stream_bars stream_dlq token_decode").split()
+LLM = {*(entry.llm.QUERIES if entry.llm else ()), "pipeline"}      # these have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +19,7 @@ def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in QUICK or os.environ.get("TEST_ALL")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in LLM])
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     if name in SQL:

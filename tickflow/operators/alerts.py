@@ -70,7 +70,8 @@ def _compare(value: Column, op: str, limit: float) -> Column:
 def evaluate_at(tables: dict[str, DataFrame], rules: Sequence[Rule], as_of: Column) -> DataFrame:
     """One row per rule: value, breach and state at the instant ``as_of``.
 
-    Rules on the same table share one scan, each as conditional aggregates.
+    Rules on the same table share one scan, each as conditional aggregates; the scan takes
+    the longest look-back of its rules, or up to ``as_of`` if one asks for the last value.
     """
     out = []
     for name in dict.fromkeys(r.table for r in rules):
@@ -95,7 +96,15 @@ def evaluate_at(tables: dict[str, DataFrame], rules: Sequence[Rule], as_of: Colu
                 F.lit(r.rule_id).alias("rule_id"), F.lit(r.severity).alias("severity"), value.alias("value"),
                 F.coalesce(breach, F.lit(r.no_data == "Alerting")).alias("breach"),
                 F.when(value.isNull(), r.no_data).when(breach, "Alerting").otherwise("Normal").alias("state")))
-        out.append(tables[name].agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+        ts = F.col(group[0].time)
+        needed = ts <= as_of
+        if len({r.time for r in group}) == 1:
+            if all(r.measure != "last" for r in group):
+                needed = needed & (ts > as_of - F.expr(f"INTERVAL {max(r.lookback for r in group)} MINUTES"))
+            rows_needed = tables[name].where(needed)
+        else:
+            rows_needed = tables[name]
+        out.append(rows_needed.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
     return reduce(lambda a, b: a.unionByName(b), out)
 
 

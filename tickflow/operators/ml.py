@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from random import Random
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
@@ -30,6 +31,8 @@ STOP_BELOW = 1e-4
 CLUSTER_RANGE = range(2, 10)
 CLUSTER_SEEDS = (0, 42, 123, 999)
 PREFERRED_K = 3
+#: Starts per K and seed, of which the best counts.
+STARTS = 10
 
 # Names of regimes by rank of mean volatility.
 REGIME_NAMES = {
@@ -132,16 +135,24 @@ def importances(model, features: Sequence[str] = FEATURES) -> list[tuple[str, fl
     return list(zip(features, [float(v) for v in model.stages[-1].featureImportances.toArray()]))
 
 
+def best_kmeans(vectors: DataFrame, k: int, seed: int, starts: int = STARTS, **columns: str):
+    """The model of least inertia among ``starts`` runs, the first with ``seed`` and the others with seeds drawn from it."""
+    draw = Random(seed)
+    models = [KMeans(k=k, seed=s, **columns).fit(vectors) for s in [seed, *[draw.getrandbits(31) for _ in range(starts - 1)]]]
+    return min(models, key=lambda m: m.summary.trainingCost)
+
+
 def kmeans_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE,
-                 seeds: Sequence[int] = (42,)) -> DataFrame:
-    """Inertia, silhouette and cluster sizes per K and seed on standardized features."""
+                 seeds: Sequence[int] = (42,), starts: int = STARTS) -> DataFrame:
+    """Inertia, silhouette and cluster sizes per K (below the row count) and seed on standardized features,
+    of the best of ``starts`` runs each."""
     rows = _assembler(features).transform(standardize(df.select(*features).dropna(), features)).select("features")
     rows.persist()
     judge = ClusteringEvaluator(predictionCol="cluster")
-    out = []
-    for k in ks:
+    out, n = [], rows.count()
+    for k in [k for k in ks if k < n]:
         for seed in seeds:
-            model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(rows)
+            model = best_kmeans(rows, k, seed, starts, predictionCol="cluster")
             out.append((k, seed, float(model.summary.trainingCost), float(judge.evaluate(model.transform(rows))),
                         [int(s) for s in model.summary.clusterSizes]))
     rows.unpersist()
@@ -156,13 +167,14 @@ def choose_k(sweep: DataFrame, n_rows: int, preferred: int = PREFERRED_K) -> int
     return sweep.orderBy(F.desc("silhouette"), "k").first()["k"]
 
 
-def assign_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """``df`` with ``cluster_id``; rows with a missing feature are left out."""
+def assign_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, starts: int = STARTS) -> DataFrame:
+    """``df`` with ``cluster_id`` from the best of ``starts`` runs; rows with a missing feature are left out."""
     rows = df.dropna(subset=list(features))
     helper = [f"_z_{c}" for c in features]
     scaled = standardize(rows.select("*", *[F.col(c).alias(z) for c, z in zip(features, helper)]), helper)
     vectors = VectorAssembler(inputCols=helper, outputCol="_v").transform(scaled).drop(*helper)
-    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster_id").fit(vectors)
+    vectors.persist()
+    model = best_kmeans(vectors, k, seed, starts, featuresCol="_v", predictionCol="cluster_id")
     return model.transform(vectors).drop("_v")
 
 

@@ -11,9 +11,12 @@ from ..functions.scalar import ratio
 from ..plans.chunks import CHUNK_ROWS, bounded_frames, chunk_width, running
 from .bars import log_or_simple_return
 
+#: Rows of the frames: volatility so far (with returns, so one bar more), mean volume, volatility ahead.
+TRAILING, VOLUME_ROWS, FORWARD = 5, 10, 5
+
 
 def rolling_features(bars: DataFrame, width: str = "1 minute", keys: Sequence[str] = ("symbol",),
-                     trailing: int = 5, volume_rows: int = 10, forward: int = 5,
+                     trailing: int = TRAILING, volume_rows: int = VOLUME_ROWS, forward: int = FORWARD,
                      min_periods: str = "partial", kind: str = "simple",
                      chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add ``ret, rolling_vol, price_range_ratio, vol_ratio, target_vol`` in one pass.

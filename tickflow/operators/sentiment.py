@@ -18,8 +18,6 @@ MIN_SAMPLE = 5
 #: Normalisation constant of the published lexicon score sum / sqrt(sum^2 + alpha).
 ALPHA = 15.0
 WORD_BREAK = r"[^\p{L}]+"
-#: A lexicon with at most this many words is copied to every task.
-BROADCAST_WORDS = 200_000
 
 
 def concat_posts(batches: list[DataFrame]) -> DataFrame:
@@ -41,6 +39,10 @@ def dedup_posts(posts: DataFrame, key: str = "id", order: tuple[str, ...] = ("cr
             .select(*[F.col(key) if c == key else F.col("_row").getField(c).alias(c) for c in posts.columns]))
 
 
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def score_posts(posts: DataFrame, lexicon: dict[str, float] | DataFrame, key: str = "id") -> DataFrame:
     """Add ``compound`` in -1..1 from word valences; whole texts are read.
 
@@ -56,9 +58,9 @@ def score_posts(posts: DataFrame, lexicon: dict[str, float] | DataFrame, key: st
     if isinstance(lexicon, DataFrame):
         words = lexicon.select("word", "valence")
     else:
-        words = posts.sparkSession.createDataFrame(list(lexicon.items()), "word string, valence double")
-        if len(lexicon) <= BROADCAST_WORDS:
-            words = F.broadcast(words)
+        # a literal list of rows has a size that Spark knows, so its own check decides on a broadcast
+        listed = ", ".join(f"({_sql(w)}, {float(v)!r}D)" for w, v in lexicon.items()) or "('', 0.0D)"
+        words = posts.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(word, valence)")
     carried = [c for c in posts.columns if c not in (text, key)]
     tokens = posts.select(key, *carried, F.explode(
         F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK)).alias("word"))

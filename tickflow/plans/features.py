@@ -49,11 +49,14 @@ def feature_table(bars: DataFrame, slots: DataFrame, width: str = "1 minute", sl
         minutes_between("last_sentiment_ts", "window_start").alias("minutes_since_sentiment"), "target_vol")
 
 
-def latest_sentiment(bars: DataFrame, slots: DataFrame, width: str) -> DataFrame:
+def latest_sentiment(bars: DataFrame, slots: DataFrame, width: str, key: str = "symbol", spread: int = 64) -> DataFrame:
     """Each bar with the latest slot started at or before it, its age in minutes, and
-    defaults while there is none. ``width`` is the time span of a chunk of work."""
-    marks = slots.select(F.col("window_start").alias("sentiment_start"), *SENTIMENT_VALUES)
-    out = asof_join(bars, marks, "window_start", "sentiment_start", width)
+    defaults while there is none. ``width`` is the time span of a chunk of work; bars of one
+    chunk are spread over ``spread`` groups by ``key``, each with a copy of the chunk's few slots."""
+    marks = slots.select(F.col("window_start").alias("sentiment_start"), *SENTIMENT_VALUES,
+                         F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_spread"))
+    bars = bars.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(spread)).cast("int"))
+    out = asof_join(bars, marks, "window_start", "sentiment_start", width, keys=["_spread"]).drop("_spread")
     out = out.withColumn("post_count", F.col("post_count").cast("double")).withColumn(
         "minutes_since_sentiment", minutes_between("sentiment_start", "window_start"))
     for name, value in DEFAULTS.items():

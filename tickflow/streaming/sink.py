@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ml import score
-from ..operators.rolling import rolling_features
+from ..operators.rolling import TRAILING, VOLUME_ROWS, rolling_features
 from ..plans.features import latest_sentiment
 from ..sinks.tables import Table, log_run
 from ..sources.ticks import checked, dead_letters, good_ticks
 
-#: Bars before a batch that its rolling features may reach.
-REACH = 30
+#: Bars before a batch that its rolling features reach: the longest trailing frame, and one more for the first return.
+REACH = max(TRAILING, VOLUME_ROWS) + 1
 
 
 def newest_per_key(df: DataFrame, key: str, order: str, n: int) -> DataFrame:
@@ -51,18 +51,19 @@ class BarSink:
         try:
             written, rejected = self._store(batch)
             scored, version = self._score(batch)
+            # a query that starts anew counts its batches from 0 again
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
             log_run(batch.sparkSession, self.runs_path, "bar_stream", self.source, "bars", written, rejected, "ok",
                     {"batch_id": str(batch_id), "model_version": str(version), "scored": str(scored)},
-                    run_id=f"bar_stream-{batch_id}")
+                    run_id=f"bar_stream-{query + '-' if query else ''}{batch_id}")
         finally:
             batch.unpersist()
 
     def _store(self, batch: DataFrame) -> tuple[int, int]:
         if self.policy == "first_wins":
             return self.bars.insert_absent(batch)
-        n = batch.count()
-        self.bars.upsert(batch)
-        return n, 0
+        n, lost = batch.count(), self.bars.upsert(batch)
+        return n - lost, lost
 
     def features(self, batch: DataFrame) -> DataFrame:
         """Features of the batch's bars from the bar table, trailing frames complete only.
