@@ -66,3 +66,10 @@ def test_only_chunk_summaries_meet_in_one_task(spark):
     at = [i for i, line in enumerate(lines) if "SinglePartition" in line]
     below = next(line for line in lines[at[0] + 1:] if "Aggregate" in line)
     assert len(at) == 1 and "=[_chunk" in below
+
+
+def test_bars_are_hash_aggregates_over_one_scan(spark):
+    from checks import tables as t
+    for df in (t.bars(spark, SF), __import__("tickflow.operators.bars", fromlist=["ohlcv"]).ohlcv(t.ticks(spark, SF))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and plan.count("FileScan") == 1

@@ -138,3 +138,37 @@ def test_catalog(spark):
     assert catalog.table_or_empty(spark, "catalog_probe", df.schema).count() == 1
     empty = catalog.table_or_empty(spark, "never_made", df.schema)
     assert empty.count() == 0 and empty.columns == ["id", "name"]
+
+
+def test_profile_of_zeros_nan_and_nothing(spark):
+    df = spark.createDataFrame([(0.0, "a"), (-0.0, "b" * 200), (float("nan"), None), (None, "a")], "x double, s string")
+    got = {r["column_name"]: r for r in quality.profile(df, "t").collect()}
+    assert (got["x"]["distinct_count"], got["x"]["null_count"], got["x"]["mean_value"], got["x"]["total_rows"]) == (1, 2, 0.0, 4)
+    assert (got["s"]["distinct_count"], got["s"]["null_count"]) == (2, 1)
+    empty = {r["column_name"]: r for r in quality.profile(df.limit(0), "t").collect()}
+    assert set(empty) == {"x", "s"} and all((r["total_rows"], r["null_percent"], r["quality_status"]) == (0, 0.0, "ok") for r in empty.values())
+    rough = {r["column_name"]: r["distinct_count"] for r in quality.profile(df, "t", distinct_rsd=0.05).collect()}
+    assert rough == {"x": 1, "s": 2}
+
+
+def test_audit_compares_by_name(spark):
+    from tickflow.operators.audit import audit_diff
+    old = spark.createDataFrame([(1, "a", "b"), (2, "x", "y")], "k int, p string, q string")
+    new = spark.createDataFrame([("b", "a", 1), ("z", "x", 2)], "q string, p string, k int")
+    got = audit_diff(old, new, ["k"], "t").collect()
+    assert [(r["k"], r["operation"], r["new_data"]) for r in got] == [(2, "UPDATE", '{"k":2,"p":"x","q":"z"}')]
+    with pytest.raises(ValueError):
+        audit_diff(old, new.drop("q"), ["k"], "t")
+
+
+def test_quantiles_with_one_value_in_most_rows(spark):
+    from statistics import quantiles
+
+    from tickflow.plans.rowindex import exact_quantiles
+    data = [("a", 7.5)] * 900 + [("a", float(x)) for x in range(-50, 50)] + [("b", -1e-300), ("b", 1e300), ("b", 0.0), ("b", float("nan")), ("b", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", {"q1": 0.25, "median": 0.5, "top": 1.0, "p97": 0.97}).collect()}
+    cuts = quantiles([v for k, v in data if k == "a"], n=100, method="inclusive")
+    assert (got["a"]["n"], got["a"]["q1"], got["a"]["median"], got["a"]["top"]) == (1000, cuts[24], cuts[49], 49.0)
+    assert got["a"]["p97"] == pytest.approx(cuts[96])
+    assert (got["b"]["n"], got["b"]["median"], got["b"]["top"]) == (3, 0.0, 1e300)

@@ -127,3 +127,41 @@ def test_payload_numbers_that_do_not_parse(spark):
 
 def test_prediction_schema_is_complete():
     assert {"predicted_vol", "model_version", "inference_latency_ms"} <= set(PREDICTIONS.fieldNames())
+
+
+def test_rows_without_a_whole_key_are_rejected_and_stored_rows_stay(spark, table):
+    table.upsert(bars(spark, [(0, 1.0), (1, 2.0)]))
+    odd = bars(spark, [(1, 5.0), (2, 3.0)]).withColumn("window_start", F.when(F.col("close") > 4, F.col("window_start")))
+    assert table.upsert(odd) == 1
+    assert table.insert_absent(odd.unionByName(bars(spark, [(3, 4.0)]))) == (1, 2)
+    assert closes(table) == [(minute(0), 1.0), (minute(1), 5.0), (minute(3), 4.0)]
+
+
+def test_only_a_missing_path_counts_as_empty(spark, table, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    class Other(AnalysisException):
+        def getCondition(self):
+            return "SOMETHING_ELSE"
+
+    assert table.read().count() == 0
+    monkeypatch.setattr(type(spark.read), "parquet", lambda *a, **k: (_ for _ in ()).throw(Other("no")))
+    with pytest.raises(Other):
+        table.read()
+
+
+def test_runs_and_posts_do_not_change_on_replay(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for written in (5, 0):
+        tables.log_run(spark, path, "p", "src", "bars", written, 0, "ok", {}, run_id="r1")
+    tables.log_run(spark, path, "p", "src", "bars", 1, 0, "ok", {}, run_id="r2")
+    assert sorted((r["run_id"], r["rows_processed"]) for r in tables.read_runs(spark, path).collect()) == [("r1", 5), ("r2", 1)]
+    tables.mark_run_failed(spark, path, ["r2"])
+    assert sorted((r["run_id"], r["quality_status"]) for r in tables.read_runs(spark, path).collect()) == [("r1", "ok"), ("r2", "failed")]
+    posts = spark.createDataFrame([(1, minute(5)), (2, minute(45))], "id int, created_at timestamp_ntz")
+    for _ in range(2):
+        tables.post_lake(posts, str(tmp_path / "lake"))
+    lake = files.raw_posts(spark, str(tmp_path / "lake"))
+    assert lake.count() == 2
+    one = lake.where("year = 2024 AND month = 1 AND day = 1 AND slot = '00_30'")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().toString()
