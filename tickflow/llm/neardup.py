@@ -30,8 +30,8 @@ CHUNKS, CHUNK = 12, 4
 SYMBOLS = CHUNKS * CHUNK
 #: 4-bit symbols in which candidates may differ: 11.25 are expected at 75 %, six deviations are 17.6.
 NEAR = 29
-#: Members of a bucket in one block; a task holds two blocks.
-BLOCK = 256
+#: Members of a bucket in one block, and their shingles, on average; a task holds two blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 #: Words hashed at once, and words remembered by a worker.
 BATCH_WORDS, REMEMBERED = 1_000_000, 2_000_000
 
@@ -216,14 +216,16 @@ def _nominate(batches):
         node, comp, side, n = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
         near = _open_pairs(comp, side, i != j) & (100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :]))
         if near.any():
-            differing = np.zeros(near.shape, dtype=np.int64)
-            for k in range(SYMBOLS // 16):
-                mark = np.array([r[4 + k] for r in rows], dtype=np.int64).view(np.uint64)
-                x = mark[:, None] ^ mark[None, :]
-                x |= x >> np.uint64(2)
-                x |= x >> np.uint64(1)
-                differing += np.bitwise_count(x & np.uint64(0x1111111111111111))
-            chosen = (near & (differing <= NEAR)).any(axis=1)
+            symbols = [np.array([r[4 + k] for r in rows], dtype=np.int64).view(np.uint64) for k in range(SYMBOLS // 16)]
+            for at in range(0, len(rows), 128):  # a strip of the pairs at a time
+                differing = np.zeros(near[at:at + 128].shape, dtype=np.uint8)
+                for mark in symbols:
+                    x = mark[at:at + 128, None] ^ mark[None, :]
+                    x |= x >> np.uint64(2)
+                    x |= x >> np.uint64(1)
+                    differing += np.bitwise_count(x & np.uint64(0x1111111111111111))
+                near[at:at + 128] &= differing <= NEAR
+            chosen = near.any(axis=1)
             # sides matter where two blocks meet
             members = sorted(zip(node[chosen].tolist(), comp[chosen].tolist(), (side[chosen] == j).tolist() if i != j else [False] * int(chosen.sum())))
             name = xxhash.xxh3_64_intdigest(repr((i != j, members))) - (1 << 63)
@@ -339,14 +341,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = confirmed(plausible(stars), "links")
     first = scratch.keep(components(links, scratch), "components")
     # what is left: buckets with members of different components
-    placed = members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("lo < hi")
+    known = facts.join(first, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    placed = members.select("key", "node").join(known, "node")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES))
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), blocks.alias("blocks")).where("lo < hi")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     open_ = (placed.join(split.select("key", "blocks"), "key").withColumn("side", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "c", "side"))
-    met = (open_.join(facts, "node").select("key", "i", "j", "node", "c", "side", "n_shingles", *marks)
-           .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "c", "side", "n_shingles", *marks))
+    met = open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     named_ = met.mapInArrow(_nominate, "name bigint, node bigint, c bigint, side boolean, across boolean").distinct()
     nominated = named_.join(bodies, "node").select("name", "node", "c", "side", "across", "body").repartition("name").sortWithinPartitions("name")
     more = scratch.keep(nominated.mapInArrow(_compare, "u bigint, v bigint"), "more")
