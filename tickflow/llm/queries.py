@@ -30,7 +30,33 @@ def op6(spark, sf_dir):
     return mixing.plan_of(table(spark, sf_dir, "documents"))
 
 
-@query("op7_secret_ownership")
+# matches start after the pieces between them and the matches before; owners are counted over all values
+_OP7_KINDS = " UNION ALL ".join(
+    f"SELECT doc_id, source, '{kind}' AS kind, {rank} AS rank, regexp_extract_all(text, '{pattern}', 0) AS w, "
+    f"regexp_extract_all(text, '{pattern}', {group}) AS v, string_split_regex(text, '{pattern}') AS g, {least} AS least FROM d"
+    for rank, (kind, pattern, group, least) in enumerate((
+        ("assign", secret_scan.ASSIGN.replace("'", "''"), 2, secret_scan.ASSIGN_CHARS), ("access", secret_scan.ACCESS, 0, 0),
+        ("hex", secret_scan.HEX, 0, 0), ("opaque", secret_scan.OPAQUE, 0, 0))))
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+k AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM ({_OP7_KINDS}) WHERE len(w) > 0),
+m AS (SELECT doc_id, source, kind, rank, v[i] AS val, length(w[i]) AS n, coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
+             + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS a FROM k WHERE length(v[i]) >= least),
+c AS (SELECT *, a + n AS b FROM m WHERE rank < 3 OR (regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]')
+                                                     AND len(list_distinct(string_split(val, ''))) >= 8)),
+o AS (SELECT val, count(DISTINCT coalesce('=' || source, '')) AS owners FROM c GROUP BY val),
+s AS (SELECT c.*, owners FROM c JOIN o USING (val) WHERE rank < 3 OR (owners <= {secret_scan.MAX_OWNERS} AND NOT EXISTS (
+          SELECT 1 FROM c AS x WHERE x.doc_id = c.doc_id AND x.rank < 3 AND x.a < c.b AND c.a < x.b)))
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(kind || ':' || a::INT || ':' || b::INT, ',' ORDER BY a, rank) FILTER (rank < 3), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || a::INT || ':' || b::INT, ',' ORDER BY a, rank) FILTER (rank IS NOT NULL), '') AS spans,
+       count(*) FILTER (owners <= {secret_scan.MAX_OWNERS}) AS n_live
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op7_secret_ownership", OP7_SQL)
 def op7(spark, sf_dir):
     return secret_scan.spans_of(table(spark, sf_dir, "documents"))
 
