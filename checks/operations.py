@@ -344,15 +344,32 @@ LAST_STATUS = "(SELECT container_name, arg_max(status, (time, metric_id)) AS sta
     SELECT count(*) AS total, count(CASE WHEN status = 'running' THEN 1 END) AS running,
            count(CASE WHEN status = 'exited' THEN 1 END) AS stopped,
            count(CASE WHEN status = 'restarting' THEN 1 END) AS restarting,
-           coalesce(string_agg(CASE WHEN status = 'exited' THEN container_name END, ',' ORDER BY container_name), '') AS stopped_names,
-           coalesce(string_agg(CASE WHEN status = 'restarting' THEN container_name END, ',' ORDER BY container_name), '')
-               AS restarting_names,
-           coalesce(string_agg(CASE WHEN status = 'exited' AND container_name IN ('c1', 'c3', 'c5', 'c7', 'c9') THEN
-               container_name END, ',' ORDER BY container_name), '') AS critical_stopped FROM {LAST_STATUS}""")
+           count(CASE WHEN status = 'exited' AND container_name IN ('c1', 'c3', 'c5', 'c7', 'c9') THEN 1 END) AS critical_stopped
+    FROM {LAST_STATUS}""")
 def container_rollup(spark, sf):
     return alerts.container_status(t.container_metrics(spark, sf), ["c1", "c3", "c5", "c7", "c9"])
 
 
+@query("containers_down", "containers", f"""
+    SELECT container_name, status, container_name IN ('c1', 'c3', 'c5', 'c7', 'c9') AS critical
+    FROM {LAST_STATUS} WHERE status IN ('exited', 'restarting')""")
+def containers_down(spark, sf):
+    return alerts.containers_down(t.container_metrics(spark, sf), ["c1", "c3", "c5", "c7", "c9"])
+
+
+@query("document_profile", sql="""
+    SELECT 'documents' AS table_name, c.name AS column_name, c.total_rows, c.total_rows - c.n AS null_count, c.d AS distinct_count,
+           CAST(0 AS BIGINT) AS type_mismatch, c.lo AS min_value, c.hi AS max_value, round(c.mean, 4) AS mean_value,
+           round((c.total_rows - c.n) * 100.0 / c.total_rows, 2) AS null_percent, 'ok' AS quality_status FROM (
+        """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS name, count(*) AS total_rows, count({c}) AS n, count(DISTINCT {c}) AS d, "
+    + (f"CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi, avg({c}) AS mean FROM documents" if c in ("doc_id", "n_chars")
+       else "CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, CAST(NULL AS DOUBLE) AS mean FROM documents")
+    for c in ("doc_id", "text", "lang", "source", "n_chars")) + ") c")
+def document_profile(spark, sf):
+    return rounded(quality.profile(t.table(spark, sf, "documents"), "documents"), "mean_value", digits=4)
+
+
 @query("status_with_memory", "containers", """
     SELECT container_name, arg_max(status, (time, metric_id)) AS status,
            arg_max(usage_percent, (time, metric_id)) FILTER (WHERE metric_id % 2 = 0) AS usage_percent

@@ -103,7 +103,8 @@ def test_container_rollup(spark):
     df = spark.createDataFrame([("a", "running", minute(0), 1), ("a", "exited", minute(1), 2), ("b", "exited", minute(0), 3),
                                 ("b", "running", minute(0), 4), ("c", "restarting", minute(0), 5)],
                                "container_name string, status string, time timestamp_ntz, metric_id int")
-    assert rows(alerts.container_status(df, ["a", "z"])) == [(3, 1, 1, 1, "a", "c", "a")]
+    assert rows(alerts.container_status(df, ["a", "z"])) == [(3, 1, 1, 1, 1)]
+    assert rows(alerts.containers_down(df, ["a", "z"]), "container_name") == [("a", "exited", True), ("c", "restarting", False)]
 
 
 def test_bands(spark):

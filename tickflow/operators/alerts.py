@@ -167,20 +167,24 @@ def sustained_alerts(tables: dict[str, DataFrame], rules: Sequence[Rule], step_m
     return sustain(reduce(lambda a, b: a.unionByName(b), series), windowed, step_minutes, chunk_rows)
 
 
-def container_status(metrics: DataFrame, critical: Sequence[str]) -> DataFrame:
-    """Totals by latest status and, of the stopped ones, which are critical.
-
-    Works on one row per container, however many readings there are.
-    """
-    last = latest_per_key(metrics.select("container_name", "status", "time", "metric_id"),
+def _last_status(metrics: DataFrame) -> DataFrame:
+    return latest_per_key(metrics.select("container_name", "status", "time", "metric_id"),
                           ["container_name"], ["time", "metric_id"])
+
+
+def container_status(metrics: DataFrame, critical: Sequence[str]) -> DataFrame:
+    """Totals by latest status; works on one row per container, however many readings there are."""
     status = F.col("status")
-    names = lambda cond: F.concat_ws(",", F.array_sort(F.collect_list(F.when(cond, F.col("container_name")))))
-    return last.agg(
+    return _last_status(metrics).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(status == "running").alias("running"),
         F.count_if(status == "exited").alias("stopped"), F.count_if(status == "restarting").alias("restarting"),
-        names(status == "exited").alias("stopped_names"), names(status == "restarting").alias("restarting_names"),
-        names((status == "exited") & F.col("container_name").isin(*critical)).alias("critical_stopped"))
+        F.count_if((status == "exited") & F.col("container_name").isin(*critical)).alias("critical_stopped"))
+
+
+def containers_down(metrics: DataFrame, critical: Sequence[str]) -> DataFrame:
+    """A row per container that is stopped or restarting, and whether it is a critical one."""
+    down = _last_status(metrics).where(F.col("status").isin("exited", "restarting"))
+    return down.select("container_name", "status", F.col("container_name").isin(*critical).alias("critical"))
 
 
 def host_alerts(readings: DataFrame, limits: dict[str, float] = HOST_LIMITS) -> DataFrame:
