@@ -73,10 +73,6 @@ def ownership(found: DataFrame, owner: str, repository: list[str]) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("_n").alias("n_repositories"))
 
 
-def _key(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("_k"), F.length(text).alias("_len")]
-
-
 def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
                  max_owners: int = MAX_OWNERS, keep: list[str] | None = None) -> DataFrame:
     """The rows of ``docs`` (columns ``keep``, default all) with ``secrets``: an array of
@@ -93,7 +89,7 @@ def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", rep
     scratch = Scratch(docs.sparkSession, "secrets")
     keep = [c for c in (keep or docs.columns) if c != "secrets"]
     repo = list(dict.fromkeys(repository))
-    slim = docs.select(*_key(F.coalesce(text, F.lit(""))), F.col(owner).alias("_owner"),
+    slim = docs.select(F.col(owner).alias("_owner"),
                        F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(repo)]).alias("_repo"),
                        *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)], candidates(F.col(text)).alias("_found"))
     rows = scratch.keep(slim.withColumn("_row", F.monotonically_increasing_id()), "candidates")
