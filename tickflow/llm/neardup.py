@@ -33,7 +33,7 @@ NEAR = 29
 #: Members of a bucket in one block, and their shingles, on average; a task holds two blocks.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 #: Words hashed at once, and words remembered by a worker.
-BATCH_WORDS, REMEMBERED = 1_000_000, 2_000_000
+BATCH_WORDS, REMEMBERED = 400_000, 500_000
 
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -317,11 +317,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # copies are one node; buckets with one node are of no use
     indexed = some.select("node", F.explode("keys").alias("key"))
     shared = indexed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
+    shared = scratch.keep(shared, "shared")
     members = scratch.keep(indexed.join(shared, "key").groupBy("key", "node").agg(F.first("least").alias("least")), "members")
+    scratch.drop(shared)
     # of each node in a shared bucket: sizes, sketches, and the packed text of one of its documents
     wanted = some.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key")).alias("d"), *[F.first(c).alias(c) for c in ("n_shingles", *marks)])
     wanted = scratch.keep(wanted.select("node", F.col("d.doc_id").alias("doc_id"), F.col("d.text_key").alias("text_key"), "n_shingles", *marks), "wanted")
+    # the keys are of no more use, and they are most of the table
+    some_rows = scratch.keep(signed.select("doc_id", "node", "n_shingles"), "rows")
+    scratch.drop(signed)
+    signed, some = some_rows, some_rows.where("n_shingles > 0")
     packed = rows.mapInArrow(_pack, f"doc_id {kind}, text_key bigint, body binary").alias("p")
     w = wanted.select("node", "doc_id", "text_key").alias("w")
     bodies = scratch.keep(packed.join(w, (F.col("p.text_key") == F.col("w.text_key")) & F.col("p.doc_id").eqNullSafe(F.col("w.doc_id")))

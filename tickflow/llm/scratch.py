@@ -31,6 +31,8 @@ class Scratch:
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._scratch_path = path
+        # Spark removes the shuffle files of a finished step when the driver's JVM finds its plan unused
+        self.spark._jvm.System.gc()
         return kept
 
     def drop(self, df: DataFrame) -> None:
