@@ -191,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     ship(docs.sparkSession)
     sample = (labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull()).groupBy(doc_id)
               .agg(F.min(F.col(quality).cast("double")).alias("_good")).orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled))
-    rows = docs.select(doc_id, F.col(text).alias("_text")).join(sample, doc_id).select("_good", "_text")
+    # the sample has a stated bound, so it goes to the texts and not the texts to it
+    rows = docs.select(doc_id, F.col(text).alias("_text")).join(F.broadcast(sample), doc_id).select("_good", "_text")
 
     def measure(batches):
         for batch in batches:
