@@ -27,8 +27,9 @@ MAX_LABELLED, MAX_TRAINING = 40_000, 8_000
 LEAST_ABUSIVE, LISTED_SHARE, MAX_LISTED = 4, 0.9, 20_000
 SHAPE_BITS, STEM_BITS = 16, 22
 STEM_CHARS = (4, 6)
-REMEMBERED = 1_000_000
-BATCH_BYTES = 8 << 20
+#: Words a worker remembers, and text it takes at once: both bound its memory.
+REMEMBERED = 250_000
+BATCH_BYTES = 2 << 20
 SYMBOLS = frozenset("#*$%&|<>")
 QUALITY_LABELLERS = ("symbols", "capitals", "stutter", "variety", "exclaims", "separators", "dup_lines", "length", "prose", "rhythm")
 ABUSE_LABELLERS = ("short_stems", "long_stems", "density")
@@ -38,18 +39,36 @@ _RUN = re.compile(r"(.)\1+")
 _PLAIN = re.compile(r"""["'(\[]?[^\W\d_](?:[^\W\d_A-Z]|['-](?=[^\W\d_]))*["')\]]?[.,;:!?]?""")
 
 
-def _shape(word: str) -> str:
-    """Letter case and punctuation of a word with runs cut to one sign: 'Anti%%%' is 'Aa%'."""
-    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
-    return _RUN.sub(r"\1", out)
+class _Kinds(dict):
+    """Character -> A, a, 0 or itself, worked out once per character."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return kind
+
+
+_kinds = _Kinds()
 
 
 def _bucket(text: str, bits: int) -> int:
     return xxhash.xxh3_64_intdigest(text) & ((1 << bits) - 1)
 
 
+def _outline_facts(outline: str) -> tuple[int, ...]:
+    """What follows from the kinds of a word's characters. Its shape has runs cut to one sign: 'Anti%%%' is 'Aa%'."""
+    letters = outline.count("A") + outline.count("a")
+    symbols = sum(map(outline.count, SYMBOLS))
+    return (symbols, outline.count("A"), letters, outline.endswith("!!"), not letters and symbols > 0,
+            _PLAIN.fullmatch(outline) is not None, _bucket(_RUN.sub(r"\1", outline[:64]), SHAPE_BITS))
+
+
 class WordFacts:
-    """What is needed of each different word, as rows of arrays; forgets all when it holds too many."""
+    """What is needed of each different word, as rows of an array; forgets all when it holds too many.
+
+    Most of it follows from the outline of a word and the rest from its first letters, and there are
+    far fewer of both than of words.
+    """
 
     FIELDS = ("symbols", "capitals", "letters", "exclaims", "bar", "plain", "shape", "stem0", "stem1")
 
@@ -58,19 +77,33 @@ class WordFacts:
 
     def clear(self):
         self.number: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.FIELDS)), dtype=np.int32)
+        self.outlines: dict[str, tuple[int, ...]] = {}
+        self.stems: dict[tuple[int, str], int] = {}
+        self.rows = np.zeros((4096, len(self.FIELDS)), dtype=np.int32)
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        known = self.number
+        known, outlines, stems, made = self.number, self.outlines, self.stems, []
         for w in set(words).difference(known):
-            at = known[w] = len(known)
-            if at == len(self.rows):
-                self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
-            letters = "".join(_LETTERS.findall(w)).lower()
-            self.rows[at] = (
-                sum(c in SYMBOLS for c in w), sum(c.isupper() for c in w), len(letters), w.endswith("!!"),
-                not letters and any(c in SYMBOLS for c in w), _PLAIN.fullmatch(w) is not None, _bucket(_shape(w), SHAPE_BITS),
-                *(_bucket(f"{k}:{letters[:k]}", STEM_BITS) if len(letters) >= k else 0 for k in STEM_CHARS))
+            known[w] = len(known)
+            outline = w.translate(_kinds)
+            facts = outlines.get(outline)
+            if facts is None:
+                facts = outlines[outline] = _outline_facts(outline)
+            letters = (w if w.isalpha() else "".join(_LETTERS.findall(w))).lower()
+            for k in STEM_CHARS:
+                stem = letters[:k]
+                found = stems.get((k, stem))
+                if found is None:
+                    found = stems[k, stem] = _bucket(f"{k}:{stem}", STEM_BITS) if len(stem) == k else 0
+                facts += (found,)
+            made.append(facts)
+        if made:
+            first, need = len(known) - len(made), len(known)
+            if need > len(self.rows):
+                grown = np.zeros((need + need // 2, len(self.FIELDS)), dtype=np.int32)
+                grown[:first] = self.rows[:first]
+                self.rows = grown
+            self.rows[first:need] = made
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
 
@@ -257,7 +290,8 @@ def _listed_stems(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, to
     """Stem buckets that mark abusive documents, from a bounded sample of the labelled rows."""
     sample = (labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).select(doc_id, F.col(toxic).cast("int").alias("toxic"))
               .groupBy(doc_id).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled))
-    rows = docs.select(F.col(doc_id), F.col(text).alias("text")).join(sample, doc_id).select("toxic", "text")
+    # the sample has a stated bound, so it goes to the texts and not the texts to it
+    rows = docs.select(F.col(doc_id), F.col(text).alias("text")).join(F.broadcast(sample), doc_id).select("toxic", "text")
 
     def stems(batches):
         for a, b, batch, tokens in _slices(batches, 1):
@@ -332,7 +366,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         posterior, right, good = estimate(patterns, np.array([r[1] for r in found], dtype=float))
         report[question] = {"good": good, "right": dict(zip(labellers, right.tolist()))}
         sample = _sample(voted, question, dict(zip([r[0] for r in found], posterior)), max_training // 2)
-        rows = docs.select(*key).join(sample, "row").select("good", "text")
+        rows = docs.select(*key).join(F.broadcast(sample), "row").select("good", "text")
         doc, bucket, value, target = _features(rows, question)
         # a stem can only be a sign of abuse; a text without such stems is free of it
         limits = {} if question == "quality" else {"least": LEAST_ABUSIVE, "most": 0.0, "sparse": 5e-4}
