@@ -44,6 +44,30 @@ def test_template_and_container_of_a_host(spark):
     assert all(r.n_chars == len(r.text) for r in got.collect())
 
 
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_all_slots_of_a_host_are_text(spark):
+    """Pages of another layout than most of their host keep their text, and so does the part of an article outside its body."""
+    rng = random.Random(2)
+    rows, want = [], {}
+    for i in range(40):
+        kind = ("<article class='post'>", "</article>") if i % 20 < 17 else ("<article class='featured post'>", "</article>") if i % 20 < 19 else (
+            "<div class='entry'>", "</div>")
+        head, lead, body = words(rng, 3), words(rng, 15), words(rng, 85)
+        rows.append((i, f"https://mixed.example/{i}", page(f"{kind[0]}<p>{body}</p>{kind[1]}")))
+        want[i] = body
+        rows.append((100 + i, f"https://split.example/{i}", page(
+            f"<article><header><h1>{head}</h1></header><section class=lead><p>{lead}</p></section><section class=body><p>{body}</p></section></article>")))
+        want[100 + i] = "\n".join([head, lead, body])
+    assert extracted(spark, rows) == want
+
+
 def test_tree_match_is_largest():
     """Against all order-preserving matches of two small forests."""
     rng = random.Random(5)
