@@ -68,6 +68,14 @@ def test_all_slots_of_a_host_are_text(spark):
     assert extracted(spark, rows) == want
 
 
+@pytest.mark.parametrize("tag, rest", [
+    ("<i title=don't>", "rest"), ("<i title=don't>", "it's"), ('<i title="don\'t>', "rest"), ("<i title='a<b>c' id=x>", "rest"), ('<i a"b>', "rest"),
+    ("<i '>", "it's"), ("<i title = don't class=y>", "it's"), ("<i title=\"x>y\"data-a='>'>", "rest"), ("<i title=>", "rest"), ("<i = =x>", "rest"),
+    ("<i\ntitle=5'>", "6' tall")])
+def test_stray_quotes_drop_no_text(tag, rest):
+    assert [t for _, t in wrapper.Page(f"<p>a</p><p>b {tag}{rest}</i></p><p>c</p>").blocks] == ["a", f"b {rest}", "c"]
+
+
 def test_tree_match_is_largest():
     """Against all order-preserving matches of two small forests."""
     rng = random.Random(5)
