@@ -68,6 +68,19 @@ def test_all_slots_of_a_host_are_text(spark):
     assert extracted(spark, rows) == want
 
 
+@pytest.mark.parametrize("first", [None, "", "  ", "plain", "<p>gone", "<section><p>moved"])
+def test_template_the_axis_page_lacks(spark, first):
+    """Whatever the page of the least id holds, a line on 60 % of the pages of a host is template; one on 40 % is not."""
+    rng = random.Random(3)
+    rows, want = [(0, "https://host.example/0", first)], {0: (first or "").strip().split(">")[-1]}
+    for i in range(1, 21):
+        body = [words(rng, 8) for _ in range(rng.randint(1, 4))]
+        often, seldom = "<div>Closed on Mondays</div>" * (i % 5 > 1), "<section>Now with maps</section>" * (i % 5 < 2)
+        rows.append((i, f"https://host.example/{i}", f"<body><div>{words(rng, 1)}</div>{often}{seldom}" + "".join(f"<p>{b}</p>" for b in body)))
+        want[i] = "\n".join([rows[-1][2][11:17], *["Now with maps"] * (i % 5 < 2), *body])
+    assert extracted(spark, rows) == want
+
+
 @pytest.mark.parametrize("tag, rest", [
     ("<i title=don't>", "rest"), ("<i title=don't>", "it's"), ('<i title="don\'t>', "rest"), ("<i title='a<b>c' id=x>", "rest"), ('<i a"b>', "rest"),
     ("<i '>", "it's"), ("<i title = don't class=y>", "it's"), ("<i title=\"x>y\"data-a='>'>", "rest"), ("<i title=>", "rest"), ("<i = =x>", "rest"),
