@@ -68,6 +68,31 @@ def test_all_slots_of_a_host_are_text(spark):
     assert extracted(spark, rows) == want
 
 
+def test_words_are_hints(spark):
+    """A word of class or id drops no element that holds most of the text, on whichever pages of a host it stands."""
+    rng = random.Random(4)
+    rows, want = [], {}
+    kinds = {"body": "<body class='has-sidebar'>{}</body>", "html": "<html class='with-menu'><body>{}</body></html>",
+             "div": "<body><div id='content' class='with-nav'>{}</div></body>", "article": "<article id='comment-on-social-policy'>{}</article>",
+             "main": "<main class='no-sidebar related'>{}</main>", "banner": "<body class='banner'>{}</body>",
+             "inline": "<body><font class='promo'>{}</font></body>",
+             "mixed": "<body><div class=entry>{}</div></body>"}
+    for k, (name, form) in enumerate(kinds.items()):
+        for i in range(20):
+            text = [words(rng, rng.randint(8, 30)) for _ in range(3)]
+            main = "".join(f"<p>{t}</p>" for t in text)
+            advert = "" if name == "inline" else f"<div class=ad>{words(rng, 6)}</div><div class='sidebar'><p>{words(rng, 9)}</p></div>"
+            if name == "mixed" and i < 3:
+                form_ = kinds["div"]
+            elif name == "mixed" and i == 19:  # one advert longer than its page is still an advert
+                form_, main, text, advert = form, "<p>short</p>", ["short"], f"<div class=ad>{words(rng, 12)}</div>"
+            else:
+                form_ = form
+            rows.append((100 * k + i, f"https://{name}.example/{i}", form_.format(main + advert)))
+            want[100 * k + i] = "\n".join(text)
+    assert extracted(spark, rows) == want
+
+
 @pytest.mark.parametrize("first", [None, "", "  ", "plain", "<p>gone", "<section><p>moved"])
 def test_template_the_axis_page_lacks(spark, first):
     """Whatever the page of the least id holds, a line on 60 % of the pages of a host is template; one on 40 % is not."""
