@@ -83,6 +83,30 @@ def test_classifier_on_held_out_labels(spark):
 
 # -- 4 ------------------------------------------------------------------------------------------
 
+def test_repeated_rows_keep_to_the_training_bounds(spark, monkeypatch):
+    """A row, or a labelled id, with many copies is one row of training and pushes no other out of the sample."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic")
+    labelled = docs.join(labels.where("quality = 0"), "doc_id").select("doc_id", "text").orderBy("doc_id").limit(1)
+    again = spark.range(400).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'' AS text").unionByName(labelled.crossJoin(spark.range(400)).drop("id"))
+    seen = []
+    features = weak_labels._features
+
+    def recorded(rows, question):
+        found = features(rows, question)
+        seen.append(found[3])
+        return found
+
+    monkeypatch.setattr(weak_labels, "_features", recorded)
+    weak_labels.fit(docs.unionByName(again), labels, max_training=40)
+    assert len(seen) == 2
+    assert all(len(target) <= 40 for target in seen) and len(seen[0]) > 20  # of both classes
+    trained = []
+    monkeypatch.setattr(boosted_rules, "fit_trees", lambda features, target, signs: trained.append(len(target)))
+    boosted_rules.fit(docs.unionByName(again), labels)
+    assert trained == [docs.join(labels.where("quality IS NOT NULL"), "doc_id").select("doc_id").distinct().count()]
+
+
 def brute_contamination(texts, items, window=10):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
     windows = {}

@@ -187,12 +187,13 @@ def fit_trees(features: np.ndarray, target: np.ndarray, signs: list[int], trees:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
         max_labelled: int = MAX_LABELLED) -> Trees:
     """Fit on at most ``max_labelled`` labelled documents, chosen by a hash of the id. Labels without id or class
-    are left out, of repeated ones the lowest counts; without both classes the model is a constant."""
+    are left out, of repeated ones the lowest counts, of documents with the same id the least text; without both classes the model is a constant."""
     ship(docs.sparkSession)
     sample = (labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull()).groupBy(doc_id)
               .agg(F.min(F.col(quality).cast("double")).alias("_good")).orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled))
     # the sample has a stated bound, so it goes to the texts and not the texts to it
-    rows = docs.select(doc_id, F.col(text).alias("_text")).join(F.broadcast(sample), doc_id).select("_good", "_text")
+    rows = docs.select(doc_id, F.col(text).alias("_text")).join(F.broadcast(sample), doc_id)
+    rows = rows.groupBy(doc_id).agg(F.min("_good").alias("_good"), F.min("_text").alias("_text")).select("_good", "_text")
 
     def measure(batches):
         for batch in batches:

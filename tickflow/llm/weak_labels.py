@@ -291,7 +291,8 @@ def _listed_stems(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, to
     sample = (labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).select(doc_id, F.col(toxic).cast("int").alias("toxic"))
               .groupBy(doc_id).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled))
     # the sample has a stated bound, so it goes to the texts and not the texts to it
-    rows = docs.select(F.col(doc_id), F.col(text).alias("text")).join(F.broadcast(sample), doc_id).select("toxic", "text")
+    rows = docs.select(F.col(doc_id), F.col(text).alias("text")).join(F.broadcast(sample), doc_id)
+    rows = rows.groupBy(doc_id).agg(F.min("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text")  # an id counts once
 
     def stems(batches):
         for a, b, batch, tokens in _slices(batches, 1):
@@ -312,17 +313,17 @@ def _listed_stems(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, to
 
 
 def _sample(voted: DataFrame, question: str, posterior: dict[str, float], each: int) -> DataFrame:
-    """Ids and posteriors of a bounded sample with both classes, chosen by hash."""
+    """Ids and posteriors of a bounded sample with both classes, chosen by hash; repeated rows count once."""
     spark = voted.sparkSession
     table = spark.createDataFrame([(p, float(v)) for p, v in posterior.items()] or [("", 0.5)], "pattern string, good double")
-    scored = voted.select("row", F.col(question).alias("pattern")).join(table, "pattern").select("row", "good")
+    scored = voted.select("row", F.col(question).alias("pattern")).join(table, "pattern").groupBy("row").agg(F.min("good").alias("good"))
     return scored.where("good >= 0.9").orderBy(F.xxhash64("row")).limit(each).union(
         scored.where("good <= 0.1").orderBy(F.xxhash64("row")).limit(each))
 
 
 def _features(rows: DataFrame, question: str) -> tuple[np.ndarray, ...]:
     def make(batches):
-        for a, b, batch, tokens in _slices(batches, 1):
+        for a, b, batch, tokens in _slices(batches, 2):
             if question == "quality":
                 doc, bucket, value = tokens.shapes()
             else:
@@ -332,12 +333,14 @@ def _features(rows: DataFrame, question: str) -> tuple[np.ndarray, ...]:
             order = np.argsort(doc, kind="stable")
             ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=b - a)))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(ends, pa.array(bucket[order].astype(np.int32))),
-                 pa.ListArray.from_arrays(ends, pa.array(value[order].astype(np.float32)))], names=["good", "buckets", "shares"])
+                [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                 pa.ListArray.from_arrays(ends, pa.array(bucket[order].astype(np.int32))),
+                 pa.ListArray.from_arrays(ends, pa.array(value[order].astype(np.float32)))], names=["row", "good", "buckets", "shares"])
 
-    found = rows.select("good", "text").mapInArrow(make, "good double, buckets array<int>, shares array<float>").toArrow()
+    found = rows.select("row", "good", "text").mapInArrow(make, "row bigint, good double, buckets array<int>, shares array<float>").toArrow()
     if not found.num_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    found = found.sort_by("row")  # so that the order of arrival does not matter
     lists = found.column("buckets").combine_chunks()
     doc = np.repeat(np.arange(found.num_rows), np.diff(lists.offsets.to_numpy()))
     return (doc, lists.values.to_numpy().astype(np.int64), found.column("shares").combine_chunks().values.to_numpy().astype(float),
@@ -366,7 +369,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         posterior, right, good = estimate(patterns, np.array([r[1] for r in found], dtype=float))
         report[question] = {"good": good, "right": dict(zip(labellers, right.tolist()))}
         sample = _sample(voted, question, dict(zip([r[0] for r in found], posterior)), max_training // 2)
-        rows = docs.select(*key).join(F.broadcast(sample), "row").select("good", "text")
+        rows = docs.select(*key).join(F.broadcast(sample), "row").groupBy("row").agg(F.min("good").alias("good"), F.min("text").alias("text"))
         doc, bucket, value, target = _features(rows, question)
         # a stem can only be a sign of abuse; a text without such stems is free of it
         limits = {} if question == "quality" else {"least": LEAST_ABUSIVE, "most": 0.0, "sparse": 5e-4}
