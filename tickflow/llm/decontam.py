@@ -20,10 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
+from .slicing import by_bytes
 
 WINDOW = 10
 #: Items go into automata of about this many bytes of text each (some 200 times as much memory).
 BLOCK_BYTES = 1 << 20
+#: Bytes of text that a task matches at once.
+SLICE_BYTES = 1 << 20
 #: A document is dropped when more than this share of its words is hit; else the hit spans are cut.
 MAX_COVERAGE = 0.8
 #: On UTF-8: letters and digits of ASCII and all bytes of other characters,
@@ -212,7 +215,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def scan(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, 1, SLICE_BYTES):
             found = _match(batch.column(1).to_pylist(), automata)
             digests = [hashlib.sha256(",".join(sorted("" if i is None else str(i) for i in items)).encode()).hexdigest()
                        for _, _, items in found]
@@ -250,7 +253,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     schema = docs.schema
 
     def clean(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, at, SLICE_BYTES):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             keep, changed = np.ones(len(texts), dtype=bool), {}
             todo = {i: found for i, found in enumerate(_match(texts, automata)) if found[1].any()}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import boosted_rules, bpe_counts, decontam, mixing, neardup, preferences, secret_scan, weak_labels, wrapper, zip_archives
+from . import (boosted_rules, bpe_counts, decontam, filter_audit, hyperlang, manifest, mixing, neardup, preferences, secret_scan, weak_labels,
+               wrapper, zip_archives)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +186,97 @@ def op8(spark, sf_dir):
 @query("op2_wrapper_induction")
 def op2(spark, sf_dir):
     return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_hyperdimensional_language")
+def op11(spark, sf_dir):
+    return hyperlang.languages(table(spark, sf_dir, "documents"))
+
+
+# a level per CTE: nodes, then runs of eight as lists; groups that are down to one node stay as they are
+_LEVELS, _TOP_LEVELS = 12, 4
+
+
+def _levels(name: str, first: str, levels: int) -> str:
+    steps = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        steps.append(f"{name}r{k} AS (SELECT g, pos // 8 AS pos, any_value(n) AS n, list(h ORDER BY pos) AS hs FROM {name}{k} WHERE n > 1 GROUP BY g, pos // 8)")
+        steps.append(f"{name}{k + 1} AS (SELECT g, pos, (n + 7) // 8 AS n, sha256(array_to_string(hs, '')) AS h FROM {name}r{k} UNION ALL "
+                     f"SELECT g, pos, n, h FROM {name}{k} WHERE n = 1)")
+    return ", ".join(steps)
+
+
+def _climb(name: str, rows: str, g: str, place: str, levels: int) -> str:
+    """Each level adds the siblings to ``proof`` and hashes them around ``h``."""
+    steps, at = [], rows
+    for k in range(levels):
+        slot = f"({place} // {8 ** k}) % 8"
+        left, right = f"array_to_string(r.hs[1:({slot})::INT], '')", f"array_to_string(r.hs[({slot} + 2)::INT:], '')"
+        steps.append(f"{name}{k} AS (SELECT d.* EXCLUDE (h, proof), CASE WHEN r.hs IS NULL THEN d.h ELSE sha256({left} || d.h || {right}) END AS h, "
+                     f"d.proof || coalesce({left} || {right}, '') AS proof FROM {at} d "
+                     f"LEFT JOIN {name[0]}r{k} r ON r.g = {g} AND r.pos = {place} // {8 ** (k + 1)})")
+        at = f"{name}{k}"
+    return ", ".join(steps)
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+# CRC-32 bit by bit over the digits of the id
+_CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), "
+        "lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), "
+        "lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END)), 4294967295::BIGINT)")
+_LAST = f"c{_LEVELS - 1}"
+OP12_SQL = f"""
+WITH leaf AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf('text')} AS leaf,
+                     CASE WHEN {_CRC} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+              FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaf),
+{_levels('c', 'SELECT g, pos, n, leaf AS h FROM placed', _LEVELS)},
+tops AS (SELECT g AS lang_, h, row_number() OVER (ORDER BY g) - 1 AS top, count(*) OVER () AS n FROM c{_LEVELS}),
+{_levels('t', "SELECT '' AS g, top AS pos, n, h FROM tops", _TOP_LEVELS)},
+docs AS (SELECT doc_id, g, pos, leaf, top, tops.h AS subroot, coalesce(changed, leaf) AS h, '' AS proof FROM placed JOIN tops ON lang_ = g),
+{_climb('cd', 'docs', 'd.g', 'd.pos', _LEVELS)}, {_climb('td', f'cd{_LEVELS - 1}', "''", 'd.top', _TOP_LEVELS)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM t{_TOP_LEVELS}) AS root, sha256(proof) AS proof_sha256, h AS folded_root,
+       h = (SELECT h FROM t{_TOP_LEVELS}) AS verified FROM td{_TOP_LEVELS - 1}
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark, sf_dir):
+    return manifest.verify(table(spark, sf_dir, "documents"))
+
+
+# which filters a document fails as bits, and each order's steps by the bits that went before
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > least, false)::INT AS fails,
+             coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS good,
+             coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL), false) AS toxic FROM d),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(name, bit)),
+o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, (SELECT unnest(range(1, 6))::INT AS step)),
+m AS (SELECT DISTINCT bit, before FROM s),
+g AS (SELECT p.part, m.bit, m.before, coalesce(sum(n) FILTER (fails & (m.bit | m.before) = 0), 0) AS kept,
+             coalesce(sum(n) FILTER (fails & m.bit > 0 AND fails & m.before = 0), 0) AS removed,
+             coalesce(sum(n) FILTER (fails & m.bit > 0 AND fails & m.before > 0), 0) AS redundant, coalesce(sum(n) FILTER (fails = m.bit), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (fails & m.bit > 0 AND fails & m.before = 0), 0) AS good_lost,
+             coalesce(sum(toxic) FILTER (fails & m.bit > 0 AND fails & m.before = 0), 0) AS toxic_lost
+      FROM (SELECT DISTINCT part FROM f) p, m JOIN c ON true WHERE c.part = p.part GROUP BY ALL),
+h AS (SELECT part, s.bit, sum(removed) AS shapley FROM s JOIN g ON g.bit = s.bit AND g.before = s.before GROUP BY ALL)
+SELECT g.part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, shapley::BIGINT AS shapley
+FROM s JOIN g ON g.bit = s.bit AND g.before = s.before JOIN h ON h.part = g.part AND h.bit = s.bit
+"""
+
+
+@query("op13_filter_interactions", OP13_SQL)
+def op13(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
