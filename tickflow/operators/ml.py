@@ -110,6 +110,17 @@ def score(model, rows: DataFrame | None, version: str, features: Sequence[str] =
     return model.transform(ready).withColumn("model_version", F.lit(version)).drop("features")
 
 
+class LinearModel:
+    """A model of fixed weights, in built-in expressions."""
+
+    def __init__(self, weights: dict[str, float], intercept: float = 0.0):
+        self.weights, self.intercept = dict(weights), float(intercept)
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("predicted_vol", reduce(lambda a, b: a + b, [
+            F.col(c) * F.lit(float(w)) for c, w in self.weights.items()], F.lit(self.intercept)))
+
+
 def cross_validate(folded: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
                    **overrides) -> DataFrame:
     """MAE and RMSE of each fold, trained on the rows before it. One model at a time;

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from ..functions.scalar import minutes_between
 from ..operators.rolling import forward_fill, rolling_features
 from ..operators.timejoin import asof_join, interval_join, time_series
-from ..plans.chunks import CHUNK_ROWS, chunk_width
+from ..plans.chunks import CHUNK_ROWS, bounded_frames, chunk_width
 from ..schemas import FEATURES, TARGET
 
 SENTIMENT_VALUES = ["compound_score", "positive_ratio", "post_count"]
@@ -64,6 +65,29 @@ def latest_sentiment(bars: DataFrame, slots: DataFrame, width: str, key: str = "
     return out
 
 
+def sentiment_in_force(bars: DataFrame, slots: DataFrame, slot: str, until: Column) -> DataFrame:
+    """Each bar with the latest slot started at or before it, its age in minutes, and defaults while there is none.
+
+    A slot holds until the next one starts, the last one until ``until``, an instant after all bars. These intervals
+    are cut at the ends of ``slot`` long buckets, and a bar meets those of its bucket; Spark sends them to the bars
+    where they are few.
+    """
+    columns = bars.columns
+
+    def compute(rows, window):
+        return rows.withColumn("sentiment_end", F.lead("sentiment_start").over(window))
+
+    starts = slots.where("window_start IS NOT NULL").select(F.col("window_start").alias("sentiment_start"), *SENTIMENT_VALUES)
+    held = bounded_frames(starts, [], ["sentiment_start"], chunk_width(slot, CHUNK_ROWS), 0, 1, compute)
+    held = held.withColumn("sentiment_end", F.coalesce("sentiment_end", until)).where("sentiment_end > sentiment_start")
+    out = interval_join(bars, held, "window_start", "sentiment_start", "sentiment_end", slot).withColumn(
+        "post_count", F.col("post_count").cast("double")).withColumn(
+        "minutes_since_sentiment", minutes_between("sentiment_start", "window_start"))
+    for name, value in DEFAULTS.items():
+        out = out.withColumn(name, F.coalesce(name, F.lit(value)))
+    return out.select(*columns, "sentiment_start", *DEFAULTS)
+
+
 def training_rows(features: DataFrame, minimum: int = 10) -> DataFrame:
     """Inputs and target with NULLs as 0; too little data to train on is an error."""
     if len(features.take(minimum)) < minimum:

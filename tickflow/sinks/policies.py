@@ -41,10 +41,11 @@ def insert_counts(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None,
-           compute: dict[str, Column] | None = None) -> DataFrame:
+           compute: dict[str, Column] | None = None, version: str | None = None) -> DataFrame:
     """Target after an upsert. For a known key the ``update`` columns (default: all)
     take the batch's value, also when that is NULL, and others keep theirs.
-    ``compute`` sets columns of known keys from both sides: ``old.x`` and ``new.x``.
+    ``compute`` sets columns of known keys from both sides: ``old.x`` and ``new.x``. With ``version`` a known
+    row stays whole where its value there is greater than the batch's.
     """
     keys = list(keys)
     values = [c for c in target.columns if c not in keys]
@@ -55,12 +56,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], update: Seq
     pack = lambda df, name: df.select(*keys, F.struct(*values).alias(name))
     both = pack(target, "old").join(pack(batch, "new"), keys, "full_outer")
     old, new = F.col("old").isNotNull(), F.col("new").isNotNull()
+    stale = F.coalesce(F.col(f"old.{version}") > F.col(f"new.{version}"), F.lit(False)) if version else F.lit(False)
     out = []
     for c in values:
         met = (compute or {}).get(c)
         if met is None:
             met = F.col(f"new.{c}") if c in update and c not in absent_here else F.col(f"old.{c}")
-        out.append(F.when(old & new, met).when(old, F.col(f"old.{c}")).otherwise(F.col(f"new.{c}")).alias(c))
+        out.append(F.when(old & new & stale, F.col(f"old.{c}")).when(old & new, met).when(old, F.col(f"old.{c}")).otherwise(F.col(f"new.{c}")).alias(c))
     return both.select(*keys, *out).select(*target.columns)
 
 

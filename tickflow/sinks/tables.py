@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,9 +17,10 @@ from pyspark.sql.utils import AnalysisException
 
 from ..schemas import RUNS, conform
 from ..session import shared_dir
-from . import policies
+from . import folders, policies
 
 DATE = "dt"
+_DAY = re.compile(r"\d{4}-\d\d-\d\d")
 
 
 class Table:
@@ -64,17 +67,27 @@ class Table:
         days = [r[0] for r in batch.select(F.to_date(self.time)).distinct().collect()]
         return self._plain(rows.where(F.col(DATE).isin(days)))
 
+    def days_from_before(self, first: date, last: date) -> DataFrame:
+        """Rows of the days from ``first`` to ``last`` and of the last stored day before them."""
+        rows = self._stored_rows()
+        if rows is not None:
+            start = max([d for d in self.days() if d < first], default=first)
+            rows = rows.where((F.col(DATE) >= F.lit(start)) & (F.col(DATE) <= F.lit(last)))
+        return self._plain(rows)
+
+    def days(self) -> list[date]:
+        """Days that have a folder, from the names of the folders."""
+        names = [n.removeprefix(f"{DATE}=") for n in folders.children(self.spark, self.path)]
+        return [date.fromisoformat(n) for n in names if _DAY.fullmatch(n)]
+
     def folders(self, last: Column) -> list:
         """Days up to that of ``last`` that have a folder."""
-        rows = self._stored_rows()
-        if rows is None:
-            return []
-        return [r[0] for r in rows.where(F.col(DATE) <= F.to_date(last)).select(DATE).distinct().collect()]
+        edge = self.spark.range(1).select(F.to_date(last)).first()[0]
+        return [d for d in self.days() if d <= edge]
 
     def delete_path(self, path: str) -> None:
         """Remove a folder, on whatever file system it is."""
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        folders.delete(self.spark, path)
 
     def _keyed(self) -> Column:
         """Whether a row has its whole key; as with NOT NULL columns, others are not stored."""
@@ -122,13 +135,14 @@ class Table:
         return counts["rows_written"], counts["rows_rejected"] + lost
 
     def upsert(self, batch: DataFrame, update: Sequence[str] | None = None, compute=None,
-               order: Sequence[str] | None = None) -> int:
+               order: Sequence[str] | None = None, version: str | None = None) -> int:
         """Merge by key, rewriting only the days touched. Replaying a batch changes nothing.
-        Of several rows with one key the last in ``order`` counts (default: all columns).
+        Of several rows with one key the last in ``order`` counts (default: all columns). With ``version``, a
+        column that grows from one state of a row to the next, a stored row only gives way to one that is not older.
         Rows that lack a part of the key are rejected; returns their number."""
         with self._usable(batch) as (rows, lost):
-            last = policies.last_in_batch(rows, self.keys, order or self._rest())
-            self.replace_days(policies.upsert(self.days_of(rows), last, self.keys, update, compute))
+            last = policies.last_in_batch(rows, self.keys, order or ([version] if version else []) + self._rest())
+            self.replace_days(policies.upsert(self.days_of(rows), last, self.keys, update, compute, version))
         return lost
 
     def _rest(self) -> list[str]:

@@ -90,6 +90,15 @@ def stream_bars(ticks: DataFrame, width: str = WIDTH, slice_width: str = "1 seco
         F.sqrt(F.try_divide(dev, F.col("_n"))).alias("volatility"))
 
 
+def stream_posts(posts: DataFrame, delay: str, key: str = "id", time: str = "created_at") -> DataFrame:
+    """Posts without those whose ``key`` was seen up to ``delay`` before; the first to arrive stays.
+
+    The state holds a key until the watermark is ``delay`` past its post, so it does not grow with the stream. A key that
+    comes again after that is a new post. Posts later than the watermark are dropped, as are all late rows.
+    """
+    return posts.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
                   partition_by: Sequence[str] = ()) -> None:
     """Process what there is and stop; continues from ``checkpoint`` next time."""

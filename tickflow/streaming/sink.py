@@ -5,23 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ml import score
 from ..operators.rolling import TRAILING, VOLUME_ROWS, rolling_features
-from ..plans.features import latest_sentiment
+from ..plans.features import sentiment_in_force
 from ..sinks.tables import Table, log_run
 from ..sources.ticks import checked, dead_letters, good_ticks
+from .ring import Ring
 
 #: Bars before a batch that its rolling features reach: the longest trailing frame, and one more for the first return.
 REACH = max(TRAILING, VOLUME_ROWS) + 1
-
-
-def newest_per_key(df: DataFrame, key: str, order: str, n: int) -> DataFrame:
-    """Last ``n`` rows of each key. Spark keeps ``n`` per key in every task before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+#: Bars that may still come again (update mode) or late; with them the ring reaches back from the oldest of these.
+OPEN_BARS = 5
 
 
 @dataclass
@@ -30,82 +27,80 @@ class BarSink:
     after a failure leaves the same tables.
 
     ``policy`` is ``"upsert"`` (latest emission of a bar wins) or ``"first_wins"``
-    (a bar stays as first written; later ones count as rejected). ``model`` returns
+    (a bar stays as first written; later ones count as rejected). ``version`` names a bar column that only grows
+    while a bar is open, such as ``trade_count``; with it an older emission never replaces a later one. ``model`` returns
     the current ``(model, version)``, or ``(None, None)`` to skip scoring.
+
+    A batch reads its own days of the bar table, the ring of each symbol's last bars, and of the sentiment table its
+    own days and the last one before them, however long the stream has run.
     """
     bars: Table
     predictions: Table
     sentiment: Table
     runs_path: str
     width: str = "1 minute"
-    chunk: str = "1 day"
-    recent_days: int = 2
+    slot: str = "30 minutes"
     policy: str = "upsert"
+    version: str | None = None
     source: str = "ticks"
     model: Callable[[], tuple] = field(default=lambda: (None, None))
+    ring_path: str | None = None
+
+    def __post_init__(self):
+        self.ring = Ring(self.bars.spark, self.ring_path or f"{self.bars.path.rstrip('/')}_ring", REACH + OPEN_BARS,
+                         "first" if self.policy == "first_wins" else "last")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        if self.version is not None:
+            batch = self._not_older(batch)
         batch.persist()
+        # a query that starts anew counts its batches from 0 again
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run = f"{query + '-' if query else ''}{batch_id}"
         try:
             written, rejected = self._store(batch)
-            scored, version = self._score(batch)
-            # a query that starts anew counts its batches from 0 again
-            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            scored, version = self._score(batch, run)
+            self.ring.merge(batch.where("symbol IS NOT NULL AND window_start IS NOT NULL"), run)
             log_run(batch.sparkSession, self.runs_path, "bar_stream", self.source, "bars", written, rejected, "ok",
                     {"batch_id": str(batch_id), "model_version": str(version), "scored": str(scored)},
-                    run_id=f"bar_stream-{query + '-' if query else ''}{batch_id}")
+                    run_id=f"bar_stream-{run}")
         finally:
             batch.unpersist()
 
+    def _not_older(self, batch: DataFrame) -> DataFrame:
+        """The batch without emissions older than what is stored."""
+        keys = ["symbol", "window_start"]
+        stored = self.bars.days_of(batch).select(*keys, F.col(self.version).alias("_stored"))
+        return batch.join(stored, keys, "left").where(F.col("_stored").isNull() | (F.col(self.version) >= F.col("_stored"))).drop("_stored")
+
     def _store(self, batch: DataFrame) -> tuple[int, int]:
         if self.policy == "first_wins":
             return self.bars.insert_absent(batch)
-        n, lost = batch.count(), self.bars.upsert(batch)
+        n, lost = batch.count(), self.bars.upsert(batch, version=self.version)
         return n - lost, lost
 
-    def features(self, batch: DataFrame) -> DataFrame:
-        """Features of the batch's bars from the bar table, trailing frames complete only.
-
-        The table is read for the last days; symbols with too few bars there are
-        looked up in the days before as well.
-        """
-        new = batch.select("symbol", "window_start")
-        last = new.agg(F.max("window_start")).first()[0]
-        first = new.agg(F.min("window_start")).first()[0]
-        horizon = F.lit(first) - F.expr(f"INTERVAL {self.recent_days} DAYS")
-        at = F.col("window_start")
-        symbols = new.select("symbol").distinct()
-        stored = (self.bars.days_between(horizon, F.lit(last)).where((at >= horizon) & (at <= F.lit(last)))
-                  .join(symbols, "symbol", "left_semi"))
-        prior = newest_per_key(stored.where(at < F.lit(first)), "symbol", "window_start", REACH)
-        enough = prior.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= REACH)
-        short = symbols.join(enough, "symbol", "left_anti")
-        if not short.isEmpty():
-            older = self.bars.days_between(last=horizon).where(at < horizon).join(short, "symbol", "left_semi")
-            prior = newest_per_key(prior.unionByName(newest_per_key(older, "symbol", "window_start", REACH)),
-                                   "symbol", "window_start", REACH)
-        reach = prior.unionByName(stored.where(at >= F.lit(first)))
-        doubles = reach.select("symbol", "window_start", "window_end", *[
-            F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")])
-        rolled = rolling_features(doubles, self.width, min_periods="full")
-        return (rolled.join(new, ["symbol", "window_start"], "left_semi").where("rolling_vol IS NOT NULL")
-                .drop("target_vol"))
-
-    def _score(self, batch: DataFrame) -> tuple[int, str]:
+    def features(self, batch: DataFrame, run: str) -> DataFrame:
+        """Features of the batch's bars, trailing frames complete only, with the sentiment in force."""
+        rolled = rolling_features(self.ring.around(batch, run), self.width, min_periods="full")
+        keys = ["symbol", "window_start"]
+        rolled = rolled.join(batch.select(*keys), keys, "left_semi").where("rolling_vol IS NOT NULL").drop("target_vol")
+        first, last = batch.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b")).select(F.to_date("a"), F.to_date("b")).first()
+        moods = self.sentiment.days_from_before(first, last).select("window_start", *[
+            F.col(c).cast("double").alias(c) for c in ("compound_score", "positive_ratio", "post_count")])
+        return sentiment_in_force(rolled, moods, self.slot, F.lit(last).cast("timestamp") + F.expr("INTERVAL 1 DAY"))
+
+    def _score(self, batch: DataFrame, run: str) -> tuple[int, str]:
         model, version = self.model()
         if model is None:
             return 0, "none"
-        moods = self.sentiment.read().select(
-            "window_start", *[F.col(c).cast("double").alias(c) for c in ("compound_score", "positive_ratio", "post_count")])
-        rows = latest_sentiment(self.features(batch), moods, self.chunk)
-        out = score(model, rows, version).withColumn("inference_latency_ms", F.lit(None).cast("int"))
+        out = score(model, self.features(batch, run), version).withColumn("inference_latency_ms", F.lit(None).cast("int"))
         out = out.persist()
         try:
             n = out.count()
             if n:
-                self.predictions.upsert(out, update=["predicted_vol", "model_version", "inference_latency_ms"])
+                self.predictions.upsert(out)
             return n, version
         finally:
             out.unpersist()
