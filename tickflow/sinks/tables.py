@@ -189,6 +189,12 @@ def to_topic(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
     messages.write.format(fmt).options(**options).mode("append").save()
 
 
+def stream_topic(messages: DataFrame, fmt: str, checkpoint: str, trigger: str | None = None, **options: str):
+    """Follow a stream of messages and put them on a topic; without ``trigger`` what there is, once."""
+    writer = messages.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
+
+
 def to_csv(df: DataFrame, path: str) -> None:
     """A result as CSV with a header; quotes inside a value are doubled."""
     df.write.mode("overwrite").options(header="true", escape='"').csv(path)
