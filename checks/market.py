@@ -34,6 +34,12 @@ def bars_sliced(spark, sf):
     return rounded(ob.tick_bars(t.ticks(spark, sf), t.BAR, slices=7), *PRICES)
 
 
+@query("bars_ranged", "bars", BAR_SQL)
+def bars_ranged(spark, sf):
+    """The same by ranges of the ticks' order."""
+    return rounded(ob.ranged_bars(t.ticks(spark, sf), t.BAR), *PRICES)
+
+
 @query("bars_plain", "bars", f"SELECT symbol, window_start, window_end, {rnd(*PRICES[:-1])}, "
        "CAST(trade_count AS BIGINT) AS trade_count FROM bars")
 def bars_plain(spark, sf):
@@ -192,21 +198,21 @@ def feature_view_running_max(spark, sf):
 
 # ---- joins over time ---------------------------------------------------------------------
 
-@query("interval_join_slot", "ticks slots", """
+@query("interval_join_slot", "ticks all_slots", """
     SELECT trade_id, event_time, s.window_start AS slot_start, s.compound_score, s.data_quality
-    FROM ticks LEFT JOIN slots s ON s.window_start <= event_time AND s.window_end > event_time""")
+    FROM ticks LEFT JOIN all_slots s ON s.window_start <= event_time AND s.window_end > event_time""")
 def interval_join_slot(spark, sf):
-    right = t.slots(spark, sf).select(F.col("window_start").alias("slot_start"), "window_end", "compound_score",
+    right = t.all_slots(spark, sf).select(F.col("window_start").alias("slot_start"), "window_end", "compound_score",
                                       "data_quality")
     left = t.ticks(spark, sf).select("trade_id", "event_time")
     return timejoin.interval_join(left, right, "event_time", "slot_start", "window_end", t.SLOT).drop("window_end")
 
 
-@query("slot_join", "ticks slots", """
+@query("slot_join", "ticks all_slots", """
     SELECT trade_id, event_time, s.compound_score, s.data_quality
-    FROM ticks LEFT JOIN slots s ON s.window_start = time_bucket(INTERVAL '12 hours', event_time)""")
+    FROM ticks LEFT JOIN all_slots s ON s.window_start = time_bucket(INTERVAL '12 hours', event_time)""")
 def slot_join(spark, sf):
-    right = t.slots(spark, sf).select("window_start", "window_end", "compound_score", "data_quality")
+    right = t.all_slots(spark, sf).select("window_start", "window_end", "compound_score", "data_quality")
     return timejoin.slot_join(t.ticks(spark, sf).select("trade_id", "event_time"), right, "event_time", t.SLOT)
 
 

@@ -51,17 +51,34 @@ def training_rows(spark, sf):
 @query("gbt_scores", "features", f"""
     , n AS (SELECT symbol, window_start, {TARGET}, row_number() OVER (ORDER BY window_start, symbol) - 1 AS i FROM features),
     c AS (SELECT CAST(floor(count(*) * CAST({ml.TRAIN_SHARE} AS DOUBLE)) AS BIGINT) AS cut FROM features)
-    SELECT symbol, window_start, round(coalesce({TARGET}, 0), 6) AS {TARGET}, 'v1' AS model_version, TRUE AS scored
-    FROM n, c WHERE i >= cut""")
+    SELECT symbol, window_start, round(coalesce({TARGET}, 0), 6) AS {TARGET}, i < cut AS trained_on, 'v1' AS model_version, TRUE AS scored
+    FROM n, c""")
 def gbt_scores(spark, sf):
     indexed = row_index(features(spark, sf), ORDER)
     train, tail = ml.split_tail(indexed)
     model = ml.train_gbt(train, tail)
     scored = F.col("predicted_vol").isNotNull() & ~F.isnan("predicted_vol")
-    out = ml.score(model, tail, "v1").select("symbol", "window_start", TARGET, "model_version", scored.alias("scored"))
+    cut = indexed.count() * ml.TRAIN_SHARE
+    out = ml.score(model, indexed, "v1").select("symbol", "window_start", TARGET, (F.col("row_index") < int(cut)).alias("trained_on"),
+                                                "model_version", scored.alias("scored"))
     return rounded(out, TARGET)
 
 
+@query("gbt_patience", sql="SELECT TRUE AS best_kept, TRUE AS patient FROM (SELECT count(*) FROM events)")
+def gbt_patience(spark, sf):
+    """Boosting with patience: the model kept has the least loss on the validation rows of all rounds up to ``PATIENCE`` after it, and as many trees."""
+    train, tail = ml.split_tail(row_index(features(spark, sf), ORDER))
+    train, tail = cut_lineage(train), cut_lineage(tail)
+    model, losses = ml.train_patient(train, tail)
+    trees = model.stages[-1].getNumTrees
+    least = min(range(min(len(losses), trees + ml.PATIENCE)), key=losses.__getitem__)
+    error = F.col("predicted_vol") - F.col(TARGET)
+    loss = F.avg(error * error)
+    waited = len(losses) - trees >= ml.PATIENCE or len(losses) == ml.TREES["maxIter"]
+    return model.transform(tail).agg((F.abs(loss - F.lit(losses[least])) <= 1e-9 * F.abs(loss)).alias("best_kept"),
+                                     F.lit(trees == least + 1 and waited).alias("patient"))
+
+
 @query("gbt_cv", "features", """
     SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS fold, count(*) // 6 AS n, TRUE AS sound FROM features""")
 def gbt_cv(spark, sf):

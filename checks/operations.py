@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tickflow.functions import scalar as fs
-from tickflow.operators import alerts, audit, catalog, expectations, ops, quality
+from tickflow.operators import alerts, audit, catalog, expectations, ops, quality, stats
 from tickflow.session import cut_lineage, shared_dir
 from tickflow.sinks import policies, tables as sinks
 from tickflow.sources import files
@@ -266,7 +266,7 @@ def _metric_tables(spark, sf):
     used = F.col("usage_percent")
     return {
         "predictions": t.predictions(spark, sf).select("symbol", "window_start", "predicted_vol"),
-        "sentiment": t.slots(spark, sf).withColumn("created_at", F.col("window_start")),
+        "sentiment": t.all_slots(spark, sf).withColumn("created_at", F.col("window_start")),
         "bars": t.bars(spark, sf),
         "mem": m.select("time", used.alias("used_percent")),
         "disk": m.select("time", used.alias("used_percent"),
@@ -281,7 +281,7 @@ def _metric_tables(spark, sf):
 ALERT_SQL = [
     ("no_new_predictions", "predictions", "window_start", "1", "count", 15, "= 0", "Alerting", "warning"),
     ("high_volatility", "predictions", "window_start", "predicted_vol", "avg", 60, "> 0.1", "NoData", "critical"),
-    ("pipeline_stale", "slots", "window_start", "1", "count", 120, "= 0", "Alerting", "warning"),
+    ("pipeline_stale", "all_slots", "window_start", "1", "count", 120, "= 0", "Alerting", "warning"),
     ("data_gap", "bars", "window_start", "1", "count", 5, "= 0", "Alerting", "critical"),
     ("host_disk_high", "containers", "time", "CASE WHEN metric_id % 3 <> 0 THEN usage_percent END", "max", 5, "> 90",
      "NoData", "critical"),
@@ -299,7 +299,7 @@ def _alert_now(rule, src, ts, value, measure, hours, cond, no_data, severity):
             f"WHERE {ts} > {NOW} - INTERVAL {hours} HOUR AND {ts} <= {NOW}")
 
 
-@query("alert_rules", "predictions slots containers", f"""
+@query("alert_rules", "predictions all_slots containers", f"""
     SELECT rule_id, severity, round(value, 6) AS value, coalesce(hit, no_data = 'Alerting') AS breach,
            CASE WHEN value IS NULL THEN no_data WHEN hit THEN 'Alerting' ELSE 'Normal' END AS state
     FROM ({' UNION ALL '.join(_alert_now(*a) for a in ALERT_SQL)} UNION ALL
@@ -313,7 +313,8 @@ def alert_rules(spark, sf):
 def _alert_series(rule, src, ts, value, measure, hours, cond, no_data, severity):
     hold = {r.rule_id: r.hold for r in HOURLY}[rule]
     back = -(-hold // 60)
-    filled = f"coalesce(CAST({measure}(v) AS DOUBLE), 0)" if measure == "count" else f"{measure}(v)"
+    filled = {"count": "coalesce(CAST(count(v) AS DOUBLE), 0)", "last": "max(v)[2]"}.get(measure, f"{measure}(v)")
+    since = "" if measure == "last" else f"x.at > instant - INTERVAL {hours} HOUR AND"
     return f"""
     SELECT rule_id, severity, instant, value, breach,
            CASE WHEN NOT breach THEN 'Normal'
@@ -325,18 +326,35 @@ def _alert_series(rule, src, ts, value, measure, hours, cond, no_data, severity)
                     (SELECT max(time_bucket(INTERVAL '1 hour', {ts} - INTERVAL 1 MICROSECOND)) FROM {src}) + INTERVAL 1 HOUR,
                     INTERVAL 1 HOUR)) AS instant) g
           LEFT JOIN (SELECT {ts} AS at, {value} AS v FROM {src}) x
-                 ON x.at > instant - INTERVAL {hours} HOUR AND x.at <= instant
+                 ON {since} x.at <= instant
           GROUP BY instant)
     WINDOW f AS (ORDER BY instant ROWS BETWEEN {back} PRECEDING AND CURRENT ROW)"""
 
 
-@query("alert_sustained", "predictions slots containers", " UNION ALL ".join(
-    f"SELECT * FROM ({_alert_series(*a)})" for a in ALERT_SQL))
+_SERIES = " UNION ALL ".join(f"SELECT * FROM ({_alert_series(*a)})" for a in [
+    *ALERT_SQL, ("host_memory_high", "containers", "time", "(time, usage_percent)", "last", 0, "> 85", "NoData", "critical")])
+
+
+@query("alert_sustained", "predictions all_slots containers", _SERIES)
 def alert_sustained(spark, sf):
     out = alerts.sustained_alerts(_metric_tables(spark, sf), HOURLY, 60, "5 days", chunk_rows=100)
     return rounded(out, "value", digits=9)
 
 
+@query("alert_episodes", "predictions all_slots containers", f"""
+    , series AS ({_SERIES}),
+    marked AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY instant)
+                         - row_number() OVER (PARTITION BY rule_id, breach ORDER BY instant) AS island FROM series)
+    SELECT rule_id, severity, min(instant) AS started_at, max(instant) AS ended_at, count(*) AS evaluations,
+           (count(*) - 1) * 60 AS minutes, CASE WHEN rule_id IN ('no_new_predictions', 'pipeline_stale', 'data_gap', 'container_metrics_stale')
+           THEN min(value) ELSE max(value) END AS peak, bool_or(state = 'Firing') AS fired
+    FROM marked WHERE breach GROUP BY rule_id, severity, island""")
+def alert_episodes(spark, sf):
+    """Each stretch of evaluations in breach, from its first to its last, and whether it lasted long enough to fire."""
+    series = cut_lineage(alerts.sustained_alerts(_metric_tables(spark, sf), HOURLY, 60, "5 days", chunk_rows=100))
+    return rounded(alerts.episodes(series, HOURLY, 60, chunk_rows=100), "peak", digits=9)
+
+
 LAST_STATUS = "(SELECT container_name, arg_max(status, (time, metric_id)) AS status FROM containers GROUP BY 1)"
 
 
@@ -357,6 +375,41 @@ def containers_down(spark, sf):
     return alerts.containers_down(t.container_metrics(spark, sf), ["c1", "c3", "c5", "c7", "c9"])
 
 
+_DAILY = ("event_id", "user_id", "event_type", "value", "props")
+
+
+@query("merged_profile", sql=" UNION ALL ".join(
+    f"SELECT 'events' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count, "
+    + (f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value, round(avg({c}), 4) AS mean_value, "
+       if c in ("event_id", "user_id", "value") else "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value, CAST(NULL AS DOUBLE) AS mean_value, ")
+    + "TRUE AS distinct_within FROM events" for c in _DAILY))
+def merged_profile(spark, sf):
+    """A profile of the month put together from stored days; distinct counts are estimates, here held against exact ones."""
+    events = t.events(spark, sf)
+    path = f"{shared_dir(spark)}/daily-{uuid.uuid4().hex}"
+    quality.daily_profile(events, "events", "ts").write.partitionBy("day").parquet(path)
+    merged = quality.merge_profiles(spark.read.parquet(path))
+    exact = events.agg(*[F.count_distinct(c).alias(c) for c in _DAILY]).select(
+        F.explode(F.map_from_arrays(F.array(*map(F.lit, _DAILY)), F.array(*_DAILY))).alias("column_name", "exact"))
+    out = merged.join(exact, "column_name").withColumn(
+        "distinct_within", F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))).drop("distinct_estimate", "exact")
+    return rounded(out, "mean_value", digits=4)
+
+
+@query("hour_quantile_sketch", sql="""
+    SELECT hour(ts) AS hour, count(*) AS n, TRUE AS within FROM events WHERE value IS NOT NULL GROUP BY 1""")
+def hour_quantile_sketch(spark, sf):
+    """Quartiles by hour of day from stored sketches of single days; ranks of the estimates are held against the rows."""
+    events = t.events(spark, sf).select(F.to_date("ts").alias("day"), F.hour("ts").alias("hour"), "value")
+    path = f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    stats.quantile_sketches(events, ["day", "hour"], "value").write.parquet(path)
+    found = stats.merged_quantiles(spark.read.parquet(path), ["hour"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    ranks = events.join(F.broadcast(found), "hour").groupBy("hour").agg(F.count("value").alias("n"), *[    # a row per hour of the day
+        (F.count_if(F.col("value") <= F.col(q)) / F.count("value")).alias(q) for q in ("q1", "median", "q3")])
+    within = [F.abs(F.col(q) - p) <= 0.02 + 1 / F.col("n") for q, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
+    return ranks.select("hour", "n", (within[0] & within[1] & within[2]).alias("within"))
+
+
 @query("document_profile", sql="""
     SELECT 'documents' AS table_name, c.name AS column_name, c.total_rows, c.total_rows - c.n AS null_count, c.d AS distinct_count,
            CAST(0 AS BIGINT) AS type_mismatch, c.lo AS min_value, c.hi AS max_value, round(c.mean, 4) AS mean_value,
@@ -458,7 +511,7 @@ def log_predicates(spark, sf):
         & c("message").isNotNull() & c("log_id").between(100, top)).select("log_id", "service", "level")
 
 
-@query("log_summary", "runs audit_old audit_new", """
+@query("log_summary", "runs", """
     , a AS (SELECT max(finished_at) AS now FROM runs),
     s AS (SELECT count(*) AS r, count(CASE WHEN quality_status = 'failed' THEN 1 END) AS f FROM runs, a
           WHERE finished_at > now - INTERVAL 72 HOUR),
@@ -468,10 +521,10 @@ def log_predicates(spark, sf):
     SELECT 'pipeline_orchestrator' AS service, 'INFO' AS level, r || ' pipeline runs in last hour' AS message, extra FROM x WHERE r > 0
     UNION ALL SELECT 'pipeline_orchestrator', 'ERROR', f || ' pipeline failures in last hour', extra FROM x WHERE f > 0
     UNION ALL SELECT 'pipeline_orchestrator', 'INFO', n || ' audit events in last hour', extra FROM x""".replace(
-    "logs_at", "(SELECT o_orderdate AS changed_at FROM orders WHERE o_orderkey % 10 <> 0)"))
+    "logs_at", "(SELECT o_orderdate AS changed_at FROM orders)"))
 def log_summary(spark, sf):
     r = t.runs(spark, sf)
-    events = t.table(spark, sf, "orders").where("o_orderkey % 10 <> 0").select(F.col("o_orderdate").alias("changed_at"))
+    events = t.table(spark, sf, "orders").select(F.col("o_orderdate").alias("changed_at"))
     return ops.log_summary(r, events, fs.latest_instant(r, "finished_at"), "72 HOURS")
 
 
@@ -525,17 +578,17 @@ def run_status_counts(spark, sf):
     return ops.value_counts(t.runs(spark, sf), "quality_status")
 
 
-@query("freshness", "bars slots predictions runs", f"""
+@query("freshness", "bars all_slots predictions runs", f"""
     SELECT table_name, last_data_at, date_diff('second', last_data_at, {NOW}) // 60 AS age_minutes FROM (
         SELECT 'bars' AS table_name, max(window_start) AS last_data_at FROM bars UNION ALL
-        SELECT 'sentiment', max(window_start) FROM slots UNION ALL
+        SELECT 'sentiment', max(window_start) FROM all_slots UNION ALL
         SELECT 'predictions', max(window_start) FROM predictions UNION ALL
         SELECT 'audit', max(timestamp) FROM (SELECT ts AS timestamp FROM events WHERE ts < TIMESTAMP '2000-01-01'))""")
 def freshness(spark, sf):
     """One of the tables has no rows."""
     ev = t.events(spark, sf)
     return quality.freshness({
-        "bars": (t.bars(spark, sf), "window_start"), "sentiment": (t.slots(spark, sf), "window_start"),
+        "bars": (t.bars(spark, sf), "window_start"), "sentiment": (t.all_slots(spark, sf), "window_start"),
         "predictions": (t.predictions(spark, sf), "window_start"),
         "audit": (ev.where(F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz")), "ts"),
     }, fs.latest_instant(ev, "ts"))
@@ -568,6 +621,14 @@ def latest_record(spark, sf):
     return ops.newest(t.container_metrics(spark, sf), ["time", "metric_id"], 1).select("usage_percent", "time")
 
 
+@query("deep_page", "", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 40 OFFSET (SELECT count(*) // 2 FROM orders)")
+def deep_page(spark, sf):
+    """A page from the middle of the table: one partition of its order is opened."""
+    orders = t.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    book = ops.PagedTable(orders, ["o_totalprice", "o_orderkey"])
+    return book.page(book.rows // 2, 40)
+
+
 @query("page", "", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25 OFFSET 100")
 def page(spark, sf):
     return ops.page(t.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"],

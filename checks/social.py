@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
 
+from tickflow.functions.scalar import sentiment_sign
 from tickflow.operators import quality, sentiment
 from tickflow.schemas import sentiment_rules
 from tickflow.session import shared_dir
@@ -126,3 +128,22 @@ def post_csv(spark, sf):
     path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
     sinks.to_csv(t.posts(spark, sf).select("id", F.col("keyword").alias("source"), "likes", "text"), path)
     return files.harvested_csv(spark, path, "harvest", latest_only=False).select("id", "source", "keyword", "likes")
+
+
+@query("newest_csv", "posts", """
+    SELECT CAST(id AS VARCHAR) AS id, keyword AS source, 'harvest' AS keyword FROM posts WHERE lang = 'en'""")
+def newest_csv(spark, sf):
+    """Harvests of each language in files of their own, the English one last; the newest counts."""
+    path = f"{shared_dir(spark)}/harvests-{uuid.uuid4().hex}"
+    posts = t.posts(spark, sf)
+    for i, lang in enumerate(["de", "fr", "es", "en"]):
+        rows = posts.where(F.col("lang") == lang).select("id", F.col("keyword").alias("source"), "text")
+        rows.coalesce(1).write.options(header="true", escape='"').csv(f"{path}/{i}")      # a harvest is one file
+        time.sleep(1.1)                                                                   # file times may be in whole seconds
+    return files.harvested_csv(spark, f"{path}/*", "harvest").select("id", "source", "keyword")
+
+
+@query("sentiment_bands", "scored", """
+    SELECT id, compound, CASE WHEN compound > 0.05 THEN 'positive' WHEN compound < -0.05 THEN 'negative' ELSE 'neutral' END AS band FROM scored""")
+def sentiment_bands(spark, sf):
+    return t.scored_posts(spark, sf).select("id", "compound", sentiment_sign("compound").alias("band"))

@@ -106,7 +106,7 @@ def stream_enriched(spark, sf):
                       model=lambda: (LinearModel(LINEAR), "linear"))
     sink.sentiment.upsert(t.all_slots(spark, sf))
     incoming, state, ticks = _folder(spark, "ticks"), _folder(spark, "state"), _stored_ticks(spark, sf)
-    for part in _parts(ticks, "event_time", 15, "3 hours"):
+    for part in _parts(ticks, "event_time", 16, "3 hours"):
         part.write.mode("append").parquet(incoming)
         arrived = st.stream(spark, "parquet", incoming, ticks.schema)
         ss.start(sb.stream_bars(arrived, t.BAR, "15 minutes"), sink, state).awaitTermination()
@@ -125,7 +125,7 @@ def stream_update(spark, sf):
     sink = ss.BarSink(Table(spark, _folder(spark, "bars"), t.BAR_SCHEMA, keys), Table(spark, _folder(spark, "predictions"), WIDE, keys),
                       Table(spark, _folder(spark, "sentiment"), SENTIMENT, ["window_start"]), _folder(spark, "runs"), width=t.BAR, version="trade_count")
     incoming, state, ticks = _folder(spark, "ticks"), _folder(spark, "state"), _stored_ticks(spark, sf)
-    parts = list(_parts(ticks, "event_time", 15, "3 hours"))
+    parts = list(_parts(ticks, "event_time", 16, "3 hours"))
     for part in parts:
         part.write.mode("append").parquet(incoming)
         ss.start(sb.stream_ohlcv(st.stream(spark, "parquet", incoming, ticks.schema), t.BAR), sink, state, mode="update").awaitTermination()

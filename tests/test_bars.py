@@ -1,11 +1,12 @@
 import random
 import statistics
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import minute, rows
-from tickflow.operators.bars import kline_volatility, ohlcv, tick_bars
+from tickflow.operators.bars import kline_volatility, ohlcv, ranged_bars, tick_bars
 from tickflow.operators.quality import split_by_rules
 from tickflow.schemas import bar_rules
 
@@ -79,3 +80,22 @@ def test_low_never_above_open_or_close(spark):
     assert b.where("low > open OR low > close OR high < open OR high < close OR trade_count < 1").count() == 0
     assert b.agg(F.sum("trade_count")).first()[0] == tables.ticks(spark, SF).count()
     assert rows(b.groupBy("symbol", "window_start").count().where("count > 1")) == []
+
+
+def test_ranged_bars_equal_brute_force_and_spread_one_instant(spark):
+    """Nine of ten ticks stand in one slice of one bar; they are dealt over the tasks all the same."""
+    rng = random.Random(8)
+    data = [("s", minute(3) + timedelta(microseconds=i // 3), i, rng.choice([0.0, 1.0, 2.5, 4.0]), 1.0) for i in range(3600)]
+    data += [(rng.choice("st"), minute(rng.random() * 9), 10_000 + i, 1.0 + rng.random(), 2.0) for i in range(400)]
+    frame = spark.createDataFrame(data, TICK)
+    got = {(r["symbol"], r["window_start"]): r for r in ranged_bars(frame).collect()}
+    want = brute(data)
+    assert set(got) == set(want)
+    for k, (o, h, lo, c, v, n, vol) in want.items():
+        r = got[k]
+        assert (r["open"], r["high"], r["low"], r["close"], r["trade_count"]) == (o, h, lo, c, n) and r["volume"] == pytest.approx(v)
+        assert r["volatility"] == (None if vol is None else pytest.approx(vol, rel=1e-9))
+    same = spark.createDataFrame([("s", minute(0), None, 1.0, 1.0)] * 500, TICK)        # not even the ids differ
+    assert [(r["trade_count"], r["volatility"]) for r in ranged_bars(same).collect()] == [(500, 0.0)]
+    ranges = frame.repartitionByRange(4, "symbol", "event_time", "trade_id").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in ranges) < 2000

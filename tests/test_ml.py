@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,65 @@ def test_pca(spark):
     assert projected.count() == 60
     r = {x["feature"]: x for x in loadings.collect()}
     assert r["a"]["pc1_share"] > 0.6 and abs(abs(r["a"]["pc1"]) - abs(r["b"]["pc1"])) < 0.01 and abs(r["c"]["pc1"]) < 0.3
+
+
+def plain_kmeans(x, points, rounds):
+    for _ in range(rounds):
+        nearest = ((x[:, None] - points[None]) ** 2).sum(axis=2).argmin(axis=1)
+        points = np.array([x[nearest == c].mean(axis=0) if (nearest == c).any() else points[c] for c in range(len(points))])
+    gaps = ((x[:, None] - points[None]) ** 2).sum(axis=2)
+    return points, gaps.min(axis=1).sum(), np.bincount(gaps.argmin(axis=1), minlength=len(points))
+
+
+def test_runs_that_share_scans_equal_runs_alone(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 1, (70, 2)) for c in ((0, 0), (9, 0), (0, 9))])
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double").repartition(5)
+    found = ml.shared_kmeans(rows, ["a", "b"], [2, 3, 4], seeds=[1, 2], starts=2, settled=1e-12)
+    assert set(found) == {(k, s) for k in (2, 3, 4) for s in (1, 2)}
+    for (k, seed), run in found.items():
+        _, inertia, sizes = plain_kmeans(x, run.points, 1)      # settled: a round alone changes nothing
+        assert run.inertia == pytest.approx(inertia, rel=1e-9) and list(run.sizes) == list(sizes) and sizes.sum() == len(x)
+    assert sorted(found[3, 1].sizes) == [70, 70, 70]
+
+
+def test_sweep_scans_by_rounds_and_not_by_runs(spark, monkeypatch):
+    scans, assigned = [], ml._assigned
+    monkeypatch.setattr(ml, "_assigned", lambda rows, columns, runs: scans.append(len(runs)) or assigned(rows, columns, runs))
+    rows = spark.createDataFrame([(float(i % 17), float(i % 5)) for i in range(200)], "a double, b double")
+    ml.shared_kmeans(rows, ["a", "b"], range(2, 10))
+    assert scans[0] == 80 and len(scans) <= ml.ROUNDS + 1
+
+
+def test_first_centres_of_few_different_rows(spark):
+    rows = spark.createDataFrame([(1.0,)] * 9 + [(2.0,)], "a double")
+    run = ml.shared_kmeans(rows, ["a"], [3])[3, 42]
+    assert run.inertia == 0 and run.sizes.sum() == 10
+
+
+def test_best_round_against_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        losses = [rng.random() for _ in range(rng.randint(1, 60))]
+        patience, best, waited, stopped = rng.randint(1, 12), 0, 0, False
+        for i, v in enumerate(losses):
+            if v < losses[best]:
+                best, waited = i, 0
+            elif i:
+                waited += 1
+            if waited == patience:
+                stopped = True
+                break
+        assert ml.best_round(losses, patience) == (best + 1, stopped)
+
+
+def test_patient_boosting_keeps_the_best_round(spark):
+    rng = random.Random(5)
+    data = [(x := rng.random(), (x > 0.5) * 1.0 + rng.gauss(0, 0.6)) for _ in range(400)]
+    frame = spark.createDataFrame(data, "a double, y double").repartition(1).cache()
+    train, valid = frame.where("a * 1000 % 3 >= 1"), frame.where("a * 1000 % 3 < 1")
+    model, losses = ml.train_patient(train, valid, ["a"], "y", patience=3, first=4, maxIter=30, stepSize=0.5)
+    chosen = model.stages[-1].getNumTrees
+    assert chosen == ml.best_round(losses, 3)[0]
+    error = F.col("predicted_vol") - F.col("y")
+    assert model.transform(valid).agg(F.avg(error * error)).first()[0] == pytest.approx(losses[chosen - 1], rel=1e-9)

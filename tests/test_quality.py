@@ -1,10 +1,11 @@
+import random
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import T0, minute, rows
-from tickflow.operators import alerts, catalog, expectations as ex, ops, quality
+from tickflow.operators import alerts, catalog, expectations as ex, ops, quality, stats
 from tickflow.functions.scalar import COMPLETENESS_BANDS, band, sentiment_sign
 
 
@@ -173,3 +174,65 @@ def test_quantiles_with_one_value_in_most_rows(spark):
     assert (got["a"]["n"], got["a"]["q1"], got["a"]["median"], got["a"]["top"]) == (1000, cuts[24], cuts[49], 49.0)
     assert got["a"]["p97"] == pytest.approx(cuts[96])
     assert (got["b"]["n"], got["b"]["median"], got["b"]["top"]) == (3, 0.0, 1e300)
+
+
+def test_episodes_equal_brute_force_over_chunk_seams(spark):
+    rng = random.Random(9)
+    flags = {"up": [rng.random() < 0.7 for _ in range(60)], "down": [True] * 40 + [False] + [True] * 19}
+    data = [(rule, "warning", minute(i), float(rng.randint(0, 9)), b, "Firing" if b and i % 5 == 0 else "Normal") for rule, v in flags.items() for i, b in enumerate(v)]
+    series = spark.createDataFrame(data, "rule_id string, severity string, instant timestamp_ntz, value double, breach boolean, state string")
+    rules = [alerts.Rule("up", "x", "t", "max", 1, ">", 1, 0, "warning"), alerts.Rule("down", "x", "t", "count", 1, "==", 0, 0, "warning")]
+    want = []
+    for rule in flags:
+        run = []
+        for r in [x for x in data if x[0] == rule] + [(rule, "", None, 0, False, "")]:
+            if r[4]:
+                run.append(r)
+            elif run:
+                peak = (max if rule == "up" else min)(x[3] for x in run)
+                want.append((rule, "warning", run[0][2], run[-1][2], len(run), len(run) - 1, peak, any(x[5] == "Firing" for x in run)))
+                run = []
+    for chunk in (3, 100):
+        assert sorted(map(tuple, alerts.episodes(series, rules, 1, chunk_rows=chunk).collect())) == sorted(want)
+
+
+def test_series_of_a_last_value_is_carried(spark):
+    df = spark.createDataFrame([(minute(0), 5.0), (minute(3), None), (minute(7), 1.0)], "t timestamp_ntz, v double")
+    rule = alerts.Rule("c", "x", "t", "last", 5, ">", 2, 0, "w", value="v")
+    out = {r["instant"]: (r["value"], r["breach"]) for r in alerts.evaluate_series(df, rule, 1, "4 minutes").collect()}
+    assert out == {minute(i): (5.0, True) if i < 7 else (1.0, False) for i in range(8)}
+
+
+def test_pages_equal_slices_and_open_few_ranges(spark):
+    data = [(i * 7919 % 1000 // 3, i) for i in range(1000)]
+    book = ops.PagedTable(spark.createDataFrame(data, "v int, i int").repartition(6), ["v", "i"], ranges=6)
+    whole = sorted(data)
+    for start, n in ((0, 10), (480, 50), (995, 20), (0, 1000), (2000, 5)):
+        assert rows(book.page(start, n)) == whole[start:start + n]
+    assert book.rows == 1000 and len(book.starts) > 1
+    plan = book.page(500, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_range" in plan
+    assert rows(ops.PagedTable(spark.createDataFrame([], "v int, i int"), ["v"]).page(0, 5)) == []
+
+
+def test_profiles_of_days_add_up(spark):
+    data = [(minute(1440 * (i % 4) + 1), i % 700, None if i % 10 == 0 else float(i), f"k{i % 3}") for i in range(5000)]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, user int, v double, k string")
+    stored = quality.daily_profile(df, "t", "ts")
+    assert stored.count() == 12
+    got = {r["column_name"]: r for r in quality.merge_profiles(stored).collect()}
+    assert got["v"]["null_count"] == 500 and got["v"]["max_value"] == 4999.0 and got["v"]["total_rows"] == 5000
+    assert got["v"]["mean_value"] == pytest.approx(sum(x[2] for x in data if x[2] is not None) / 4500)
+    for name, exact in (("user", 700), ("v", 4500), ("k", 3)):
+        assert abs(got[name]["distinct_estimate"] - exact) <= max(1, 0.05 * exact)
+    assert got["k"]["min_value"] is None and got["k"]["mean_value"] is None
+
+
+def test_merged_quantile_sketches_keep_their_rank_error(spark):
+    rng = random.Random(10)
+    data = [(d, h, rng.lognormvariate(0, 2)) for d in range(5) for h in range(2) for _ in range(1500)] + [(0, 0, None)]
+    stored = stats.quantile_sketches(spark.createDataFrame(data, "day int, hour int, v double"), ["day", "hour"], "v")
+    for r in stats.merged_quantiles(stored, ["hour"], {"a": 0.05, "b": 0.5, "c": 0.99}).collect():
+        mine = [v for _, h, v in data if h == r["hour"] and v is not None]
+        for name, p in (("a", 0.05), ("b", 0.5), ("c", 0.99)):
+            assert abs(sum(v <= r[name] for v in mine) / len(mine) - p) < 0.02

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
 from ..functions.scalar import slot_start
-from ..plans.chunks import CHUNK_ROWS, bounded_frames, chunk_width
+from ..plans.chunks import CHUNK_ROWS, bounded_frames, chunk_width, running
 from .quality import latest_per_key
 from .timejoin import time_series
 
@@ -112,13 +112,11 @@ def evaluate_series(df: DataFrame, rule: Rule, step_minutes: int, block: str) ->
     """The rule at every step from the first to the last row of its table.
 
     Rows are first reduced to one partial per step; only partials are copied to
-    the ``lookback / step`` instants that see them. ``lookback`` must be a
-    multiple of the step.
+    the ``lookback / step`` instants that see them, and a last value is carried on until the next.
+    ``lookback`` must be a multiple of the step.
     """
-    if rule.lookback % step_minutes:
+    if rule.measure != "last" and rule.lookback % step_minutes:
         raise ValueError("look-back must be a multiple of the step")
-    if rule.measure == "last":
-        raise ValueError("a series needs a windowed measure")
     step = f"{step_minutes} minutes"
     # instant e sees rows in (e - lookback, e]: a row belongs to the first instant at or after it
     tick = F.expr("INTERVAL 1 MICROSECOND")
@@ -127,6 +125,11 @@ def evaluate_series(df: DataFrame, rule: Rule, step_minutes: int, block: str) ->
     grid = time_series(df.select(cell.alias("_cell")), "_cell", step, block, "instant")
     value = (F.expr(rule.value) if rule.value else F.lit(1)).cast("double")
     kept = df.where(rule.where) if rule.where else df
+    if rule.measure == "last":
+        values = kept.select(cell.alias("instant"), value.alias("_v"), F.col(rule.time).alias("_at")).where("_v IS NOT NULL")
+        newest = values.groupBy("instant").agg(F.max_by("_v", F.struct("_at", "_v")).alias("_v"))
+        out = running(grid.join(newest, "instant", "left"), [], ["instant"], {"value": ("last", "_v")}, width=block)
+        return _judged(out, rule)
     cells = (kept.select(cell.alias("_cell"), value.alias("_v")).groupBy("_cell")
              .agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"), F.max("_v").alias("_m")))
     span = F.expr(f"INTERVAL {rule.lookback - step_minutes} MINUTES")
@@ -135,8 +138,11 @@ def evaluate_series(df: DataFrame, rule: Rule, step_minutes: int, block: str) ->
         .groupBy("instant").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.max("_m").alias("_m")))
     measured = {"count": F.coalesce("_n", F.lit(0)).cast("double"), "avg": F.try_divide("_s", "_n"),
                 "max": F.col("_m")}[rule.measure]
-    out = grid.join(seen, "instant", "left").withColumn("value", measured)
-    return out.select(F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.severity).alias("severity"), "instant", "value",
+    return _judged(grid.join(seen, "instant", "left").withColumn("value", measured), rule)
+
+
+def _judged(series: DataFrame, rule: Rule) -> DataFrame:
+    return series.select(F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.severity).alias("severity"), "instant", "value",
                       F.coalesce(_compare(F.col("value"), rule.op, rule.limit),
                                  F.lit(rule.no_data == "Alerting")).alias("breach"))
 
@@ -162,9 +168,31 @@ def sustain(series: DataFrame, rules: Sequence[Rule], step_minutes: int, chunk_r
 
 def sustained_alerts(tables: dict[str, DataFrame], rules: Sequence[Rule], step_minutes: int, block: str,
                      chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    windowed = [r for r in rules if r.measure != "last"]
-    series = [evaluate_series(tables[r.table], r, step_minutes, block) for r in windowed]
-    return sustain(reduce(lambda a, b: a.unionByName(b), series), windowed, step_minutes, chunk_rows)
+    series = [evaluate_series(tables[r.table], r, step_minutes, block) for r in rules]
+    return sustain(reduce(lambda a, b: a.unionByName(b), series), rules, step_minutes, chunk_rows)
+
+
+def episodes(sustained: DataFrame, rules: Sequence[Rule], step_minutes: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """A row per stretch of consecutive breaches: first and last instant, evaluations, minutes, the value
+    furthest beyond the limit, and whether it fired.
+
+    A breach after a calm evaluation starts a stretch; its start is carried along, from chunk to chunk over their
+    seams, and names the stretch. A stretch of any length is summed before it is shuffled.
+    """
+    width = chunk_width(f"{step_minutes} minutes", chunk_rows)
+
+    def compute(rows, window):
+        calm = ~F.coalesce(F.lag("breach").over(window), F.lit(False))
+        return rows.withColumn("_start", F.when(F.col("breach") & calm, F.col("instant")))
+
+    marked = bounded_frames(sustained, ["rule_id"], ["instant"], width, 1, 0, compute)
+    named = running(marked, ["rule_id"], ["instant"], {"started_at": ("last", "_start")}, width=width).where("breach")
+    falling = [r.rule_id for r in rules if r.op in ("<", "<=", "==")]
+    peak = F.when(F.col("rule_id").isin(*falling), F.min("value")).otherwise(F.max("value")) if falling else F.max("value")
+    return (named.groupBy("rule_id", "severity", "started_at")
+            .agg(F.max("instant").alias("ended_at"), F.count(F.lit(1)).alias("evaluations"),
+                 (F.count(F.lit(1)) * step_minutes - step_minutes).alias("minutes"), peak.alias("peak"),
+                 F.max(F.col("state") == "Firing").alias("fired")))
 
 
 def _last_status(metrics: DataFrame) -> DataFrame:

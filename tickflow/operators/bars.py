@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
 from ..functions.scalar import ratio
+from ..session import cut_lineage
 
 #: Slices of time a bar is cut into.
 SLICES = 256
@@ -71,6 +72,32 @@ def tick_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = (
     return merge_parts(parts, bar, "_slice")
 
 
+def ranged_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """:func:`tick_bars` by a segmented scan: for ticks that crowd into an instant, where slices of time would not part them.
+
+    The ticks are laid in ranges of their order, so that every task holds about as many, however they are spread over
+    bars or time. What a range has of a bar is reduced to its prices at both ends and its return moments,
+    and the seams between ranges are joined from these rows, at most one per range and bar.
+    """
+    keys = list(keys)
+    bar = [*keys, "window_start", "window_end"]
+    # the last key lets ticks of one time and id fall into several ranges
+    order = ["event_time", "trade_id", "price", "_row"]
+    rows = _with_bar(ticks, width).withColumn("_row", F.monotonically_increasing_id())
+    # ranges come from a sample; written, they are the same for both uses
+    ranged = cut_lineage(rows.repartitionByRange(*bar, *order).withColumn("_part", F.spark_partition_id()))
+    part = [*bar, "_part"]
+    prior = F.lag("price").over(Window.partitionBy(*part).orderBy(*order))
+    place = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
+    parts = (ranged.withColumns({"_prior": prior, "_place": place})
+             .withColumn("_ret", ratio(F.col("price") - F.col("_prior"), "_prior"))
+             .groupBy(*part)
+             .agg(F.min_by("price", "_place").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+                  F.max_by("price", "_place").alias("close"), F.sum("quantity").alias("volume"), F.count("price").alias("trade_count"),
+                  F.count("_ret").alias("_n"), F.avg("_ret").alias("_mean"), (F.var_pop("_ret") * F.count("_ret")).alias("_m2")))
+    return merge_parts(parts, bar, "_part")
+
+
 def merge_parts(parts: DataFrame, bar: Sequence[str], position: str) -> DataFrame:
     """Join consecutive parts of a bar: the return across each seam counts as one more."""
     along = Window.partitionBy(*bar).orderBy(position)

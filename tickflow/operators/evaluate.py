@@ -36,12 +36,15 @@ def backfill(predictions: DataFrame, bars: DataFrame, existing: DataFrame, as_of
     Predictions younger than ``lookback`` and at least ``horizon`` old get their
     realized volatility. A row already there keeps its prediction, gets the new
     actual, and the error of that actual against the *stored* prediction; a new
-    row has no error yet.
+    row has no error yet. Of the bars only the look-back's are read, and those a little before it: a prediction
+    stands on a bar, so the first return after it needs none that is older.
     """
     keys = [*keys, "window_start"]
     due = predictions.where((F.col("window_start") > as_of - F.expr(f"INTERVAL {lookback}"))
                             & (F.col("window_start") < as_of - F.expr(f"INTERVAL {horizon}")))
-    actual = (realized_vol(due, bars, horizon, width, keys[:-1], chunk_rows).where("actual_vol IS NOT NULL"))
+    back = as_of - F.expr(f"INTERVAL {lookback}") - F.expr(f"INTERVAL {horizon}") - F.expr(f"INTERVAL {width}")
+    near = bars.where((F.col("window_start") > back) & (F.col("window_start") <= as_of))
+    actual = (realized_vol(due, near, horizon, width, keys[:-1], chunk_rows).where("actual_vol IS NOT NULL"))
     fresh = (due.join(actual, keys).select(
         *keys, F.col("predicted_vol").alias("new_predicted"), F.col("actual_vol").alias("new_actual"),
         F.col("model_version").alias("new_version")))

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from random import Random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from ..functions.scalar import one_row
 from ..plans.rowindex import row_index
@@ -26,6 +29,8 @@ FOLDS = 5
 TRAIN_SHARE = 0.9
 #: Improvement on the validation rows below which boosting stops.
 STOP_BELOW = 1e-4
+#: Fixed value: rounds without a better validation loss after which boosting stops.
+PATIENCE = 20
 
 # K-means sweep.
 CLUSTER_RANGE = range(2, 10)
@@ -33,6 +38,8 @@ CLUSTER_SEEDS = (0, 42, 123, 999)
 PREFERRED_K = 3
 #: Starts per K and seed, of which the best counts.
 STARTS = 10
+#: Rounds at most, the move below which centres are settled, and the rows that first centres are drawn from.
+ROUNDS, SETTLED, INIT_ROWS = 20, 1e-4, 10_000
 
 # Names of regimes by rank of mean volatility.
 REGIME_NAMES = {
@@ -95,6 +102,42 @@ def train_gbt(train: DataFrame, valid: DataFrame, features: Sequence[str] = FEAT
     return Pipeline(stages=[_assembler(features), gbt]).fit(rows)
 
 
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(round of least loss, counted from 1, before ``patience`` rounds pass without a better one; whether they have passed)."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def train_patient(train: DataFrame, valid: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
+                  patience: int = PATIENCE, first: int = 2 * PATIENCE, **overrides):
+    """Boosted trees that stop once ``patience`` rounds brought no better loss on ``valid``, cut back to the best round.
+
+    Returns the fitted pipeline and the losses. Rounds are trained ``first`` at a time, then twice as many, until the losses
+    say stop; a round depends on those before alone, so the model of the best round is trained as one of that many rounds.
+    """
+    params = {**TREES, **overrides}
+    most = params.pop("maxIter")
+
+    def fitted(rounds: int):
+        gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol="predicted_vol", featureSubsetStrategy=FEATURE_SHARE,
+                           maxIter=rounds, **params)
+        return Pipeline(stages=[_assembler(features), gbt]).fit(train)
+
+    rounds = min(first, most)
+    while True:
+        model = fitted(rounds)
+        losses = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(valid), "squared"))
+        chosen, stopped = best_round(losses, patience)
+        if stopped or rounds >= most:
+            return (model if chosen == rounds else fitted(chosen)), losses
+        rounds = min(2 * rounds, most)
+
+
 def split_tail(indexed: DataFrame, share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
     """(first ``share`` of the rows in order, the rest)."""
     cut = int(indexed.count() * share)
@@ -146,26 +189,111 @@ def importances(model, features: Sequence[str] = FEATURES) -> list[tuple[str, fl
     return list(zip(features, [float(v) for v in model.stages[-1].featureImportances.toArray()]))
 
 
-def best_kmeans(vectors: DataFrame, k: int, seed: int, starts: int = STARTS, **columns: str):
-    """The model of least inertia among ``starts`` runs, the first with ``seed`` and the others with seeds drawn from it."""
-    draw = Random(seed)
-    models = [KMeans(k=k, seed=s, **columns).fit(vectors) for s in [seed, *[draw.getrandbits(31) for _ in range(starts - 1)]]]
-    return min(models, key=lambda m: m.summary.trainingCost)
+@dataclass
+class Centres:
+    """One run of K-means: its centres, inertia and the sizes of its clusters."""
+    k: int
+    seed: int
+    points: np.ndarray
+    inertia: float = float("inf")
+    sizes: np.ndarray | None = None
+    moving: bool = True
+
+
+def _first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """K-means++: each next centre drawn with a chance that grows with the squared distance to those before."""
+    rng = np.random.default_rng(seed)
+    points = [sample[rng.integers(len(sample))]]
+    while len(points) < k:
+        gap = ((sample[:, None, :] - np.array(points)[None]) ** 2).sum(axis=2).min(axis=1)
+        total = gap.sum()
+        points.append(sample[rng.choice(len(sample), p=gap / total) if total > 0 else rng.integers(len(sample))])
+    return np.array(points)
+
+
+def _assigned(rows: DataFrame, columns: Sequence[str], runs: list[Centres]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(sums, counts, inertia) of every run's clusters from one scan of ``rows``: a task sends one row per
+    cluster of every run, and these are added up."""
+    points = np.concatenate([r.points for r in runs])
+    ends = np.cumsum([r.k for r in runs])
+    width = len(columns)
+
+    def partial(batches):
+        total = np.zeros((len(points), width + 2))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+            for at in range(0, len(x), 4096):
+                part = x[at:at + 4096]
+                gaps = ((part * part).sum(axis=1)[:, None] + (points * points).sum(axis=1)[None] - 2 * part @ points.T).clip(min=0)
+                for first, end in zip(np.r_[0, ends[:-1]], ends):
+                    nearest = gaps[:, first:end].argmin(axis=1)
+                    for c in range(end - first):
+                        mine = nearest == c
+                        total[first + c] += [*part[mine].sum(axis=0), mine.sum(), gaps[mine, first + c].sum()]
+        used = np.flatnonzero(total[:, width])
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(total[used, i].copy()) for i in range(width + 2)]],
+                                         names=["c", *[f"s{i}" for i in range(width + 2)]])
+
+    names = [f"s{i}" for i in range(width + 2)]
+    sums = rows.select(*columns).mapInArrow(partial, "c int, " + ", ".join(f"{n} double" for n in names)).groupBy("c").agg(
+        *[F.sum(n).alias(n) for n in names])
+    whole = np.zeros((len(points), width + 2))
+    for r in sums.collect():        # a row per centre
+        whole[r["c"]] = [r[n] for n in names]
+    return [(whole[a:b, :width], whole[a:b, width], float(whole[a:b, width + 1].sum())) for a, b in zip(np.r_[0, ends[:-1]], ends)]
+
+
+def shared_kmeans(rows: DataFrame, columns: Sequence[str], ks: Sequence[int], seeds: Sequence[int] = (42,), starts: int = STARTS,
+                  rounds: int = ROUNDS, settled: float = SETTLED) -> dict[tuple[int, int], Centres]:
+    """K-means for every K and seed, the best of ``starts`` runs each, all in the same scans.
+
+    A round is one scan, in which every row meets the centres of all runs that still move; ``rounds`` bounds the scans,
+    not the number of runs. First centres come from a sample of at most ``INIT_ROWS`` rows, chosen by hash; rounds see all rows.
+    """
+    kept = rows.select(*columns)
+    chosen = kept.distinct().orderBy(F.xxhash64(*columns), *columns).limit(INIT_ROWS).toPandas().to_numpy(dtype=float)
+    runs = []
+    for k in ks:
+        for seed in seeds:
+            draw = Random(seed)
+            runs += [Centres(k, seed, _first_centres(chosen, k, s)) for s in [seed, *[draw.getrandbits(31) for _ in range(starts - 1)]]]
+    for turn in range(rounds + 1):
+        moving = [r for r in runs if r.moving]
+        if not moving:
+            break
+        for run, (sums, counts, inertia) in zip(moving, _assigned(kept, columns, moving)):
+            run.inertia, run.sizes = inertia, counts
+            after = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], run.points)
+            if turn == rounds or ((after - run.points) ** 2).sum(axis=1).max() <= settled ** 2:
+                run.moving = False
+            else:
+                run.points = after
+    best: dict[tuple[int, int], Centres] = {}
+    for run in runs:
+        if (run.k, run.seed) not in best or run.inertia < best[run.k, run.seed].inertia:
+            best[run.k, run.seed] = run
+    return best
+
+
+def nearest_centre(columns: Sequence[str], points: np.ndarray) -> Column:
+    """Number of the nearest of a few centres; the first of equal ones."""
+    gaps = [F.struct(reduce(lambda a, b: a + b, [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(columns, p)]).alias("gap"),
+                     F.lit(i).alias("i")) for i, p in enumerate(points)]
+    return (F.least(*gaps) if len(gaps) > 1 else gaps[0])["i"]
 
 
 def kmeans_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE,
                  seeds: Sequence[int] = (42,), starts: int = STARTS) -> DataFrame:
     """Inertia, silhouette and cluster sizes per K (below the row count) and seed on standardized features,
     of the best of ``starts`` runs each."""
-    rows = _assembler(features).transform(standardize(df.select(*features).dropna(), features)).select("features")
+    rows = standardize(df.select(*features).dropna(), features)
     rows.persist()
     judge = ClusteringEvaluator(predictionCol="cluster")
-    out, n = [], rows.count()
-    for k in [k for k in ks if k < n]:
-        for seed in seeds:
-            model = best_kmeans(rows, k, seed, starts, predictionCol="cluster")
-            out.append((k, seed, float(model.summary.trainingCost), float(judge.evaluate(model.transform(rows))),
-                        [int(s) for s in model.summary.clusterSizes]))
+    n = rows.count()
+    found = shared_kmeans(rows, features, [k for k in ks if k < n], seeds, starts)
+    vectors = _assembler(features).transform(rows)
+    out = [(k, seed, run.inertia, float(judge.evaluate(vectors.withColumn("cluster", nearest_centre(features, run.points)))),
+            [int(s) for s in run.sizes]) for (k, seed), run in found.items()]
     rows.unpersist()
     return df.sparkSession.createDataFrame(
         out, "k int, seed int, inertia double, silhouette double, cluster_sizes array<bigint>")
@@ -183,10 +311,9 @@ def assign_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int =
     rows = df.dropna(subset=list(features))
     helper = [f"_z_{c}" for c in features]
     scaled = standardize(rows.select("*", *[F.col(c).alias(z) for c, z in zip(features, helper)]), helper)
-    vectors = VectorAssembler(inputCols=helper, outputCol="_v").transform(scaled).drop(*helper)
-    vectors.persist()
-    model = best_kmeans(vectors, k, seed, starts, featuresCol="_v", predictionCol="cluster_id")
-    return model.transform(vectors).drop("_v")
+    scaled.persist()
+    run = shared_kmeans(scaled, helper, [k], [seed], starts)[k, seed]
+    return scaled.withColumn("cluster_id", nearest_centre(helper, run.points)).drop(*helper)
 
 
 def pca2(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

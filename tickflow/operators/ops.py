@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.column import Column
 
 from ..functions.scalar import hour_start, ratio
+from ..session import shared_dir
 
 ERROR_LEVELS = ("ERROR", "CRITICAL")
 
@@ -30,6 +33,39 @@ def page(df: DataFrame, order: Sequence[str], start: int, n: int) -> DataFrame:
     return df.orderBy(*order).offset(start).limit(n)
 
 
+class PagedTable:
+    """A table laid out once in its order, whose pages open only the partitions they lie in.
+
+    Rows are written in ranges of ``order``, a folder per range, in the shared folder; their counts give every range its
+    first position. A page then reads one range, or a few where it lies across their ends, and sorts no other. How many
+    there are is up to AQE, unless ``ranges`` says.
+    """
+
+    def __init__(self, df: DataFrame, order: Sequence[str], ranges: int | None = None):
+        spark = df.sparkSession
+        self.spark, self.order, self.schema = spark, list(order), df.schema
+        self.path = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+        placed = (df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)).withColumn("_range", F.spark_partition_id())
+        placed.write.partitionBy("_range").parquet(self.path)
+        # one row per range, so its size is bounded by the job's parallelism
+        counts = sorted(tuple(r) for r in self._stored().groupBy("_range").count().collect())
+        self.starts, self.rows = [], 0
+        for name, n in counts:
+            self.starts.append((name, self.rows, n))
+            self.rows += n
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_range", T.IntegerType())])).parquet(self.path)
+
+    def page(self, start: int, n: int) -> DataFrame:
+        """Rows ``start .. start + n`` in the order."""
+        hit = [(name, first) for name, first, size in self.starts if first < start + n and first + size > start]
+        if not hit:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self._stored().where(F.col("_range").isin([name for name, _ in hit])).drop("_range")
+        return page(rows, self.order, start - hit[0][1], n)
+
+
 def filter_logs(logs: DataFrame, service: str | None = None, level: str | None = None,
                 limit: int = 200, tie_break: str | None = None) -> DataFrame:
     """Newest log rows; each filter applies only when given."""

@@ -72,3 +72,14 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact medians in long form."""
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])
     return exact_quantiles(df.select(F.explode(cells).alias("c")).select("c.*"), ["feature"], "v", {"median": 0.5})
+
+
+def quantile_sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = 200) -> DataFrame:
+    """A quantile sketch of ``value`` per ``keys``, to be stored and merged; ranks are off by about 1.33 % at ``k`` = 200, less with more."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
+    """Estimated quantiles per ``keys`` from sketches of finer groups; the exact form is ``plans.rowindex.exact_quantiles``."""
+    whole = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("_sketch"))
+    return whole.select(*keys, *[F.kll_sketch_get_quantile_double("_sketch", F.lit(float(p))).alias(n) for n, p in probabilities.items()])
