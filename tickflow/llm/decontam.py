@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memories import only
 from .shipping import ship
 from .slicing import by_bytes
 
@@ -215,6 +216,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def scan(batches):
+        only("decontam")
         for batch in by_bytes(batches, 1, SLICE_BYTES):
             found = _match(batch.column(1).to_pylist(), automata)
             digests = [hashlib.sha256(",".join(sorted("" if i is None else str(i) for i in items)).encode()).hexdigest()
@@ -253,6 +255,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     schema = docs.schema
 
     def clean(batches):
+        only("decontam")
         for batch in by_bytes(batches, at, SLICE_BYTES):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             keep, changed = np.ones(len(texts), dtype=bool), {}

@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .memories import only, remembers
 from .scratch import Scratch
 from .shipping import ship
+from .slicing import by_bytes
 
 SHINGLE, PERCENT = 5, 75
 CHUNKS, CHUNK = 12, 4
@@ -38,6 +40,7 @@ BATCH_WORDS, REMEMBERED = 400_000, 500_000
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _known_words: dict[bytes, int] = {}
+remembers("neardup", _known_words.clear)
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -147,7 +150,8 @@ def _parts(texts: list, size: int = 4 << 20):
 
 
 def _sign(batches):
-    for batch in batches:
+    only("neardup")
+    for batch in by_bytes(batches, 2, 4 << 20):
         texts = batch.column(2).to_pylist()
         for a, b in _parts(texts):
             sets = shingle_sets(texts[a:b])
@@ -167,7 +171,8 @@ def _sign(batches):
 
 def _pack(batches):
     pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    only("neardup")
+    for batch in by_bytes(batches, 2, 4 << 20):
         bodies = pa.array([pack(t or b"") for t in batch.column(2).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bodies], names=["doc_id", "text_key", "body"])
 
@@ -346,6 +351,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     stars = members.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     links = confirmed(plausible(stars), "links")
     first = scratch.keep(components(links, scratch), "components")
+    scratch.drop(links)
     # what is left: buckets with members of different components
     known = facts.join(first, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     placed = members.select("key", "node").join(known, "node")
@@ -356,9 +362,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
              .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "c", "side", "n_shingles", *marks))
     met = open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    named_ = met.mapInArrow(_nominate, "name bigint, node bigint, c bigint, side boolean, across boolean").distinct()
+    named_ = scratch.keep(met.mapInArrow(_nominate, "name bigint, node bigint, c bigint, side boolean, across boolean").distinct(), "named")
+    scratch.drop(members)
+    scratch.drop(wanted)
     nominated = named_.join(bodies, "node").select("name", "node", "c", "side", "across", "body").repartition("name").sortWithinPartitions("name")
     more = scratch.keep(nominated.mapInArrow(_compare, "u bigint, v bigint"), "more")
+    scratch.drop(named_)
+    scratch.drop(bodies)
     merged = components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more), scratch)
     # a component is named by the least id of its documents
     nodes = some.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(merged, "node", "left").select(
