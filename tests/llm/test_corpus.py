@@ -71,6 +71,28 @@ def test_em_finds_good_labellers():
     assert np.abs(found.mean(axis=1) - right).max() < 0.05 and abs(good - 0.8) < 0.05
 
 
+def test_stems_of_every_run_of_letters_and_of_short_words():
+    texts = ["you/idiot you IDIOT! abc12def x total-idiot", "", None, " \n", "é" * 100 + " Ab", "a b a b"]
+    tokens = weak_labels.Tokens(texts)
+    assert tokens.n.tolist() == [6, 0, 0, 0, 2, 4] and tokens.distinct().tolist() == [6, 0, 0, 0, 2, 2]
+    for which, runs in ((0, [["you", "idio", "you", "idio", "abc", "def", "tota", "idio"], ["éééé", "ab"]]), (1, [[], ["éééééé"]])):
+        doc, bucket = tokens.all_stems(which)
+        for d, found in zip((0, 4), runs):
+            chars = weak_labels.STEM_CHARS[which]
+            assert sorted(bucket[(doc == d) & (bucket > 0)]) == sorted(weak_labels._bucket(f"{chars}:{r}", weak_labels.STEM_BITS) for r in found)
+    # the whole outline makes the shape: equal beginnings of words longer than 64 characters don't hide their ends
+    shapes = weak_labels.Tokens(["a" * 70, "a" * 70 + "%"]).fact("shape")
+    assert shapes[0] != shapes[1]
+
+
+def test_word_facts_don_t_depend_on_what_was_seen_before():
+    texts = ["Some words, and/or more WORDS; some-thing else!!", "other words | and/or %% %%"]
+    weak_labels._facts.clear()
+    fresh = [weak_labels.Tokens([t]).per_doc(f)[0] for t in texts for f in weak_labels.WordFacts.FIELDS[:-1]]
+    weak_labels.Tokens([f"w{i}/x{i}" for i in range(9000)])
+    assert [weak_labels.Tokens([t]).per_doc(f)[0] for t in texts for f in weak_labels.WordFacts.FIELDS[:-1]] == fresh
+
+
 def test_classifier_on_held_out_labels(spark):
     """Fitted on even labels, judged on odd ones."""
     sf = SF.replace("sf0.001", "sf0.01")
@@ -171,8 +193,10 @@ def brute_components(texts, percent=75):
     return [(i, len(s), find(i), find(i) == i) for i, s in enumerate(sets)]
 
 
-def test_groups_equal_brute_force(spark):
-    """A family of near copies of one text (most not alike to each other), chains, copies, short texts."""
+@pytest.mark.parametrize("block", [1024, 8])
+def test_groups_equal_brute_force(spark, monkeypatch, block):
+    """Also where buckets are compared in many blocks. A family of near copies of one text (most not alike to each other), chains, copies, short texts."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = random.Random(2)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(120)]
     texts = []

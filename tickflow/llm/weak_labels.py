@@ -13,18 +13,21 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memories import only, remembers
 from .scratch import Scratch
 from .shipping import ship
+from .slicing import by_bytes
 
 #: Rows of ``labels`` from which listed words are learned, and documents a scorer is trained on. The fit alone is
 #: bounded; votes, their counts and scores cover all documents.
 MAX_LABELLED, MAX_TRAINING = 40_000, 8_000
 #: A stem is listed when at least so many abusive documents have it and hardly another one.
-LEAST_ABUSIVE, LISTED_SHARE, MAX_LISTED = 4, 0.9, 20_000
+LEAST_ABUSIVE, LISTED_SHARE = 4, 0.9
 SHAPE_BITS, STEM_BITS = 16, 22
 STEM_CHARS = (4, 6)
 #: Words a worker remembers, and text it takes at once: both bound its memory.
@@ -60,54 +63,99 @@ def _outline_facts(outline: str) -> tuple[int, ...]:
     letters = outline.count("A") + outline.count("a")
     symbols = sum(map(outline.count, SYMBOLS))
     return (symbols, outline.count("A"), letters, outline.endswith("!!"), not letters and symbols > 0,
-            _PLAIN.fullmatch(outline) is not None, _bucket(_RUN.sub(r"\1", outline[:64]), SHAPE_BITS))
+            _PLAIN.fullmatch(outline) is not None, _bucket(_RUN.sub(r"\1", outline), SHAPE_BITS))
 
 
 class WordFacts:
     """What is needed of each different word, as rows of an array; forgets all when it holds too many.
 
-    Most of it follows from the outline of a word and the rest from its first letters, and there are
-    far fewer of both than of words.
+    Most of it follows from the outline of a word and the rest from the beginnings of its runs of letters, and there are
+    far fewer of both than of words. The first run's stems stand in the row; those of further runs ('you/idiot') in ``more``,
+    from ``at`` on. New words are taken together, for texts of much junk are mostly new words.
     """
 
-    FIELDS = ("symbols", "capitals", "letters", "exclaims", "bar", "plain", "shape", "stem0", "stem1")
+    FIELDS = ("symbols", "capitals", "letters", "exclaims", "bar", "plain", "shape", "stem0", "stem1", "runs", "at")
 
     def __init__(self):
         self.clear()
 
     def clear(self):
         self.number: dict[str, int] = {}
-        self.outlines: dict[str, tuple[int, ...]] = {}
-        self.stems: dict[tuple[int, str], int] = {}
+        self.outlines: dict[str, int] = {}
+        self.outline_facts: list[tuple[int, ...]] = []
+        self.stems: tuple[dict[str, int], ...] = tuple({} for _ in STEM_CHARS)
         self.rows = np.zeros((4096, len(self.FIELDS)), dtype=np.int32)
+        self.more = np.zeros((1024, len(STEM_CHARS)), dtype=np.int32)
+        self.n_more = 0
+
+    def _outline_numbers(self, words: list[str]) -> list[int]:
+        outlines = "\n".join(words).translate(_kinds).split("\n")
+        numbers = list(map(self.outlines.get, outlines))
+        for i, n in enumerate(numbers):
+            if n is None:
+                n = self.outlines.get(outlines[i])
+                if n is None:
+                    n = self.outlines[outlines[i]] = len(self.outline_facts)
+                    self.outline_facts.append(_outline_facts(outlines[i]))
+                numbers[i] = n
+        return numbers
+
+    def _stem_buckets(self, runs: list[str]) -> np.ndarray:
+        """A row per run of small letters, a bucket per stem; 0 where a run is too short for it. A run of two or three
+        letters is a stem as a whole."""
+        out = np.zeros((len(runs), len(STEM_CHARS)), dtype=np.int32)
+        for column, (chars, known) in enumerate(zip(STEM_CHARS, self.stems)):
+            starts = [r[:chars] for r in runs]
+            buckets = list(map(known.get, starts))
+            for i, n in enumerate(buckets):
+                if n is None:
+                    stem = starts[i]
+                    n = known.get(stem)
+                    if n is None:
+                        whole = column == 0 and 2 <= len(stem) < chars
+                        n = known[stem] = _bucket(f"{chars}:{stem}", STEM_BITS) if len(stem) == chars or whole else 0
+                    buckets[i] = n
+            out[:, column] = buckets
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        first, need = len(self.number), len(self.number) + len(words)
+        self.number.update(zip(words, range(first, need)))
+        if need > len(self.rows):
+            grown = np.zeros((need + need // 2, len(self.FIELDS)), dtype=np.int32)
+            grown[:first] = self.rows[:first]
+            self.rows = grown
+        rows = self.rows[first:need]
+        rows[:, :7] = np.array(self.outline_facts_of(words), dtype=np.int32)
+        runs = [(w,) if w.isalpha() else _LETTERS.findall(w) or ("",) for w in words]
+        further = [r for found in runs for r in found[1:]]
+        small = "\n".join([*[found[0] for found in runs], *further]).lower().split("\n")
+        buckets = self._stem_buckets(small)
+        rows[:, 7:9] = buckets[:len(words)]
+        rows[:, 9] = [len(found) - 1 for found in runs]
+        rows[:, 10] = self.n_more + np.cumsum(rows[:, 9]) - rows[:, 9]
+        end = self.n_more + len(further)
+        if end > len(self.more):
+            grown = np.zeros((end + end // 2, len(STEM_CHARS)), dtype=np.int32)
+            grown[:self.n_more] = self.more[:self.n_more]
+            self.more = grown
+        self.more[self.n_more:end] = buckets[len(words):]
+        self.n_more = end
+
+    def outline_facts_of(self, words: list[str]) -> list[tuple[int, ...]]:
+        return list(map(self.outline_facts.__getitem__, self._outline_numbers(words)))
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        known, outlines, stems, made = self.number, self.outlines, self.stems, []
-        for w in set(words).difference(known):
-            known[w] = len(known)
-            outline = w.translate(_kinds)
-            facts = outlines.get(outline)
-            if facts is None:
-                facts = outlines[outline] = _outline_facts(outline)
-            letters = (w if w.isalpha() else "".join(_LETTERS.findall(w))).lower()
-            for k in STEM_CHARS:
-                stem = letters[:k]
-                found = stems.get((k, stem))
-                if found is None:
-                    found = stems[k, stem] = _bucket(f"{k}:{stem}", STEM_BITS) if len(stem) == k else 0
-                facts += (found,)
-            made.append(facts)
-        if made:
-            first, need = len(known) - len(made), len(known)
-            if need > len(self.rows):
-                grown = np.zeros((need + need // 2, len(self.FIELDS)), dtype=np.int32)
-                grown[:first] = self.rows[:first]
-                self.rows = grown
-            self.rows[first:need] = made
+        """Rows of words that are all different."""
+        known = self.number
+        new = [w for w in words if w not in known]
+        if new:
+            self._learn(new)
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
 
 _facts = WordFacts()
+remembers("weak_labels", _facts.clear)
 
 
 def batches_of(texts: list[str | None]):
@@ -123,40 +171,67 @@ def batches_of(texts: list[str | None]):
         yield first, len(texts)
 
 
+def _different(codes: np.ndarray) -> np.ndarray:
+    """The different values in order, by sorting."""
+    codes = np.sort(codes)
+    return codes[np.flatnonzero(np.diff(codes, prepend=codes[:1] - 1))]
+
+
 class Tokens:
     """The words of some texts as rows of :class:`WordFacts`; ``doc`` tells whose each word is."""
 
     def __init__(self, texts: list[str | None]):
         if len(_facts.number) > REMEMBERED:
             _facts.clear()
-        split = [t.split() if t else [] for t in texts]
         self.n_docs = len(texts)
-        self.n = np.array([len(w) for w in split], dtype=np.int64)
-        self.number = _facts.numbers([w for ws in split for w in ws])
-        self.doc = np.repeat(np.arange(self.n_docs), self.n)
-        self.facts = _facts.rows[self.number]
-        self.lines = [t.split("\n") if t else [] for t in texts]
+        split = pc.utf8_split_whitespace(pa.array([t or "" for t in texts], pa.string()))
+        words = split.flatten()
+        full = pc.not_equal(words, "")      # white space at an end leaves an empty word
+        words = words.filter(full).dictionary_encode()
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        self.doc = np.repeat(np.arange(self.n_docs), counts)[full.to_numpy(zero_copy_only=False)]
+        self.n = np.bincount(self.doc, minlength=self.n_docs)
+        # only the different words of the texts are looked up
+        self.number = _facts.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        self.texts = texts
+
+    def lines(self) -> list[list[str]]:
+        return [t.split("\n") if t else [] for t in self.texts]
+
+    def fact(self, field: str) -> np.ndarray:
+        """A fact of each word."""
+        return _facts.rows[:, WordFacts.FIELDS.index(field)][self.number]
 
     def per_doc(self, field: str) -> np.ndarray:
-        return np.bincount(self.doc, weights=self.facts[:, WordFacts.FIELDS.index(field)], minlength=self.n_docs)
+        return np.bincount(self.doc, weights=self.fact(field), minlength=self.n_docs)
 
     def stutter(self) -> np.ndarray:
         same = (self.number[1:] == self.number[:-1]) & (self.doc[1:] == self.doc[:-1])
         return np.bincount(self.doc[1:][same], minlength=self.n_docs)
 
     def distinct(self) -> np.ndarray:
-        codes = np.unique(self.doc * np.int64(len(_facts.number) + 1) + self.number)
+        codes = _different(self.doc * np.int64(len(_facts.number) + 1) + self.number)
         return np.bincount(codes // (len(_facts.number) + 1), minlength=self.n_docs)
 
+    def all_stems(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        """(document, bucket) of every run of letters."""
+        runs, at = self.fact("runs"), self.fact("at")
+        several = np.flatnonzero(runs)
+        # the places of the further runs of each such word, one after the other
+        counts = runs[several]
+        place = np.repeat(at[several] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return (np.concatenate((self.doc, np.repeat(self.doc[several], counts))),
+                np.concatenate((self.fact(f"stem{which}"), _facts.more[place, which])).astype(np.int64))
+
     def stems(self, which: int) -> tuple[np.ndarray, np.ndarray]:
         """(document, bucket) of the different stems of each document."""
-        bucket = self.facts[:, WordFacts.FIELDS.index(f"stem{which}")].astype(np.int64)
-        codes = np.unique((self.doc << STEM_BITS | bucket)[bucket > 0])
+        doc, bucket = self.all_stems(which)
+        codes = _different((doc << STEM_BITS | bucket)[bucket > 0])
         return codes >> STEM_BITS, codes & ((1 << STEM_BITS) - 1)
 
     def shapes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, bucket, share of the words) of word shapes; bucket 0 holds words that repeat the one before."""
-        codes, counts = np.unique(self.doc << SHAPE_BITS | self.facts[:, WordFacts.FIELDS.index("shape")], return_counts=True)
+        codes, counts = np.unique(self.doc << SHAPE_BITS | self.fact("shape"), return_counts=True)
         doc = np.concatenate((codes >> SHAPE_BITS, np.arange(self.n_docs)))
         counts = np.concatenate((counts, self.stutter()))
         bucket = np.concatenate((codes & ((1 << SHAPE_BITS) - 1), np.zeros(self.n_docs, dtype=np.int64)))
@@ -170,7 +245,7 @@ def quality_votes(tokens: Tokens) -> np.ndarray:
     """
     n, letters = np.maximum(1, tokens.n), np.maximum(1, tokens.per_doc("letters"))
     stutter, prose, distinct = tokens.stutter() / n, tokens.per_doc("plain") / n, tokens.distinct()
-    lines = [[s for s in lines if s.strip()] for lines in tokens.lines]
+    lines = [[s for s in lines if s.strip()] for lines in tokens.lines()]
     dup = np.array([1 - len(set(x)) / len(x) if len(x) > 3 else 0.0 for x in lines])
     bad = lambda sign: np.where(sign, -1, 0)
     votes = np.stack([
@@ -191,8 +266,8 @@ def abuse_votes(tokens: Tokens, listed: list[np.ndarray]) -> np.ndarray:
         doc, bucket = tokens.stems(which)
         found.append(np.bincount(doc[np.isin(bucket, stems)], minlength=tokens.n_docs))
     hits = [np.where(f >= 2, -1, np.where(f == 0, 1, 0)) for f in found]
-    words = np.isin(tokens.facts[:, WordFacts.FIELDS.index("stem0")], listed[0]) if len(listed[0]) else np.zeros(len(tokens.doc), bool)
-    rate = np.bincount(tokens.doc[words], minlength=tokens.n_docs) / np.maximum(1, tokens.n)
+    doc, bucket = tokens.all_stems(0)
+    rate = np.bincount(doc[np.isin(bucket, listed[0])], minlength=tokens.n_docs) / np.maximum(1, tokens.n)
     return np.stack([*hits, np.where(rate > 0.004, -1, np.where(rate == 0, 1, 0))], axis=1)
 
 
@@ -280,7 +355,8 @@ class Scorer:
 
 def _slices(batches, at: int):
     """(first, last, batch, tokens) over bounded parts of Arrow batches; ``at`` is the text column."""
-    for batch in batches:
+    only("weak_labels")
+    for batch in by_bytes(batches, at, BATCH_BYTES):
         texts = batch.column(at).to_pylist()
         for a, b in batches_of(texts):
             yield a, b, batch, Tokens(texts[a:b])
@@ -308,7 +384,7 @@ def _listed_stems(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, to
     counted = rows.mapInArrow(stems, "which bigint, bucket bigint, bad bigint, n bigint").groupBy("which", "bucket").agg(
         F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     kept = counted.where((F.col("bad") >= LEAST_ABUSIVE) & (F.col("bad") >= LISTED_SHARE * F.col("n")))
-    found = kept.orderBy(F.desc("bad"), "which", "bucket").limit(MAX_LISTED).collect()
+    found = kept.select("which", "bucket").collect()  # no more than the sample has
     return [np.array(sorted(r["bucket"] for r in found if r["which"] == k), dtype=np.int64) for k in range(len(STEM_CHARS))]
 
 
