@@ -313,6 +313,34 @@ def test_ownership_separates_examples_from_live_ones(spark):
     assert text[0] == "see <hex:example> there" and text[8] == "my <hex:live> here <opaque:live>"
 
 
+def test_names_are_no_secrets(spark):
+    """Paths, slugs, UUIDs, order codes and identifiers of code stay; generated strings are found."""
+    rng = random.Random(12)
+    names = ["/docs/2021/05/getting-started-with-Spark-3", "550E8400-e29b-41d4-A716-446655440000", "ORDER-2024-XK99-0042-ZZ81-7", "getUserByIdAndName2FromTheTable",
+             "a-long-slug-of-Many-words-and-1-number", "src/main/java/org/Example/Parser2Test", "A" * 30 + "b1", "MAX_LEN_OF_THE_Buffer_0123456789"]
+    made = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(rng.randint(24, 60))) for _ in range(400)]
+    docs = documents(spark, [f"see {t} there" for t in names + made])
+    found = {r.doc_id: r.spans for r in secret_scan.spans_of(docs).collect()}
+    assert not [names[i] for i in range(len(names)) if "opaque" in found[i]]
+    assert sum("opaque" in found[i] for i in range(len(names), len(found))) >= 0.97 * len(made)
+
+
+def test_many_spans_in_a_text(spark):
+    """A text of 100 000 spans, more than are handled in one run, and columns named like what the operator makes."""
+    n = 100_000
+    many = "".join(f"é token={k:06d}\n" for k in range(n))
+    rows = [(0, many, "mine", 1), (1, "é token=123456 password=token=abcdefgh", "mine", 2), (2, None, "mine", 3), (3, "", "mine", 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, secrets string, _spans int").selectExpr("*", "'en' lang", "'s' source", "0L n_chars")
+    out = secret_scan.redact_documents(docs)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].text == "é <assign:live>\n" * n and got[0].n_chars == len(got[0].text)
+    assert got[1].text == "é <assign:live> <assign:live>" and got[2].text is None and got[3].text == ""
+    assert all(r.secrets == "mine" and r._spans == k + 1 for k, r in got.items())
+    spans = {r.doc_id: r.spans for r in secret_scan.spans_of(docs).collect()}
+    assert spans[0] == ",".join(f"assign:{15 * k + 2}:{15 * k + 14}" for k in range(n))
+
+
 # -- 10 -----------------------------------------------------------------------------------------
 
 def test_counts_equal_the_library():

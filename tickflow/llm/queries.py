@@ -43,8 +43,13 @@ WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 k AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM ({_OP7_KINDS}) WHERE len(w) > 0),
 m AS (SELECT doc_id, source, kind, rank, v[i] AS val, length(w[i]) AS n, coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
              + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS a FROM k WHERE length(v[i]) >= least),
-c AS (SELECT *, a + n AS b FROM m WHERE rank < 3 OR (regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]')
-                                                     AND len(list_distinct(string_split(val, ''))) >= 8)),
+e AS (SELECT *, regexp_replace(val, '{secret_scan.JOINTS}', '', 'g') AS core FROM m),
+c AS (SELECT *, a + n AS b FROM e WHERE rank < 3 OR (
+          regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]')
+          AND NOT regexp_matches(val, '{secret_scan.UUID}')
+          AND len(list_distinct(string_split(val, ''))) >= {secret_scan.LEAST_DIFFERENT}
+          AND 5 * length(regexp_replace(core, '{secret_scan.NAME_PART}', '', 'g')) >= 2 * length(core)
+          AND 10 * (len(regexp_extract_all(core, '{secret_scan.CASE_RUN}')) - 1) >= 3 * length(core))),
 o AS (SELECT val, count(DISTINCT coalesce('=' || source, '')) AS owners FROM c GROUP BY val),
 s AS (SELECT c.*, owners FROM c JOIN o USING (val) WHERE rank < 3 OR (owners <= {secret_scan.MAX_OWNERS} AND NOT EXISTS (
           SELECT 1 FROM c AS x WHERE x.doc_id = c.doc_id AND x.rank < 3 AND x.a < c.b AND c.a < x.b)))

@@ -7,7 +7,9 @@ copied from somewhere, one that stays with its owners is a live-looking credenti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
@@ -27,12 +29,45 @@ BASE = KINDS[:3]
 #: A value with more owners than this is a copied example.
 MAX_OWNERS = 3
 
-SPANS = "array<struct<start:int,rank:int,end:int,kind:string,hash:string,looks_live:boolean>>"
+#: Spans handled one after the other; longer lists are cut into runs of this length, so that the cost does not grow with their square.
+RUN = 256
+
+SPANS = "array<struct<start:int,rank:int,end:int,kind:string,hash:string>>"
+
+#: An identifier of 8-4-4-4-12 hexadecimal digits, and what joins the parts of paths and slugs.
+UUID = r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
+JOINTS = r"[/+_-]"
+#: Parts of names in running case.
+NAME_PART = r"[A-Z]?[a-z]{3,}"
+CASE_RUN = r"[A-Z]+|[a-z]+|[0-9]+"
+LEAST_DIFFERENT = 12
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _looks_live(value: Column) -> Column:
-    """Letters, digits and at least eight different characters, as generated credentials have."""
-    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= 8)
+    """Whether a string looks generated: both cases and digits, at least twelve different characters, and, without joints,
+    at least two fifths outside of parts of names and three changes between cases and digits in ten characters. A random
+    string of 24 letters and digits has 14 changes and a fifth in such parts; paths, slugs, identifiers of code and UUIDs fail."""
+    core = F.regexp_replace(value, JOINTS, "")
+    outside = F.length(F.regexp_replace(core, NAME_PART, ""))
+    changes = F.size(F.regexp_extract_all(core, F.lit(CASE_RUN), F.lit(0))) - 1
+    return (value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]") & ~value.rlike(UUID)
+            & (F.size(F.array_distinct(F.split(value, ""))) >= LEAST_DIFFERENT)
+            & (5 * outside >= 2 * F.length(core)) & (10 * changes >= 3 * F.length(core)))
+
+
+def _runs(values: Column) -> Column:
+    """An array cut into runs of ``RUN`` elements; an empty one is one empty run."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(RUN)), lambda at: F.slice(values, at, F.lit(RUN)))
+
+
+def _running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """0 and what ``step`` makes of it with each of the values in turn."""
+    return F.aggregate(values, F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(step(F.element_at(s, -1), x))))
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
@@ -44,17 +79,28 @@ def _spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0
     sizes = F.zip_with(gaps, whole, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(w).alias("n")))
     parts = F.zip_with(sizes, value, lambda p, v: F.struct(p["gap"].alias("gap"), p["n"].alias("n"), v.alias("v")))
     none = F.array().cast("array<struct<start:int,end:int,v:string>>")
-    placed = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda s, p: F.struct(
-            (s["at"] + p["gap"] + p["n"]).alias("at"),
-            F.when(F.length(p["v"]) >= least, F.concat(s["out"], F.array(F.struct(
-                (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + p["n"]).alias("end"), p["v"].alias("v")))))
-            .otherwise(s["out"]).alias("out")),
-        lambda s: s["out"])
+
+    def place(run: Column, at: Column) -> Column:
+        return F.aggregate(
+            run, F.struct(at.alias("at"), none.alias("out")),
+            lambda s, p: F.struct(
+                (s["at"] + p["gap"] + p["n"]).alias("at"),
+                F.when(F.length(p["v"]) >= least, F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + p["n"]).alias("end"), p["v"].alias("v")))))
+                .otherwise(s["out"]).alias("out")),
+            lambda s: s["out"])
+
+    def place_all(runs: Column) -> Column:
+        lengths = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda n, p: n + p["gap"] + p["n"]))
+        starts = F.slice(_running(lengths, lambda at, n: at + n), F.lit(1), F.size(runs))
+        return F.flatten(F.zip_with(runs, starts, place))
+
+    placed = _let(parts, lambda p: _let(_runs(p), place_all))
+    if kind == "opaque":
+        placed = F.filter(placed, lambda m: _looks_live(m["v"]))
     spans = F.transform(placed, lambda m: F.struct(
         m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-        F.sha2(m["v"], 256).alias("hash"), _looks_live(m["v"]).alias("looks_live")))
+        F.sha2(m["v"], 256).alias("hash")))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPANS)).cast(SPANS)
 
 
@@ -62,7 +108,7 @@ def candidates(text: Column) -> Column:
     """All candidate spans of a text (null: none)."""
     text = F.coalesce(text, F.lit(""))
     return F.concat(_spans(text, "assign", ASSIGN, 2, ASSIGN_CHARS), _spans(text, "access", ACCESS),
-                    _spans(text, "hex", HEX), F.filter(_spans(text, "opaque", OPAQUE), lambda s: s["looks_live"]))
+                    _spans(text, "hex", HEX), _spans(text, "opaque", OPAQUE))
 
 
 def ownership(found: DataFrame, owner: str, repository: list[str]) -> DataFrame:
@@ -74,8 +120,8 @@ def ownership(found: DataFrame, owner: str, repository: list[str]) -> DataFrame:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
-                 max_owners: int = MAX_OWNERS, keep: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` (columns ``keep``, default all) with ``secrets``: an array of
+                 max_owners: int = MAX_OWNERS, keep: list[str] | None = None, into: str = "secrets") -> DataFrame:
+    """The rows of ``docs`` (columns ``keep``, default all) with ``into``: an array of
     (start, end, kind, verdict, n_owners, n_repositories), by start, then kind.
 
     Base spans are always listed, with the verdict ``example`` where more than ``max_owners``
@@ -84,10 +130,10 @@ def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", rep
 
     Null and empty texts have no spans; repeated rows stay repeated; an empty table gives an
     empty result. Spans follow from the text and the counts alone, so rows with equal texts get
-    equal spans. A column of ``docs`` named like an output column is replaced.
+    equal spans. A column of ``docs`` that is named ``into`` is replaced.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
-    keep = [c for c in (keep or docs.columns) if c != "secrets"]
+    keep = [c for c in (keep or docs.columns) if c != into]
     repo = list(dict.fromkeys(repository))
     slim = docs.select(F.col(owner).alias("_owner"),
                        F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(repo)]).alias("_repo"),
@@ -100,10 +146,14 @@ def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", rep
             "s.start", "s.rank", "s.end", "s.kind",
             F.when(F.col("n_owners") > max_owners, F.lit("example")).otherwise(F.lit("live")).alias("verdict"),
             "n_owners", "n_repositories").alias("s"))
-    per_row = judged.groupBy("_row").agg(F.array_sort(F.collect_list("s")).alias("_s"))
-    clear = lambda s, all_: ~F.exists(all_, lambda b: (b["rank"] < len(BASE)) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    listed = per_row.select("_row", F.filter(
-        "_s", lambda s: (s["rank"] < len(BASE)) | ((s["verdict"] == "live") & clear(s, F.col("_s")))).alias("secrets"))
+    # a base span overlaps one of another kind if it starts before it and reaches into it, or starts inside of it
+    base = F.col("s.rank") < len(BASE)
+    up = Window.partitionBy("_row").orderBy("s.start", "s.rank").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_row").orderBy(F.desc("s.start"), F.desc("s.rank")).rowsBetween(Window.unboundedPreceding, 0)
+    around = judged.withColumns({"_reach": F.max(F.when(base, F.col("s.end"))).over(up), "_next": F.min(F.when(base, F.col("s.start"))).over(down)})
+    clear = (F.coalesce("_reach", F.lit(0)) <= F.col("s.start")) & F.coalesce(F.col("_next") >= F.col("s.end"), F.lit(True))
+    listed = around.where(base | ((F.col("s.verdict") == "live") & clear)).groupBy("_row").agg(
+        F.array_sort(F.collect_list("s")).alias("secrets"))
     some = rows.where(F.size("_found") > 0).join(listed, "_row", "left")
     none = rows.where(F.size("_found") == 0).withColumn("secrets", F.lit(None).cast(listed.schema["secrets"].dataType))
     fields = "array<struct<start:int,end:int,kind:string,verdict:string,n_owners:bigint,n_repositories:bigint>>"
@@ -111,27 +161,43 @@ def find_secrets(docs: DataFrame, text: str = "text", owner: str = "source", rep
     plain = F.transform(F.coalesce("secrets", F.array().cast(listed.schema["secrets"].dataType)), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["verdict"].alias("verdict"),
         s["n_owners"].alias("n_owners"), s["n_repositories"].alias("n_repositories")))
-    return out.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], plain.cast(fields).alias("secrets"))
+    return out.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], plain.cast(fields).alias(into))
 
 
 def redact(text: Column, secrets: Column) -> Column:
     """``text`` with each span replaced by ``<kind:verdict>``; overlapping spans by that of the first."""
-    done = F.aggregate(
-        secrets, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, m: F.struct(
-            F.greatest(s["at"], m["end"]).alias("at"),
-            F.when(m["start"] >= s["at"], F.concat(
-                s["out"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), F.lit("<"), m["kind"], F.lit(":"), m["verdict"], F.lit(">")))
-            .otherwise(s["out"]).alias("out")))
-    return F.when(F.size(secrets) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
-
-
-def redact_documents(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with all spans redacted; columns as before, ``n_chars`` (if there is one) counted anew."""
-    out = find_secrets(docs, **how)
-    out = out.withColumn("text", redact(F.col("text"), F.col("secrets")))
+    def part(run: Column, begin: Column, end: Column) -> Column:
+        """The text from ``begin``, where the spans before have ended, to ``end``, where those of the run have."""
+        return _let(F.substring(text, begin + 1, end - begin), lambda piece: F.aggregate(
+            run, F.struct(begin.alias("at"), F.lit("").alias("out")),
+            lambda s, m: F.struct(
+                F.greatest(s["at"], m["end"]).alias("at"),
+                F.when(m["start"] >= s["at"], F.concat(
+                    s["out"], F.substring(piece, s["at"] - begin + 1, m["start"] - s["at"]), F.lit("<"), m["kind"], F.lit(":"), m["verdict"],
+                    F.lit(">"))).otherwise(s["out"]).alias("out")),
+            lambda s: s["out"]))
+
+    def joined(runs: Column, reach: Column) -> Column:
+        parts = F.transform(runs, lambda run, i: part(run, F.element_at(reach, i + 1), F.element_at(reach, i + 2)))
+        return F.concat(F.array_join(parts, ""), F.substring(text, F.element_at(reach, -1) + 1, F.length(text)))
+
+    ends = lambda runs: F.transform(runs, lambda run: F.array_max(F.transform(run, lambda m: m["end"])))
+    done = _let(_runs(secrets), lambda runs: _let(_running(ends(runs), F.greatest), lambda reach: joined(runs, reach)))
+    return F.when(F.size(secrets) > 0, done).otherwise(text)
+
+
+def redact_documents(docs: DataFrame, text: str = "text", **how) -> DataFrame:
+    """``docs`` with all spans redacted; columns as before, whatever their names, ``n_chars`` (if there is one) counted anew.
+
+    Null texts stay null, texts without spans as they are; repeated rows stay repeated; an empty table stays empty.
+    """
+    into = "_spans"
+    while into in docs.columns:
+        into = f"_{into}"
+    out = find_secrets(docs, text=text, into=into, **how)
+    out = out.withColumn(text, redact(F.col(text), F.col(into)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(into) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
