@@ -2,6 +2,7 @@
 
 import io
 import random
+import time
 import zipfile
 
 import pytest
@@ -138,10 +139,61 @@ def test_tree_match_is_largest():
         assert all(a.label[x] == b.label[y] for y, x in found.items()) and len(set(found.values())) == len(found)
 
 
+def test_common_subsequence_is_longest(monkeypatch):
+    rng = random.Random(6)
+
+    def length(x, y):
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i in range(len(x)):
+            for j in range(len(y)):
+                best[i + 1][j + 1] = best[i][j] + 1 if x[i] == y[j] else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    for bits in (1 << 20, 8):
+        monkeypatch.setattr(wrapper, "TABLE_BITS", bits)
+        for _ in range(200):
+            x, y = (rng.choices("abcd", k=rng.randint(0, 20)) for _ in range(2))
+            found = wrapper.common_subsequence(x, y)
+            assert all(x[i] == y[j] for i, j in found) and len(found) == length(x, y)
+            assert all(a < c and b < d for (a, b), (c, d) in zip(found, found[1:]))
+
+
+def test_long_lists_match_in_order(monkeypatch):
+    """Lists cut at common subsequences give an order-preserving match of equal labels, the largest where little differs."""
+    rng = random.Random(7)
+    item = lambda: rng.choice(["<div><p></p></div>", "<div></div>", "<div><ul><li></ul></div>", "<p></p>"])
+    for _ in range(30):
+        items = [item() for _ in range(rng.randint(0, 30))]
+        changed = [x for x in items if rng.random() > 0.1]
+        a, b = wrapper.Page("".join(items)), wrapper.Page("".join(changed))
+        exact = wrapper.tree_match(a, b)
+        monkeypatch.setattr(wrapper, "EXACT", 0)
+        cut = wrapper.tree_match(a, b)
+        monkeypatch.undo()
+        assert len(exact) == len(b.label) == len(cut)  # one is a part of the other
+        assert all(a.label[x] == b.label[y] for y, x in cut.items()) and len(set(cut.values())) == len(cut)
+        tops = [cut[y] for y in b.children[0] if y in cut]
+        assert tops == sorted(tops)
+
+
+def test_wide_pages_take_time_by_their_size():
+    rng = random.Random(8)
+    same = "<div><p>x</div>" * 20_000
+    mixed = ["".join(rng.choice(["<div><p>x</div>", "<div><ul><li>y</ul></div>", "<div class=c>z</div>", "<section><p>t</section>"]) for _ in range(20_000))
+             for _ in range(2)]
+    for a, b in ((same, same + "<p>end"), mixed):
+        a, b = wrapper.Page(a), wrapper.Page(b)
+        began = time.perf_counter()
+        assert len(wrapper.tree_match(a, b)) > 20_000
+        assert time.perf_counter() - began < 5
+
+
 def test_deep_and_broken_pages_keep_their_text():
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert [t for _, t in wrapper.Page(deep).blocks] == ["x"]
-    assert len(wrapper.tree_match(wrapper.Page(deep), wrapper.Page(deep))) > 100
+    assert len(wrapper.tree_match(wrapper.Page(deep), wrapper.Page(deep))) == 3001
+    other = deep.replace("x", "<p>x</p>")
+    assert len(wrapper.tree_match(wrapper.Page(deep), wrapper.Page(other))) == 3001
     assert [t for _, t in wrapper.Page("a < b <p>c<p class='x").blocks] == ["a < b", "c"]
     assert [t for _, t in wrapper.Page("<p>a<script>never closed <p>b").blocks] == ["a"]
 
