@@ -175,6 +175,29 @@ def test_spans_are_cut_and_covered_documents_dropped(spark):
     assert decontam.contamination(out, bench).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_cut_documents_equal_brute_force(spark, block_bytes):
+    """Spans of items of any block are cut at once, then those that cutting made, until none is left."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice("a b c É dd".split()) for _ in range(n))
+    items = [(i, text(rng.choice([4, 5, 9, 10, 11, 14, 30]))) for i in range(8)]
+    texts = [text(rng.randint(0, 60)) for _ in range(120)] + [items[0][1], f"x {items[1][1]} y z", "", None]
+    rows = [(i, t, "mine", "mine", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string, cut string, n_chars bigint")
+    out = decontam.remove_contamination(docs, spark.createDataFrame(items, "item_id bigint, text string"), block_bytes=block_bytes)
+    assert out.columns == docs.columns
+    automaton = decontam.SuffixAutomaton([(i, t.encode()) for i, t in items])
+    want = {}
+    for i, t in enumerate(texts):
+        ((n, mask, _),) = decontam._match([t.encode() if t else None], automaton)
+        if mask.sum() <= 0.8 * n:
+            want[i] = decontam._cleaned(t.encode(), mask, automaton).decode() if mask.any() else t
+    got = out.collect()
+    assert {r.doc_id: r.text for r in got} == want and len(got) < len(texts)
+    assert all(r.n_chars == len(r.text or "") and r.row == r.cut == "mine" for r in got)
+    assert all(not brute_contamination([r.text], items)[0][4] for r in got)
+
+
 # -- 5 ------------------------------------------------------------------------------------------
 
 def brute_components(texts, percent=75):
