@@ -1,6 +1,7 @@
 """The registered queries of the subpackage against their SQL, and edge cases common to all operators."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import tickflow.llm.queries as llm
@@ -78,6 +79,39 @@ def test_odd_rows_and_empty_tables(spark, name):
     assert none.count() == 0 and none.columns == got.columns
 
 
+@pytest.mark.parametrize("stage", ["accept", "dedupe", "clean", "redact", "mix"])
+def test_stages_on_odd_rows(spark, stage):
+    """Columns and their values survive each stage, whatever their names; nulls, repeats and empty tables have defined results."""
+    bench = spark.createDataFrame([(1, "one two"), (2, None)], "item_id bigint, text string")
+    run = {"accept": lambda d: weak_labels.accepted_documents(d, labels(spark)), "dedupe": neardup.dedupe,
+           "clean": lambda d: decontam.remove_contamination(d, bench), "redact": secret_scan.redact_documents, "mix": mixing.mix_documents}[stage]
+    clash = ("accepted", "quality_score", "abuse_score", "secrets", "component_id", "row", "places", "copies", "_kept")
+
+    def widened(d):
+        for c in clash:
+            d = d.withColumn(c, F.lit(f"mine {c}"))
+        return d
+
+    docs = widened(odd_documents(spark))
+    out = run(docs)
+    assert out.columns == docs.columns + ["copy"] * (stage == "mix")
+    got = out.collect()
+    assert all(r[c] == f"mine {c}" for r in got for c in clash)
+    before = {str(tuple(r)[:4]) for r in docs.collect()}
+    assert {str(tuple(r)[:4]) for r in got} <= before
+    ids = sorted(str(r.doc_id) for r in got)
+    if stage == "dedupe":  # 4, 6 and a row without an id are alike; rows without an id stay as one of them does
+        assert ids == ["1", "2", "3", "4", "5", "5", "7", "None", "None"]
+    elif stage == "clean":  # three texts are the item itself
+        assert ids == ["1", "2", "3", "5", "5", "7", "None"]
+    elif stage == "redact":
+        assert ids == sorted(str(r.doc_id) for r in docs.collect())
+    else:
+        assert all(r.text and r.text.strip() for r in got)
+    none = run(widened(odd_documents(spark, [])))
+    assert none.count() == 0 and none.columns == out.columns
+
+
 def test_odd_pages_and_conversations(spark):
     schema = "page_id bigint, url string, html string, text string, host string, blocks string"
     rows = [(None, None, None), (1, "", ""), (2, "http://H.example/x", "<p>a<p>b"), (2, "http://H.example/x", "<p>a<p>b"), (3, None, "plain"), (4, "bad url", "<")]

@@ -136,7 +136,11 @@ def plan_of(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it was taken, numbered in ``copy``."""
+    """The mix itself: the rows of ``docs``, each as often as it was taken, numbered in ``copy``.
+
+    Null and empty texts have no words and are not taken; rows with the same id, source and size are taken together; an empty
+    table gives an empty mix. A column of ``docs`` named ``copy`` is replaced, others stay.
+    """
     columns = [c for c in docs.columns if c != "copy"]
     plan = mix(docs, **how).where("copies > 0").select(
         F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies")

@@ -380,6 +380,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group; columns as before. Rows that repeat an id stay with it."""
+    """``docs`` with one document of each group; columns as before, whatever their names.
+
+    Rows that repeat an id stay with it, and so do rows without an id if one of them stays; null and empty texts are
+    groups of their own; an empty table stays empty.
+    """
     found = near_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.alias("docs").join(found, F.col(f"docs.{doc_id}").eqNullSafe(found["_kept"]), "left_semi")

@@ -490,5 +490,11 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
 
 
 def accepted_documents(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
-    """``docs`` without the rejected ones; columns as before."""
-    return classify(docs, labels, **how).where("accepted").select(*docs.columns)
+    """``docs`` without the rejected ones; columns as before, whatever their names.
+
+    Null and empty texts are rejected, repeated rows are kept or rejected together, an empty table stays empty.
+    """
+    # columns named like a result of the classifier step aside
+    aside = {c: f"_kept_{i}" for i, c in enumerate(docs.columns) if c in ("accepted", "quality_score", "abuse_score")}
+    judged = classify(docs.withColumnsRenamed(aside), labels, **how)
+    return judged.where("accepted").select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
