@@ -257,3 +257,28 @@ def test_pairs_by_opening(spark, tmp_path):
     con.execute("CREATE TABLE conversations(conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", talk)
     assert difference(got, con, llm.ORACLES["op8_preference_pairs"]) is None
+
+
+def test_common_and_rare_openings_give_the_same_pairs(spark, tmp_path):
+    """Half of the conversations share one opening, others a few, in both ways to meet; ids at the ends of their type."""
+    import duckdb
+    rng = random.Random(3)
+    talk = []
+    for c in range(300):
+        first = "hi" if c % 2 else f"question {c % 40}"
+        talk += [(c, 0, "user", first), (c, 1, "assistant", "x" * rng.randint(0, 9))]
+        if rng.random() < 0.3:
+            talk.append((c, 2, "user", "more"))
+    talk += [(i, 0, "user", "ends") for i in (2**63 - 1, -2**63)]
+    turns = spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string")
+    key = lambda df: sorted(map(repr, df.collect()))
+    mixed, broadcast, joined = (preferences.format_preferences(turns, common=n) for n in (3, 10**6, 0))
+    assert key(mixed) == key(broadcast) == key(joined)
+    scratch = Scratch(spark, "pairs")
+    pairs = preferences.pairs_by_opening(preferences.conversations(turns), scratch, 3)
+    assert {r["common"]: r["count"] for r in pairs.groupBy("common").count().collect()} == {True: 149, False: 131}
+    assert pairs.where(f"chosen_id = {-2**63} AND rejected_id = {2**63 - 1}").count() == 1
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations(conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [t for t in talk if 0 <= t[0] < 1000])
+    assert difference(preferences.format_preferences(turns.where("conv_id BETWEEN 0 AND 999"), common=3), con, llm.ORACLES["op8_preference_pairs"]) is None

@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
+#: An opening is common if one in so many conversations has it, so there are at most that many common ones, whatever the table;
+#: what they are chosen for is spread over so many parts.
+COMMON, PARTS = 1000, 64
 #: How a turn is written: before and after its text. The span trained on ends with the end mark.
 HEAD, END = ("<|", "|>\n"), "<|end|>\n"
 TRAINED = ("assistant",)
@@ -30,29 +35,52 @@ def _last(turns: Column, role: str) -> Column:
     return F.when(back > 0, F.size(turns) + 1 - back).otherwise(F.lit(0)).cast("int")
 
 
-def pairs_by_opening(convs: DataFrame) -> DataFrame:
-    """(chosen_id, rejected_id) among conversations that agree up to their first user turn.
+def pairs_by_opening(convs: DataFrame, scratch: Scratch, common: int = COMMON) -> DataFrame:
+    """(chosen_id, rejected_id, common) among conversations that agree up to their first user turn.
 
     Chosen is the one that ends with an answer, has the most characters of answers, and then the least id;
     every other one is rejected against it, so a group of any size gives one pair less than it has members.
+    Openings that at least one in ``common`` conversations has are met where the conversations lie: their best ones, at
+    most ``common`` rows, go to all tasks. Others have a bounded share and are met by a join.
     """
     place = F.array_position(F.transform("turns", lambda t: t["role"]), "user").cast("int")
     opening = F.transform(F.slice("turns", F.lit(1), place), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     answers = F.aggregate(F.filter("turns", lambda t: t["role"].isin(*TRAINED)), F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
     ends = F.element_at("turns", -1)["role"].isin(*TRAINED).cast("int")
-    ranked = convs.where(place > 0).select("conv_id", F.sha2(F.to_json(opening), 256).alias("opening"),
-                                           F.struct(ends.alias("ends"), answers.alias("chars"), (-F.col("conv_id")).alias("least")).alias("rank"))
-    best = ranked.groupBy("opening").agg(F.max("rank").alias("best"), F.count("*").alias("n")).where("n > 1")
-    return ranked.join(best, "opening").where("rank <> best").select((-F.col("best.least")).alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
+    # one number of fixed width, so that the best is found by hashing: ends, twelve digits of characters, twenty of the id
+    places = F.lit("100000000000000000000").cast("decimal(21,0)")
+    rank = ((ends * F.lit(10**12) + answers).cast("decimal(13,0)") * places - F.col("conv_id").cast("decimal(20,0)")).cast("decimal(38,0)")
+    ranked = scratch.keep(convs.where(place > 0).select("conv_id", F.sha2(F.to_json(opening), 256).alias("opening"), rank.alias("rank")), "ranked")
+    best = scratch.keep(ranked.groupBy("opening").agg(F.max_by("conv_id", "rank").alias("chosen_id"), F.count("*").alias("n")).where("n > 1"), "best")
+    often = F.col("n") * common >= ranked.count()
+    hot, rest = F.broadcast(best.where(often).drop("n")), best.where(~often).drop("n")
+    met = (ranked.join(hot, "opening").withColumn("common", F.lit(True))
+           .union(ranked.join(hot.select("opening"), "opening", "left_anti").join(rest, "opening").withColumn("common", F.lit(False))))
+    pairs = scratch.keep(met.where("conv_id <> chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"), "common"), "pairs")
+    scratch.drop(ranked)
+    scratch.drop(best)
+    return pairs
 
 
 def cut_answers(convs: DataFrame) -> DataFrame:
-    """(conv_id, turns) with the last answer cut off in its middle: what a rejected answer may look like."""
+    """``convs`` that have an answer, with a column ``cut``: the turns with the last answer cut off in its middle, which is
+    what a rejected answer may look like."""
     at = _last(F.col("turns"), TRAINED[0])
     cut = F.transform("turns", lambda t, i: F.struct(
         t["turn"].alias("turn"), t["role"].alias("role"),
         F.when(i + 1 == at, F.substring(t["text"], F.lit(1), F.floor(F.length(t["text"]) / 2).cast("int"))).otherwise(t["text"]).alias("text")))
-    return convs.where(at > 0).select("conv_id", cut.alias("turns"))
+    return convs.where(at > 0).withColumn("cut", cut)
+
+
+def with_turns(pairs: DataFrame, convs: DataFrame, parts: int = PARTS) -> DataFrame:
+    """``pairs`` with ``chosen_turns`` and ``rejected_turns``. A conversation is rejected once at most; what is chosen for
+    a common opening is copied ``parts`` times, and its pairs are dealt among the copies."""
+    a, b = convs.toDF("chosen_id", "chosen_turns"), convs.toDF("rejected_id", "rejected_turns")
+    both = pairs.join(b, "rejected_id")
+    copies = (a.join(F.broadcast(pairs.where("common").select("chosen_id").distinct()), "chosen_id", "left_semi")
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    dealt = both.where("common").withColumn("part", F.pmod(F.xxhash64("rejected_id"), F.lit(parts)).cast("int"))
+    return dealt.join(copies, ["chosen_id", "part"]).drop("part").unionByName(both.where("NOT common").join(a, "chosen_id")).drop("common")
 
 
 def _render(turns: Column) -> Column:
@@ -84,16 +112,16 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
         _render(rest(b)).alias("rejected"), _mask(rest(a)).alias("chosen_mask"), _mask(rest(b)).alias("rejected_mask"))
 
 
-def format_preferences(turns: DataFrame) -> DataFrame:
+def format_preferences(turns: DataFrame, common: int = COMMON) -> DataFrame:
     """(chosen_id, rejected_id, kind, n_prefix, prompt, chosen, rejected, chosen_mask, rejected_mask).
 
     ``kind`` is ``opening`` for two conversations with one opening and ``cut`` for a conversation against itself
-    with its last answer cut (``rejected_id`` null). An empty table gives an empty result.
+    with its last answer cut (``rejected_id`` null). Ids are whole numbers. An empty table gives an empty result.
     """
-    convs = conversations(turns)
-    pairs = pairs_by_opening(convs)
-    a, b = convs.toDF("chosen_id", "chosen_turns"), convs.toDF("rejected_id", "rejected_turns")
-    of_two = pairs.join(a, "chosen_id").join(b, "rejected_id").withColumn("kind", F.lit("opening"))
-    of_one = a.join(cut_answers(convs).toDF("chosen_id", "rejected_turns"), "chosen_id").select(
-        "chosen_id", F.lit(None).cast(turns.schema["conv_id"].dataType).alias("rejected_id"), "chosen_turns", "rejected_turns", F.lit("cut").alias("kind"))
+    scratch = Scratch(turns.sparkSession, "preferences")
+    convs = scratch.keep(conversations(turns), "conversations")
+    of_two = with_turns(pairs_by_opening(convs, scratch, common), convs).withColumn("kind", F.lit("opening"))
+    of_one = cut_answers(convs).select(
+        F.col("conv_id").alias("chosen_id"), F.lit(None).cast(turns.schema["conv_id"].dataType).alias("rejected_id"),
+        F.col("turns").alias("chosen_turns"), F.col("cut").alias("rejected_turns"), F.lit("cut").alias("kind"))
     return format_pairs(of_one.unionByName(of_two))
