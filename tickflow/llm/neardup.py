@@ -8,8 +8,8 @@ is near enough by its full sets.
 
 A key's bucket is never paired with itself. First every member meets the bucket's least member;
 confirmed links give components. Buckets with members of several components are then compared in
-blocks inside tasks, first by symbols, then what is near enough by full sets; a task gives back one link
-for two components. So a group of copies of any size costs a few rows per copy.
+blocks inside tasks by symbols. The members left are grouped by what hangs together, as long as that fits a block, and compared
+by full sets; a task gives back one link for two components. So a group of copies of any size costs a few rows per copy.
 """
 
 from __future__ import annotations
@@ -269,7 +269,7 @@ def _compare(batches):
     """Links between members of different components, confirmed on full sets: one for two components of a group."""
     unpack = zstandard.ZstdDecompressor().decompress
     out: list[tuple] = []
-    for _, rows in _groups(batches, 1):
+    for _, rows in _groups(batches, 2):
         node, comp, side = (np.array([r[k] for r in rows]) for k in range(3))
         sets = shingle_sets([unpack(r[4]) for r in rows])
         n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -364,10 +364,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     met = open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     named_ = scratch.keep(met.mapInArrow(_nominate, "name bigint, node bigint, c bigint, side boolean, across boolean").distinct(), "named")
     scratch.drop(members)
-    scratch.drop(wanted)
-    nominated = named_.join(bodies, "node").select("name", "node", "c", "side", "across", "body").repartition("name").sortWithinPartitions("name")
+    # groups that share members overlap, so their texts would travel once for each: what hangs together and is small is one group
+    at_least = named_.groupBy("name").agg(F.min("node").alias("u"))
+    hung = scratch.keep(components(named_.join(at_least, "name").select("u", F.col("node").alias("v")), scratch), "hung")
+    sized = hung.join(facts.select("node", "n_shingles"), "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    small = hung.join(sized.where((F.col("n") <= BLOCK) & (F.col("total") <= BLOCK_SHINGLES)), "component").select("node", F.col("component").alias("cluster"))
+    placed_ = scratch.keep(named_.join(small, "node", "left"), "placed")
+    for done in (named_, hung, wanted):
+        scratch.drop(done)
+    no = F.lit(False)
+    groups = (placed_.where("cluster IS NOT NULL").select(no.alias("apart"), F.col("cluster").alias("name"), "node", "c", no.alias("side"), no.alias("across")).distinct()
+              .union(placed_.where("cluster IS NULL").select(F.lit(True), "name", "node", "c", "side", "across")))
+    nominated = groups.join(bodies, "node").select("apart", "name", "node", "c", "side", "across", "body").repartition("apart", "name").sortWithinPartitions("apart", "name")
     more = scratch.keep(nominated.mapInArrow(_compare, "u bigint, v bigint"), "more")
-    scratch.drop(named_)
+    scratch.drop(placed_)
     scratch.drop(bodies)
     merged = components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more), scratch)
     # a component is named by the least id of its documents
