@@ -55,7 +55,8 @@ def raw_posts(spark, sf_dir) -> DataFrame:
     """Posts with every twentieth one harvested twice, an hour apart."""
     docs = table(spark, sf_dir, "documents")
     ev = events(spark, sf_dir)
-    n = ev.agg(F.count(F.lit(1)).alias("n")).scalar()      # so that every document finds an event
+    # so that every document finds an event; a number, for Spark cannot broadcast rows under a key that holds a subquery
+    n = max(ev.count(), 1)
     posts = (docs.join(ev, ev.event_id == F.pmod(docs.doc_id * 10, n))
              .select(F.col("ts").alias("created_at"), F.col("doc_id").alias("id"), "text", "lang",
                      F.col("source").alias("keyword"), F.get_json_object("props", "$.k").alias("likes")))
