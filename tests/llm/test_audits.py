@@ -4,11 +4,13 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from itertools import permutations
 
 import numpy as np
 import pytest
+import regex
 
 from conftest import SF
 from tickflow.llm import filter_audit, hyperlang, manifest
@@ -240,3 +242,21 @@ def test_audit_multiplies_rows_after_the_shuffle(spark):
             if "Generate" in line:
                 assert "HashPartitioning".lower() in above[i + 1].lower() and "REPARTITION_BY_COL" in above[i + 1]
                 assert "row" not in above[i - 1].split("hashpartitioning(")[-1].split(",")[0]
+
+
+def test_letters_by_table_equal_the_pattern():
+    odd = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for text in (odd, odd[::-1], " á b  c--d1eİ ", "́", "12"):
+        flat = unicodedata.normalize("NFC", text).lower()
+        want = f" {regex.sub(r'[^\p{L}\p{M}]+', ' ', flat).strip()} " if regex.search(r"\p{L}", text) else ""
+        assert hyperlang.letters_of(text) == want
+
+
+def test_profiles_take_few_sorts_and_no_table_of_bits(monkeypatch):
+    """The signs of n-grams come from bytes of bits; an array of a bit each, turned into numbers, took most of the time."""
+    def refuse(*_):
+        raise AssertionError("bits were spread out")
+    texts = [hyperlang.letters_of(t) for t in ("ab cd", "é中 \U0001d4d0x", "")]
+    want = hyperlang.profiles(texts, 256)
+    monkeypatch.setattr(hyperlang, "gram_bits", refuse)
+    assert np.array_equal(hyperlang.profiles(texts, 256), want) and want[:2].any(axis=1).all() and not want[2].any()

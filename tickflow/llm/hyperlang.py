@@ -30,17 +30,29 @@ SCALE = 1 << 20
 MAX_LANGUAGES = 10_000
 UNKNOWN = "und"
 #: What is counted in one piece: texts, different n-grams of them, and bytes of text that are cut at once.
-PIECE_TEXTS, PIECE_GRAMS, SLICE_BYTES = 64, 16_384, 1 << 21
+PIECE_TEXTS, PIECE_GRAMS, SLICE_BYTES = 64, 32_768, 1 << 21
 
-_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
-_LETTER = regex.compile(r"\p{L}")
+_LETTER, _KEPT = regex.compile(r"\p{L}"), regex.compile(r"[\p{L}\p{M}]")
+#: The eight signs of a byte of bits.
+_SIGNS = 1 - 2 * np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
+
+
+class _Spaced(dict):
+    """Code point -> itself for letters and marks, else a space; looked up once each."""
+
+    def __missing__(self, point: int) -> int:
+        kept = self[point] = point if _KEPT.match(chr(point)) else 32
+        return kept
+
+
+_SPACED = _Spaced()
 
 
 def letters_of(text: str | None) -> str:
     """Small letters, words apart by one space and one at both ends; empty if there is no letter."""
     if not text or not _LETTER.search(text):
         return ""
-    return f" {_OTHER.sub(' ', unicodedata.normalize('NFC', text).lower()).strip()} "
+    return f" {' '.join(unicodedata.normalize('NFC', text).lower().translate(_SPACED).split())} "
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -59,22 +71,42 @@ def letter_bits(points: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     return np.unpackbits(words.astype("<u8").view(np.uint8), axis=1)
 
 
-def gram_bits(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """Bits per n-gram (a row of code points): the letters' bits, each rotated by its distance from the end, bound by XOR."""
+def _bound(grams: np.ndarray, dimensions: int) -> np.ndarray:
+    """Per n-gram (a row of code points) the letters' bits, each rotated by its distance from the end, bound by XOR, in bytes."""
     points, where = np.unique(grams, return_inverse=True)
     bits, where = letter_bits(points, dimensions), where.reshape(grams.shape)
     last = grams.shape[1] - 1
     bound = np.packbits(bits, axis=1)[where[:, last]]
     for place in range(last):
         bound ^= np.packbits(np.roll(bits, last - place, axis=1), axis=1)[where[:, place]]
-    return np.unpackbits(bound, axis=1)
+    return bound
+
+
+def gram_bits(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Bits per n-gram; 1 is the sign -1."""
+    return np.unpackbits(_bound(grams, dimensions), axis=1)
+
+
+def gram_signs(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """The same as signs, in single precision, a byte of bits at a time."""
+    return np.take(_SIGNS, _bound(grams, dimensions), axis=0).reshape(len(grams), dimensions)
+
+
+def _ranked(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different code points and the place of each among them, by a table instead of a sort."""
+    seen = np.zeros(int(points.max()) + 1, bool)
+    seen[points] = True
+    alphabet = np.flatnonzero(seen)
+    places = np.zeros(len(seen), np.int64)
+    places[alphabet] = np.arange(len(alphabet))
+    return alphabet, places[points]
 
 
 def _counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, n-gram as one number, how often) for texts of at least GRAM characters, by text, and the alphabet
     that the numbers are written in, a digit per letter."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    alphabet, points = np.unique(points, return_inverse=True)
+    alphabet, points = _ranked(points)
     base = len(alphabet)
     grams = np.zeros(len(points) - GRAM + 1, np.int64)
     for place in range(GRAM):
@@ -114,8 +146,7 @@ def profiles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
         rows = owner[at:end] - owner[at]
         table = np.zeros((rows[-1] + 1, len(codes)), np.float32)
         table[rows, where] = counts[at:end]
-        # signs are 1 - 2 bit
-        sums = table.sum(axis=1, dtype=np.float64)[:, None] - 2.0 * (table @ gram_bits(np.stack(letters[::-1], axis=1), dimensions).astype(np.float32))
+        sums = table @ gram_signs(np.stack(letters[::-1], axis=1), dimensions)
         for k, one in enumerate(sums):
             out[full[owner[at] + k]] += one
         at = end
