@@ -301,3 +301,10 @@ def test_posts_come_once_within_the_delay(spark, tmp_path):
 def test_linear_model(spark):
     rows_ = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
     assert ml.LinearModel({"a": 2, "b": -1}, 0.5).transform(rows_).first()["predicted_vol"] == 0.5
+
+
+def test_a_slice_computes_its_mean_once(spark):
+    """Named in a lambda, the mean, and with it the order of the ticks, was computed again for every tick; so was a bar's for every slice."""
+    bars = sb.stream_bars(spark.createDataFrame([tick(0, 1)], TICKS))
+    plan = bars._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 2          # the steps of a slice and the seams of a bar

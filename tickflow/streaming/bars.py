@@ -16,12 +16,17 @@ WATERMARK = "1 minute"
 TRIGGER = "30 seconds"
 
 
-def _moments(returns: Column) -> tuple[Column, Column, Column]:
-    """(count, mean, sum of squared deviations) of an array."""
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once. Named in a lambda, an expression is computed again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _moments(returns: Column) -> Column:
+    """(n, mean, m2): count, mean, sum of squared deviations of an array."""
     n = F.size(returns)
     mean = F.try_divide(F.aggregate(returns, F.lit(0.0), lambda a, x: a + x), n)
-    m2 = F.aggregate(F.transform(returns, lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda a, x: a + x)
-    return n, mean, m2
+    return _let(mean, lambda m: F.struct(
+        n.alias("n"), m.alias("mean"), F.aggregate(returns, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)).alias("m2")))
 
 
 def _steps(prices: Column) -> Column:
@@ -32,6 +37,36 @@ def _steps(prices: Column) -> Column:
     return F.filter(pairs, lambda r: r.isNotNull())
 
 
+def _part(start: Column, prices: Column) -> Column:
+    """A slice's prices, in order, as prices at both ends and return moments."""
+    return _let(_let(_steps(prices), _moments), lambda r: F.struct(
+        start.alias("at"), F.get(prices, F.lit(0)).alias("open"), F.element_at(prices, -1).alias("close"),
+        F.array_max(prices).alias("high"), F.array_min(prices).alias("low"), F.size(prices).cast("bigint").alias("ticks"),
+        r["n"].alias("n"), r["mean"].alias("mean"), r["m2"].alias("m2")))
+
+
+def _merged(parts: Column) -> Column:
+    """A bar from its slices in order; the return across each seam counts as one more."""
+    size = F.greatest(F.size(parts) - 1, F.lit(0))
+    seams = F.filter(F.zip_with(F.slice(parts, F.lit(1), size), F.slice(parts, F.lit(2), size),
+                                lambda a, b: F.try_divide(b["open"] - a["close"], a["close"])), lambda r: r.isNotNull())
+    add = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda a, x: a + f(x))
+
+    def volatility(both: Column) -> Column:
+        within, seam = both["within"], both["seams"]
+        count = add(within, lambda x: x["n"].cast("double")) + F.size(seam)
+        centre = F.try_divide(add(within, lambda x: x["n"] * x["mean"]) + add(seam, lambda r: r), count)
+        return _let(F.struct(count.alias("n"), centre.alias("c")), lambda t: F.sqrt(F.try_divide(
+            add(within, lambda x: x["m2"] + x["n"] * (x["mean"] - t["c"]) * (x["mean"] - t["c"]))
+            + add(seam, lambda r: (r - t["c"]) * (r - t["c"])), t["n"])))
+
+    return F.struct(
+        F.get(parts, F.lit(0))["open"].alias("open"), F.array_max(F.transform(parts, lambda x: x["high"])).alias("high"),
+        F.array_min(F.transform(parts, lambda x: x["low"])).alias("low"), F.element_at(parts, -1)["close"].alias("close"),
+        F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, x: a + x["ticks"]).alias("trade_count"),
+        _let(F.struct(F.filter(parts, lambda x: x["n"] > 0).alias("within"), seams.alias("seams")), volatility).alias("volatility"))
+
+
 def stream_ohlcv(ticks: DataFrame, width: str = WIDTH, late: str = WATERMARK,
                  keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Bars without volatility; the state per open bar is one row."""
@@ -56,38 +91,14 @@ def stream_bars(ticks: DataFrame, width: str = WIDTH, slice_width: str = "1 seco
     tick = F.struct("event_time", "trade_id", "price")
     slices = (ticks.withWatermark("event_time", late)
               .groupBy(F.window("event_time", slice_width).alias("s"), *keys)
-              .agg(F.array_sort(F.collect_list(tick)).alias("_ticks"), F.sum("quantity").alias("volume")))
-    prices = F.transform("_ticks", lambda t: t["price"])
-    n, mean, m2 = _moments(_steps(prices))
-    slices = slices.select(
-        "s", *keys, "volume", F.struct(
-            F.col("s.start").alias("at"), F.get(prices, F.lit(0)).alias("open"),
-            F.element_at(prices, -1).alias("close"), F.array_max(prices).alias("high"),
-            F.array_min(prices).alias("low"), F.size(prices).cast("bigint").alias("ticks"),
-            n.alias("n"), mean.alias("mean"), m2.alias("m2")).alias("part"))
+              .agg(F.collect_list(tick).alias("_ticks"), F.sum("quantity").alias("volume")))
+    prices = F.transform(F.sort_array("_ticks"), lambda t: t["price"])
+    slices = slices.select("s", *keys, "volume", _let(prices, lambda p: _part(F.col("s.start"), p)).alias("part"))
     bars = (slices.groupBy(F.window(F.window_time("s"), width).alias("w"), *keys)
-            .agg(F.array_sort(F.collect_list("part")).alias("_p"), F.sum("volume").alias("volume")))
-    p = F.col("_p")
-    size = F.greatest(F.size(p) - 1, F.lit(0))
-    seams = F.filter(F.zip_with(F.slice(p, F.lit(1), size), F.slice(p, F.lit(2), size),
-                                lambda a, b: F.try_divide(b["open"] - a["close"], a["close"])),
-                     lambda r: r.isNotNull())
-    within = F.filter(p, lambda x: x["n"] > 0)
-    add = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda a, x: a + f(x))
-    count = add(within, lambda x: x["n"].cast("double")) + F.size(seams)
-    centre = F.try_divide(add(within, lambda x: x["n"] * x["mean"]) + add(seams, lambda r: r), count)
-    bars = bars.withColumn("_n", count).withColumn("_c", centre)
-    c = F.col("_c")
-    dev = (add(within, lambda x: x["m2"] + x["n"] * (x["mean"] - c) * (x["mean"] - c))
-           + add(seams, lambda r: (r - c) * (r - c)))
-    return bars.select(
-        *keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        F.get(p, F.lit(0))["open"].alias("open"),
-        F.array_max(F.transform(p, lambda x: x["high"])).alias("high"),
-        F.array_min(F.transform(p, lambda x: x["low"])).alias("low"),
-        F.element_at(p, -1)["close"].alias("close"), "volume",
-        F.aggregate(p, F.lit(0).cast("bigint"), lambda a, x: a + x["ticks"]).alias("trade_count"),
-        F.sqrt(F.try_divide(dev, F.col("_n"))).alias("volatility"))
+            .agg(F.collect_list("part").alias("_p"), F.sum("volume").alias("volume")))
+    bars = bars.withColumn("_bar", _let(F.sort_array("_p"), _merged))
+    return bars.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                       "_bar.open", "_bar.high", "_bar.low", "_bar.close", "volume", "_bar.trade_count", "_bar.volatility")
 
 
 def stream_posts(posts: DataFrame, delay: str, key: str = "id", time: str = "created_at") -> DataFrame:
