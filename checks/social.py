@@ -133,14 +133,15 @@ def post_csv(spark, sf):
 @query("newest_csv", "posts", """
     SELECT CAST(id AS VARCHAR) AS id, keyword AS source, 'harvest' AS keyword FROM posts WHERE lang = 'en'""")
 def newest_csv(spark, sf):
-    """Harvests of each language in files of their own, the English one last; the newest counts."""
+    """Harvests of each language in folders of their own, the English one last; the newest counts. Rebalancing gives a folder
+    files of bounded size, for each is written and read by one task."""
     path = f"{shared_dir(spark)}/harvests-{uuid.uuid4().hex}"
     posts = t.posts(spark, sf)
     for i, lang in enumerate(["de", "fr", "es", "en"]):
         rows = posts.where(F.col("lang") == lang).select("id", F.col("keyword").alias("source"), "text")
-        rows.coalesce(1).write.options(header="true", escape='"').csv(f"{path}/{i}")      # a harvest is one file
+        rows.hint("rebalance").write.options(header="true", escape='"').csv(f"{path}/{i}")
         time.sleep(1.1)                                                                   # file times may be in whole seconds
-    return files.harvested_csv(spark, f"{path}/*", "harvest").select("id", "source", "keyword")
+    return files.harvested_csv(spark, f"{path}/*", "harvest", in_folders=True).select("id", "source", "keyword")
 
 
 @query("sentiment_bands", "scored", """

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks import social
 from checks import tables as t
 from conftest import SF
 
@@ -18,3 +19,17 @@ def test_posts_of_documents_that_are_broadcast(spark, tmp_path):
         assert found.first()["n"] == 42
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_harvest_is_many_files(spark, tmp_path, monkeypatch):
+    """The newest harvest is a folder; no task writes or reads all of it, and of the older ones nothing is read."""
+    monkeypatch.setattr(social, "shared_dir", lambda _: str(tmp_path))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = social.newest_csv(spark, SF)
+        assert len(found.inputFiles()) > 1 and all("/3/" in name for name in found.inputFiles())
+        assert sorted(r["id"] for r in found.collect()) == sorted(
+            str(r["id"]) for r in t.posts(spark, SF).where("lang = 'en'").select("id").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

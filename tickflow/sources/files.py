@@ -21,12 +21,18 @@ def register_external(spark: SparkSession, name: str, path: str, fmt: str = "par
     return spark.table(name)
 
 
-def harvested_csv(spark: SparkSession, path: str, keyword: str, latest_only: bool = True) -> DataFrame:
-    """Posts of the newest CSV file under ``path``, tagged with the keyword they were searched by."""
+def harvested_csv(spark: SparkSession, path: str, keyword: str, latest_only: bool = True, in_folders: bool = False) -> DataFrame:
+    """Posts of the newest CSV file under ``path``, tagged with the keyword they were searched by.
+
+    With ``in_folders`` a harvest is a folder of CSV files, and all files beside the newest one count. A file with line breaks in its
+    values cannot be split and is one task, so large harvests belong in several files.
+    """
     if latest_only:      # from the listing alone; the other files are not opened
         listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path", "modificationTime")
         path = listing.orderBy(F.desc("modificationTime"), F.desc("path")).first()["path"]
-    rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+        path = path.rsplit("/", 1)[0] if in_folders else path
+    rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+    rows = (rows.option("pathGlobFilter", "*.csv") if latest_only and in_folders else rows).csv(path)
     return rows.withColumn("keyword", F.lit(keyword))
 
 
