@@ -176,6 +176,33 @@ def test_long_lists_match_in_order(monkeypatch):
         assert tops == sorted(tops)
 
 
+def test_match_is_the_same_at_every_size(monkeypatch):
+    """By pairs or by rows, and however few rows are held, the match is the largest one, and of several the same."""
+    rng = random.Random(9)
+
+    def tree(depth):
+        return "".join(f"<{t}>{tree(depth - 1) if depth else ''}</{t}>" for t in rng.choices(["div", "section", "ul"], k=rng.randint(0, 4)))
+
+    for _ in range(150):
+        a, b = wrapper.Page(tree(rng.randint(0, 3))), wrapper.Page(tree(rng.randint(0, 3)))
+        by_pairs = wrapper.tree_match(a, b)
+        monkeypatch.setattr(wrapper, "EXACT", 0)
+        by_rows = wrapper.tree_match(a, b)
+        monkeypatch.setattr(wrapper, "TABLE_BYTES", 40, raising=False)
+        monkeypatch.setattr(wrapper, "KNOWN_BYTES", 1, raising=False)
+        assert by_pairs == by_rows == wrapper.tree_match(a, b)
+        monkeypatch.undo()
+
+
+def test_long_lists_match_as_well_as_short_ones():
+    """Equal small subtrees that cross a large, nearly equal one do not take its place, however many children there are."""
+    for n in (3, 300):
+        large = "<div>" + "<p></p>" * n + "{}</div>"
+        small = "<div><ul></ul></div>"
+        a, b = wrapper.Page(large.format("<ul></ul>") + small), wrapper.Page(small + large.format("<dl></dl>"))
+        assert len(wrapper.tree_match(a, b)) == n + 2
+
+
 def test_wide_pages_take_time_by_their_size():
     rng = random.Random(8)
     same = "<div><p>x</div>" * 20_000

@@ -26,9 +26,10 @@ from .shipping import ship
 
 #: A text is template when it stands at its place on at least so many different pages and this share of the host's.
 LEAST_PAGES, SHARE = 5, 0.5
-#: Two lists of subtrees are matched by dynamic programming over all their pairs of nodes where these are no more than this; longer lists are
-#: cut at their longest common subsequences first. Bits of such a table that are held at once.
-EXACT, TABLE_BITS = 1 << 16, 1 << 28
+#: Lists of subtrees with no more pairs of nodes than this are matched pair by pair, longer ones by whole rows of pairs; both give the same match.
+EXACT = 1 << 16
+#: Bits of a table of common subsequences, bytes of a table of matches, and bytes of known rows that are held at once; what is not is computed again.
+TABLE_BITS, TABLE_BYTES, KNOWN_BYTES = 1 << 28, 1 << 26, 1 << 26
 
 # Fixed values of the HTML standard: element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -256,13 +257,162 @@ def common_subsequence(left: list, right: list) -> list[tuple[int, int]]:
     return found[::-1]
 
 
+class _Known(dict):
+    """Arrays by key; the oldest go when all are more than ``KNOWN_BYTES``."""
+
+    held = 0
+
+    def put(self, key, value: np.ndarray) -> np.ndarray:
+        self[key] = value
+        self.held += value.nbytes
+        while self.held > KNOWN_BYTES and len(self) > 1:
+            self.held -= self.pop(next(iter(self))).nbytes
+        return value
+
+
+class _Kind:
+    """The different subtrees of one label in a level, their children one after the other."""
+
+    def __init__(self, begin: int, children: list[list[int]], most: int):
+        count = np.array([len(c) for c in children])
+        self.begin, self.end = begin, begin + len(children)
+        #: Places of the children in the next level.
+        self.cells = np.array([c for row in children for c in row], np.int64)
+        #: Numbers of each subtree's row lie above those of the one before, so that one running maximum serves all.
+        self.base = np.repeat(np.arange(len(children)) * most, count)
+        self.some = np.flatnonzero(count)
+        self.last = np.cumsum(count)[self.some] - 1
+        self.first = self.last + 1 - count[self.some]
+
+
+class _Rows:
+    """Largest matches of an axis subtree with all subtrees below a list of the page's at once, level by level."""
+
+    def __init__(self, axis: Page, page: Page, shape_a: list[int], shape_b: list[int], nodes: int, most: int, right: list[int], known: _Known):
+        self.axis, self.page, self.shape_a, self.shape_b, self.nodes, self.known = axis, page, shape_a, shape_b, nodes, known
+        #: Per level: the place of each different subtree, and the kinds by label.
+        self.place: list[dict[int, int]] = []
+        self.kinds: list[dict[str, _Kind]] = []
+        level = self._different(right)
+        while level:
+            below = self._different([c for n in level for c in page.children[n]])
+            place = {shape_b[n]: i for i, n in enumerate(below)}
+            kinds, i = {}, 0
+            while i < len(level):
+                j, label = i, page.label[level[i]]
+                while j < len(level) and page.label[level[j]] == label:
+                    j += 1
+                kinds[label] = _Kind(i, [[place[shape_b[c]] for c in page.children[n]] for n in level[i:j]], most)
+                i = j
+            self.place.append({shape_b[n]: i for i, n in enumerate(level)})
+            self.kinds.append(kinds)
+            level = below
+        self.kinds.append({})
+
+    def _different(self, nodes: list[int]) -> list[int]:
+        return sorted({self.shape_b[n]: n for n in nodes}.values(), key=self.page.label.__getitem__)
+
+    def sizes(self, x: int, level: int) -> np.ndarray:
+        """Matched pairs of subtree ``x`` with each subtree of ``level``; its label is one of the level's."""
+        open_: list[tuple[int, _Kind, np.ndarray, Iterator[int]]] = []
+        value = self._start(x, level, open_)
+        while open_:
+            node, kind, row, rest = open_[-1]
+            if value is not None:
+                self._step(kind, row, value)
+                value = None
+            at = level + len(open_)
+            for child in rest:
+                if self.axis.label[child] in self.kinds[at]:
+                    value = self._start(child, at, open_)
+                    break
+            else:
+                open_.pop()
+                found = np.zeros(len(self.place[at - 1]), np.int32)
+                found[kind.begin:kind.end] = 1
+                found[kind.begin + kind.some] += (row - kind.base)[kind.last].astype(np.int32)
+                value = self.known.put((self, at - 1, self.shape_a[node]), found)
+        return value
+
+    def _start(self, node: int, level: int, open_: list) -> np.ndarray | None:
+        """What is known of a node, else its children are to be matched first."""
+        key = (self, level, self.shape_a[node])
+        if key in self.known:
+            return self.known[key]
+        kind, children = self.kinds[level][self.axis.label[node]], self.axis.children[node]
+        if children and len(kind.cells):
+            open_.append((node, kind, kind.base.copy(), iter(children)))
+            return None
+        found = np.zeros(len(self.place[level]), np.int32)
+        found[kind.begin:kind.end] = 1
+        return self.known.put(key, found)
+
+    @staticmethod
+    def _step(kind: _Kind, row: np.ndarray, value: np.ndarray) -> None:
+        """A row of every table of children from the one above it."""
+        both = np.empty_like(row)
+        both[1:] = row[:-1]
+        both[kind.first] = kind.base[kind.first]
+        both += value[kind.cells]
+        np.maximum(both, row, out=both)
+        np.maximum.accumulate(both, out=row)
+
+    def matched(self, left: list[int], right: list[int], level: int) -> list[tuple[int, int]]:
+        """Pairs of the largest match of two lists; ``right`` stands in ``level``. Rows that do not fit are computed again on the way back."""
+        labels = {self.axis.label[x] for x in left} & {self.page.label[y] for y in right}
+        left = [x for x in left if self.axis.label[x] in labels]
+        right = [y for y in right if self.page.label[y] in labels]
+        places = np.array([self.place[level][self.shape_b[y]] for y in right], np.int64)
+        spread, chosen, room = _Known(), [], np.empty(len(right), np.int32)
+
+        def after(row: np.ndarray, i: int) -> np.ndarray:
+            shape, n = self.shape_a[left[i]], len(row) - 1
+            value = spread[shape] if shape in spread else spread.put(shape, self.sizes(left[i], level)[places])
+            out = np.empty(n + 1, np.int32)
+            out[0] = 0
+            both = np.add(row[:-1], value[:n], out=room[:n])
+            np.maximum(both, row[1:], out=both)
+            np.maximum.accumulate(both, out=out[1:])
+            return out
+
+        def back(row: np.ndarray, begin: int, end: int, j: int) -> int:
+            """Go from column ``j`` of row ``end`` to row ``begin``, which is ``row``; the column there."""
+            most = max(2, TABLE_BYTES // (4 * (j + 1)))
+            step = 1 if end - begin <= most else -(-(end - begin) // most)
+            rows = [row[:j + 1]]
+            for i in range(begin, end if step == 1 else begin + (end - begin - 1) // step * step):
+                row = after(rows[-1] if i == begin else row[:j + 1], i)
+                if (i + 1 - begin) % step == 0:
+                    rows.append(row)
+            if step > 1:
+                for k in range(len(rows) - 1, -1, -1):
+                    j = back(rows.pop()[:j + 1], begin + k * step, min(end, begin + (k + 1) * step), j)
+                return j
+            i = end
+            while i > begin and j:
+                here = rows[i - begin]
+                if here[j] == rows[i - 1 - begin][j]:
+                    i -= 1
+                elif here[j] == here[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    chosen.append((left[i], right[j]))
+            return j
+
+        if left and right:
+            back(np.zeros(len(right) + 1, np.int32), 0, len(left), len(right))
+        return chosen
+
+
 def tree_match(axis: Page, page: Page) -> dict[int, int]:
     """Simple tree matching: node of ``page`` -> node of ``axis``.
 
     Of two equally labelled nodes, the children are matched by dynamic programming over both lists. Equal subtrees at the
-    starts and ends of the lists match at once, which loses nothing. Where the subtrees left have more than ``EXACT`` pairs of
-    nodes, the lists are cut at a longest common subsequence of equal subtrees, and parts that are still longer are
-    matched along one of their labels; so the work on pages of any width and depth stays near their size.
+    starts and ends of the lists match at once, which loses nothing. The match is the largest one on pages of any width and
+    depth. Where the subtrees left have more than ``EXACT`` pairs of nodes, an axis node meets all page nodes of its depth and
+    label at once, equal subtrees as one; time grows with the pairs of different subtrees of a depth, memory with the page. Of
+    several largest matches both ways take the same.
     """
     shapes: dict[tuple, int] = {}
 
@@ -330,28 +480,27 @@ def tree_match(axis: Page, page: Page) -> dict[int, int]:
             below += sizes(a, b)[1]
         memo.clear()
 
-    todo = [(0, 0)]
+    known = _Known()
+    todo: list[tuple[int, int, _Rows | None, int]] = [(0, 0, None, 0)]
     while todo:
-        a, b = todo.pop()
+        a, b, rows, level = todo.pop()
         matched[b] = a
         if shape_a[a] == shape_b[b]:
-            todo += zip(axis.children[a], page.children[b])
+            todo += [(x, y, None, 0) for x, y in zip(axis.children[a], page.children[b])]
             continue
         pairs, left, right = trimmed(axis.children[a], page.children[b])
-        todo += pairs
+        todo += [(x, y, None, 0) for x, y in pairs]
         if small(left, right):
             settle(left, right)
             continue
-        equal = common_subsequence([shape_a[x] for x in left], [shape_b[y] for y in right])
-        todo += [(left[i], right[j]) for i, j in equal]
-        i = j = 0
-        for k, m in [*equal, (len(left), len(right))]:
-            part, other = left[i:k], right[j:m]
-            if small(part, other):
-                settle(part, other)
-            else:
-                todo += [(part[x], other[y]) for x, y in common_subsequence([axis.label[x] for x in part], [page.label[y] for y in other])]
-            i, j = k + 1, m + 1
+        if len(left) == len(right) == 1:
+            chosen = [(left[0], right[0])] if axis.label[left[0]] == page.label[right[0]] else []
+        else:
+            nodes = sum(size_b[y] for y in right)
+            if rows is None or 2 * nodes < rows.nodes:  # else what is known of these levels is used on
+                rows, level = _Rows(axis, page, shape_a, shape_b, nodes, 1 + max(size_b[y] for y in right), right, known), 0
+            chosen = rows.matched(left, right, level)
+        todo += [(x, y, rows, level + 1) for x, y in chosen]
     return matched
 
 
