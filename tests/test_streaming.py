@@ -133,6 +133,22 @@ def test_sink_policies_and_empty_batch(spark, tmp_path):
     assert log == {"bar_stream-1": (2, 0), "bar_stream-2": (1, 1)}
 
 
+@pytest.mark.parametrize("version", [None, "trade_count"])
+def test_sink_computes_a_batch_once(spark, tmp_path, version):
+    """A batch that is looked at before it is kept runs its state stores twice."""
+    log = str(tmp_path / "computed")
+
+    def counted(batches):
+        for batch in batches:
+            with open(log, "a") as out:
+                out.write(f"{batch.num_rows}\n")
+            yield batch
+
+    sink = make_sink(spark, tmp_path, version=version)
+    sink(bar_batch(spark, range(0, 20)).coalesce(1).mapInArrow(counted, BAR), 0)
+    assert open(log).read() == "20\n" and sink.bars.read().count() == 20
+
+
 def test_stream_split_into_ticks_and_dead_letters(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text('{"T":1,"s":"X","t":1,"p":"1.5","q":"2"}\nbroken\n')

@@ -51,15 +51,15 @@ class BarSink:
                          "first" if self.policy == "first_wins" else "last")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        if self.version is not None:
-            batch = self._not_older(batch)
-        batch.persist()
+        fresh = batch.persist()      # computed again, it would run its state stores again
         # a query that starts anew counts its batches from 0 again
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         run = f"{query + '-' if query else ''}{batch_id}"
         try:
+            if not batch.count():
+                return
+            if self.version is not None:
+                batch = self._not_older(batch).persist()
             written, rejected = self._store(batch)
             scored, version = self._score(batch, run)
             self.ring.merge(batch.where("symbol IS NOT NULL AND window_start IS NOT NULL"), run)
@@ -68,6 +68,7 @@ class BarSink:
                     run_id=f"bar_stream-{run}")
         finally:
             batch.unpersist()
+            fresh.unpersist()
 
     def _not_older(self, batch: DataFrame) -> DataFrame:
         """The batch without emissions older than what is stored."""
